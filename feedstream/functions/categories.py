@@ -1,5 +1,6 @@
 """Keyword categories."""
 
+import json
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ def category_vectors(table):
 def occurrences(words, vocabulary):
     """How often each vocabulary word occurs in an array of words."""
     return F.transform(
-        F.array(*map(F.lit, vocabulary)),
+        F.split(F.lit(" ".join(vocabulary)), " "),
         lambda v: F.size(words) - F.size(F.array_remove(words, v)),
     )
 
@@ -44,13 +45,10 @@ def keyword_scores(counts, norm, vectors):
 
     Scores are kept to 9 places so that equal ones compare equal whatever the sum order.
     """
-    declared = F.array(*[
-        F.struct(
-            F.array(*map(F.lit, vector)).alias("vector"),
-            F.lit(sum(w * w for w in vector) ** 0.5).alias("norm"),
-        )
-        for vector in vectors.values()
-    ])
+    rows = [{"vector": v, "norm": sum(w * w for w in v) ** 0.5} for v in vectors.values()]
+    declared = F.from_json(
+        F.lit(json.dumps(rows)), "array<struct<vector: array<int>, norm: double>>"
+    )
 
     def score(c):
         return F.round(dot(counts, c["vector"]) / (norm * c["norm"]), 9)

@@ -10,7 +10,8 @@ def combine_text(title, summary):
     joined = F.concat(
         F.coalesce(title, F.lit("")), F.lit(" "), F.coalesce(summary, F.lit(""))
     )
-    return F.btrim(F.translate(joined, "\n\r", "  "), F.lit(WHITESPACE))
+    one_line = F.replace(F.replace(joined, F.lit("\n"), F.lit(" ")), F.lit("\r"), F.lit(" "))
+    return F.btrim(one_line, F.lit(WHITESPACE))
 
 
 def word_count(text):

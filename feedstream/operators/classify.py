@@ -11,14 +11,14 @@ from feedstream.functions.categories import (
 )
 from feedstream.functions.sentiment import lexicon_score, sentiment_label
 from feedstream.functions.text import model_text, words_in
-from feedstream.functions.vectors import argmax_label, dot, norm
+from feedstream.functions.vectors import argmax_label, cosine, dot, norm
 from feedstream.reference_data import (
     CATEGORIES_MAIN,
     NEGATIVE_WORDS,
     POSITIVE_WORDS,
     SENTIMENT_LABELS,
 )
-from feedstream.sources.declared import declared_table
+from feedstream.sources.declared import BROADCAST_ROWS, declared_table
 
 BLOCK = 128  # category vectors per subquery
 
@@ -109,10 +109,23 @@ def nearest_category(df, categories, n_categories, vector="embedding"):
     ).drop("_norm", "_categories", "_best")
 
 
+def own_category_score(df, categories, n_categories, category="category", vector="embedding"):
+    """Adds score, the cosine with the vector of the record's own category.
+
+    ``categories`` has (category, vector). While they are few they go to the records, whose
+    hottest category then needs no task of its own; more are joined by shuffle.
+    """
+    own = categories.select(F.col("category").alias(category), F.col("vector").alias("_own"))
+    if n_categories <= BROADCAST_ROWS:
+        own = F.broadcast(own)
+    scored = df.join(own, category)
+    return scored.withColumn("score", cosine(F.col(vector), F.col("_own"))).drop("_own")
+
+
 def _rated(vector, c):
-    cosine = F.try_divide(dot(F.col(vector), c["vector"]), F.col("_norm") * c["norm"])
+    ratio = F.try_divide(dot(F.col(vector), c["vector"]), F.col("_norm") * c["norm"])
     return F.struct(
-        F.round(cosine, 9).alias("score"),
+        F.round(ratio, 9).alias("score"),
         (-c["ord"]).alias("rank"),
         c["category"].alias("category"),
     )

@@ -40,7 +40,7 @@ def among(ledger, ids, id="id", limit=BROADCAST_ROWS):
     batch; more than ``limit`` are joined by shuffle. Counts the ids, so pass a persisted table.
     """
     few = ids.where(F.col(id).isNotNull())
-    if few.limit(limit + 1).count() <= limit:
+    if few.count() <= limit:
         few = F.broadcast(few)
     return ledger.join(few, id, "left_semi")
 

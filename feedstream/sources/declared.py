@@ -1,11 +1,18 @@
 """Tables declared in code."""
 
-from pyspark.sql import functions as F
+import pyarrow as pa
+from pyspark.sql import types as T
 
+# Largest number of records that is sent to every task on purpose.
 BROADCAST_ROWS = 100_000
 
 
 def declared_table(spark, rows, schema):
-    """A table of literal rows, marked for broadcast as long as it has few of them."""
-    table = spark.createDataFrame(rows, schema)
-    return F.broadcast(table) if len(rows) <= BROADCAST_ROWS else table
+    """A table of literal rows.
+
+    Spark knows the size of such a local table, so it broadcasts it in joins as long as it is
+    below the session's broadcast threshold and shuffles it beyond.
+    """
+    names = T.StructType.fromDDL(schema).names
+    records = pa.Table.from_pylist([dict(zip(names, row)) for row in rows])
+    return spark.createDataFrame(records, schema)

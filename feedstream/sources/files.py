@@ -9,3 +9,14 @@ def read_records(spark, path, fmt="parquet", schema=None, streaming=False, **opt
     elif streaming:
         raise ValueError("a file stream needs its schema")
     return reader.load(path)
+
+
+def spread(scan, *keys):
+    """Share out an input of few pieces, such as one large file, over the cluster's cores.
+
+    For file scans in front of heavy per-record work; keys should be close to unique. An input
+    of at least half as many pieces as cores is left as it is, so large tables are not shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    few = scan.rdd.getNumPartitions() * 2 <= cores
+    return scan.repartition(cores, *keys) if few else scan

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from feedstream.functions.categories import label_text
 from feedstream.functions.records import to_json_record
-from feedstream.functions.vectors import argmax_label as label_of_largest, cosine
+from feedstream.functions.vectors import argmax_label as label_of_largest
 from feedstream.operators import alerts, classify, dedup, enrich, metrics, parse
 from feedstream.operators.clean import clean
 from feedstream.plans.analysis import OLDER, WHOLE_TEXT, Variant, analyze
@@ -75,7 +75,7 @@ def results_scan(spark, sf_dir):
 @query
 def rss_xml_scan(spark, sf_dir):
     out = work_dir(spark, "rss_xml_scan")
-    landed = inputs.as_entries(table(spark, sf_dir, "documents")).select(
+    landed = inputs.as_entries(inputs.documents(spark, sf_dir)).select(
         "feed_ord",
         F.col("id").alias("guid"),
         "title",
@@ -94,7 +94,7 @@ def rss_xml_scan(spark, sf_dir):
 def atom_xml_scan(spark, sf_dir):
     out = work_dir(spark, "atom_xml_scan")
     link = F.when(F.col("link").isNotNull(), F.array(F.struct(F.col("link").alias("_href"))))
-    landed = inputs.as_entries(table(spark, sf_dir, "documents")).select(
+    landed = inputs.as_entries(inputs.documents(spark, sf_dir)).select(
         "feed_ord", "id", "title", "summary", "published", link.alias("link")
     )
     writer = landed.write.format("xml").option("rowTag", "entry").option("rootTag", "feed")
@@ -142,7 +142,7 @@ def article_json(spark, sf_dir):
 def corrupt_records(spark, sf_dir):
     record = F.to_json(F.struct(F.lit("rss").alias("source"), F.col("doc_id").alias("id")))
     raw = F.when(F.col("lang") == "es", F.col("text")).otherwise(record)
-    lines = table(spark, sf_dir, "documents").select("doc_id", raw.alias("json"))
+    lines = inputs.documents(spark, sf_dir).select("doc_id", raw.alias("json"))
     flagged = parse.flag_corrupt(lines, keep=["doc_id"])
     return flagged.select("doc_id", "source", "id", "is_corrupt", "raw")
 
@@ -179,13 +179,13 @@ def feed_default_category(spark, sf_dir):
 
 @query
 def keyword_category(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = inputs.documents(spark, sf_dir).select("doc_id", "text")
     return enrich.tag_category(documents, "text").select("doc_id", "category")
 
 
 @query
 def category_label_text(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = inputs.documents(spark, sf_dir).select("doc_id", "text")
     predicted = classify.classify_words(documents, sentiment=False)
     labels = classify.category_labels(spark).select(
         F.col("category").alias("predicted_category"), label_text(F.col("keywords")).alias("label")
@@ -200,7 +200,7 @@ def category_label_text(spark, sf_dir):
 
 @query
 def sentiment_lexicon(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = inputs.documents(spark, sf_dir).select("doc_id", "text")
     return classify.classify_words(
         documents, positive=inputs.POSITIVE, negative=inputs.NEGATIVE, category=False
     ).select("doc_id", "sentiment")
@@ -228,13 +228,13 @@ def word_list_scorer():
 @query
 def sentiment_udf(spark, sf_dir):
     label = classify.sentiment_udf(word_list_scorer())
-    documents = table(spark, sf_dir, "documents")
+    documents = inputs.documents(spark, sf_dir)
     return documents.select("doc_id", label(F.col("text")).alias("sentiment"))
 
 
 @query
 def predicted_category(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = inputs.documents(spark, sf_dir).select("doc_id", "text")
     return classify.classify_words(
         documents, categories=inputs.LANGUAGES, sentiment=False
     ).select("doc_id", "predicted_category")
@@ -242,7 +242,7 @@ def predicted_category(spark, sf_dir):
 
 @query
 def category_array(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = inputs.documents(spark, sf_dir).select("doc_id", "text")
     predicted = classify.classify_words(
         documents, categories=CATEGORIES_OLDER, sentiment=False
     ).select("doc_id", F.array("predicted_category").alias("categories"))
@@ -263,25 +263,32 @@ def category_centroids(spark, sf_dir):
         F.col("category").cast("bigint").alias("category"),
         "n",
         F.posexplode("vector").alias("dim", "value"),
-    ).select("category", "n", F.col("dim").cast("bigint").alias("dim"), F.round("value", 6).alias("value"))
+    ).withColumns({**big("dim"), "value": F.round("value", 6)})
+
+
+def n_labels(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").agg(F.count_distinct("label")).first()[0]
 
 
 @query
 def cosine_scores(spark, sf_dir):
-    own = centroids(spark, sf_dir).select(F.col("category").alias("label"), "vector")
-    vectors = table(spark, sf_dir, "embeddings").join(own, "label")
-    score = F.round(cosine(F.col("embedding"), F.col("vector")), 6)
-    return vectors.select("vec_id", score.alias("score"))
+    vectors = table(spark, sf_dir, "embeddings").select(
+        "vec_id", "embedding", F.col("label").alias("category")
+    )
+    scored = classify.own_category_score(
+        vectors, centroids(spark, sf_dir), n_labels(spark, sf_dir)
+    )
+    return scored.select("vec_id", F.round("score", 6).alias("score"))
 
 
 @query
 def nearest_category(spark, sf_dir):
-    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     categories = centroids(spark, sf_dir).withColumn("ord", F.col("category"))
-    n = vectors.agg(F.count_distinct("label")).first()[0]
-    nearest = classify.nearest_category(vectors, categories, n)
+    nearest = classify.nearest_category(vectors, categories, n_labels(spark, sf_dir))
     return nearest.select(
-        "vec_id", F.col("category").cast("bigint").alias("category"),
+        "vec_id",
+        F.col("category").cast("bigint").alias("category"),
         F.round("score", 6).alias("score"),
     )
 

@@ -13,6 +13,9 @@ from feedstream.operators.enrich import (
     union_articles,
 )
 from feedstream.schemas import HN_ITEM_SCHEMA
+from feedstream.sources.files import spread
+
+BATCH_BYTES = 256 * 2**30
 
 # Function words of the tables' four languages, as a lexicon and as categories.
 POSITIVE = ["the", "la", "der", "el", "los"]
@@ -29,10 +32,19 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark, sf_dir):
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
+def conversations(spark, sf_dir):
+    return spread(table(spark, sf_dir, "conversations"), "conv_id", "turn")
+
+
 def stream(spark, sf_dir, name):
-    """The table as a stream, be it one file or a folder of files."""
+    """The table as a stream, be it one file or a folder of files, in batches of bounded size."""
     schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{{{name}.parquet}}")
+    reader = spark.readStream.schema(schema).option("maxBytesPerTrigger", BATCH_BYTES)
+    return reader.parquet(f"{sf_dir}/{{{name}.parquet}}")
 
 
 def as_entries(documents):
@@ -50,8 +62,8 @@ def as_entries(documents):
 
 
 def entries(spark, sf_dir):
-    documents = as_entries(table(spark, sf_dir, "documents"))
-    return attach_feed(documents, feed_registry(spark), "feed_ord")
+    landed = as_entries(documents(spark, sf_dir))
+    return attach_feed(landed, feed_registry(spark), "feed_ord")
 
 
 def as_items(conversations):
@@ -70,14 +82,13 @@ def as_items(conversations):
 
 
 def items(spark, sf_dir):
-    return as_items(table(spark, sf_dir, "conversations"))
+    return as_items(conversations(spark, sf_dir))
 
 
 def item_json(spark, sf_dir):
     """Items as JSON texts; a system turn stands for an id without an item: 'null'."""
-    conversations = table(spark, sf_dir, "conversations")
     item = F.to_json(F.struct(*HN_ITEM_SCHEMA.names))
-    rows = as_items(conversations).withColumn("json", item)
+    rows = items(spark, sf_dir).withColumn("json", item)
     return rows.select(F.when(F.col("by").isNull(), "null").otherwise(F.col("json")).alias("json"))
 
 
@@ -126,6 +137,5 @@ def results(spark, sf_dir):
 
 def ledger(spark, sf_dir):
     """Articles sent before: the labelled documents."""
-    documents = table(spark, sf_dir, "documents")
     labelled = table(spark, sf_dir, "labels").select("doc_id")
-    return documents.join(labelled, "doc_id", "left_semi").select(F.md5("text").alias("id"))
+    return documents(spark, sf_dir).join(labelled, "doc_id", "left_semi").select(F.md5("text").alias("id"))
