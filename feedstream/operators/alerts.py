@@ -4,9 +4,9 @@ The definitions are this library's own: the feature set names these four without
 All take metric tables (key, window, n), already aggregated, so a group is one key's windows.
 """
 
-from pyspark.sql import Window, functions as F
+import json
 
-from feedstream.sources.declared import declared_table
+from pyspark.sql import Window, functions as F
 
 
 def windowed_counts(df, key, timestamp, width="1 day"):
@@ -34,19 +34,23 @@ def anomalies(metrics, history=7, limit=2.0):
     ).drop("seen")
 
 
-def threshold_rules(spark, rules):
-    """Rules (metric, op, threshold, level) with op '>' or '<'; a declared list."""
-    return declared_table(
-        spark, rules, "metric string, op string, threshold double, level string"
+def threshold_alerts(metrics, rules, metric="count"):
+    """Metric rows that break a rule of that metric, one row per broken rule.
+
+    ``rules`` is a declared list of (metric, op, threshold, level) with op '>' or '<'. Each row
+    is checked where it is, so no join is needed.
+    """
+    own = [dict(zip(("op", "threshold", "level"), r[1:])) for r in rules if r[0] == metric]
+    declared = F.from_json(
+        F.lit(json.dumps(own)), "array<struct<op: string, threshold: double, level: string>>"
     )
 
+    def broken(rule):
+        over = (rule["op"] == ">") & (F.col("n") > rule["threshold"])
+        under = (rule["op"] == "<") & (F.col("n") < rule["threshold"])
+        return over | under
 
-def threshold_alerts(metrics, rules, metric="count"):
-    """Metric rows that break a rule of that metric, one row per broken rule."""
-    joined = metrics.withColumn("metric", F.lit(metric)).join(rules, "metric")
-    over = (F.col("op") == ">") & (F.col("n") > F.col("threshold"))
-    under = (F.col("op") == "<") & (F.col("n") < F.col("threshold"))
-    return joined.where(over | under)
+    return metrics.select("*", F.lit(metric).alias("metric"), F.inline(F.filter(declared, broken)))
 
 
 def pattern_alerts(metrics, threshold, run=3):

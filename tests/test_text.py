@@ -1,0 +1,119 @@
+"""Text rules: counts, clean-up, keyword categories."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from feedstream.functions import categories, text
+from feedstream.operators.clean import clean
+from feedstream.operators.enrich import enrich_hn, enrich_rss, tag_category
+from feedstream.reference_data import INGEST_KEYWORDS
+from feedstream.schemas import HN_ITEM_SCHEMA
+
+ENTRY = "id string, link string, title string, summary string, published string, feed_category string"
+
+
+def one(df):
+    return df.first()[0]
+
+
+@pytest.mark.parametrize("value, words", [
+    ("", 1), ("one", 1), ("a b", 2), ("a  b ", 4), (" ", 2), ("a\tb\nc", 1), (None, None),
+])
+def test_word_count(spark, value, words):
+    df = spark.createDataFrame([(value,)], "t string")
+    assert one(df.select(text.word_count(F.col("t")))) == words
+
+
+def test_clean_keeps_longer_texts_only(spark):
+    texts = ["x" * 10, "x" * 11, "", None, "é" * 11]
+    df = spark.createDataFrame([(t,) for t in texts], "text_combined string")
+    kept = clean(df, min_length=10).select("text", "text_length").collect()
+    assert sorted(tuple(r) for r in kept) == [("x" * 11, 11), ("é" * 11, 11)]
+    assert clean(df).count() == len(texts)
+
+
+def test_clean_columns(spark):
+    df = spark.createDataFrame([("AbC d",)], "text_combined string")
+    row = clean(df).first()
+    assert (row.text, row.text_lower, row.word_count, row.text_length) == ("AbC d", "abc d", 2, 5)
+    assert row.processing_time is not None
+    assert "processing_time" not in clean(df, processing_time=False).columns
+
+
+@pytest.mark.parametrize("title, summary", [
+    ("a", "b"), ("a\nb", "c\r\nd"), (None, "b"), ("a", None), (None, None), ("", ""),
+    ("  a", "b \t"), (" a ", "　b\x85"), ("\n\n", "\r"), ("a", "\x1c\x1f"),
+])
+def test_combine_text(spark, title, summary):
+    df = spark.createDataFrame([(title, summary)], "t string, s string")
+    want = f"{title or ''} {summary or ''}".replace("\n", " ").replace("\r", " ").strip()
+    assert one(df.select(text.combine_text(F.col("t"), F.col("s")))) == want
+
+
+@pytest.mark.parametrize("value, max_chars, seen", [
+    (None, None, ""), ("abc", None, "abc"), ("é" * 600, 512, "é" * 512), ("ab", 512, "ab"),
+])
+def test_model_text(spark, value, max_chars, seen):
+    df = spark.createDataFrame([(value,)], "t string")
+    assert one(df.select(text.model_text(F.col("t"), max_chars))) == seen
+
+
+def test_words_in_repeats_and_case(spark):
+    df = spark.createDataFrame([("The cat, the DOG; cathedral 2the of_the l'été",)], "t string")
+    assert one(df.select(text.words_in(F.col("t"), ["the", "cat", "été"]))) == [
+        "the", "cat", "the", "the", "the", "été",
+    ]
+
+
+@pytest.mark.parametrize("value, category", [
+    ("Breaking NEWS on the stock market", "Actualité"),   # first entry wins
+    ("He said it", "Technologie"),                        # 'ai' inside a word
+    ("a startup", "Technologie"),                         # before Startups
+    ("an entrepreneur", "Startups"),
+    ("plain words", "Technologie"),                       # "ai" again
+    ("other words", "Other"),
+    ("", "Other"),
+])
+def test_first_match(spark, value, category):
+    df = spark.createDataFrame([(value,)], "t string")
+    found = categories.first_match(F.lower("t"), INGEST_KEYWORDS, F.lit("Other"))
+    assert one(df.select(found)) == category
+
+
+def test_tag_category_default(spark):
+    df = spark.createDataFrame([("zzz",)], "text_combined string")
+    assert one(tag_category(df).select("category")) == "General"
+
+
+def test_enrich_rss_defaults(spark):
+    entries = spark.createDataFrame([
+        ("g", "l", "T\nx", "S", "today", "Science"),
+        (None, "l2", None, None, None, "Finance"),
+        (None, None, "zzz", None, None, None),
+    ], ENTRY)
+    got = [tuple(r) for r in enrich_rss(entries, F.lit(7)).collect()]
+    assert got == [
+        ("rss", "g", "T\nx", "l", "today", "S", "T x S", "Science", 7),
+        ("rss", "l2", "", "l2", None, "", "", "Finance", 7),
+        ("rss", None, "zzz", "", None, "", "zzz", "General", 7),
+    ]
+
+
+def test_enrich_hn_defaults(spark):
+    items = spark.createDataFrame([
+        (1, "An AI\nstory", "u", "me", 3, 99, "story"),
+        (2, None, None, None, None, None, None),
+        (None, "no item", None, None, None, None, None),
+    ], HN_ITEM_SCHEMA)
+    got = [tuple(r) for r in enrich_hn(items, F.lit(7)).collect()]
+    assert got == [
+        ("hn", "1", "An AI\nstory", "u", "me", 3, 99, "story", "An AI\nstory", "Technologie", 7),
+        ("hn", "2", "", "", "", 0, 0, None, "", "HN", 7),
+    ]
+
+
+def test_fetch_time_is_now(spark):
+    import time
+
+    items = spark.createDataFrame([(1, "t", "u", "b", 1, 1, "story")], HN_ITEM_SCHEMA)
+    assert abs(enrich_hn(items).first().fetch_timestamp - time.time()) < 120

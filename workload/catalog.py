@@ -527,7 +527,7 @@ RULES = [("count", ">", 80.0, "high"), ("count", "<", 55.0, "low")]
 
 @query
 def threshold_alerts(spark, sf_dir):
-    broken = alerts.threshold_alerts(daily(spark, sf_dir), alerts.threshold_rules(spark, RULES))
+    broken = alerts.threshold_alerts(daily(spark, sf_dir), RULES)
     return broken.select("key", ntz("win").alias("win"), "n", "level", "threshold")
 
 
