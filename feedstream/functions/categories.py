@@ -5,8 +5,6 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from feedstream.functions.vectors import dot
-
 
 def contains_any(text, keywords):
     """True where any keyword is a substring of the text."""
@@ -25,32 +23,44 @@ def label_text(keywords):
 
 
 def category_vectors(table):
-    """Vocabulary of the label texts and, per category, its word counts over it."""
+    """Word counts of every category's label text."""
     words = {name: " ".join(keywords).split(" ") for name, keywords in table.items()}
-    vocabulary = list(dict.fromkeys(w for ws in words.values() for w in ws))
-    vectors = {name: [ws.count(w) for w in vocabulary] for name, ws in words.items()}
-    return vocabulary, vectors
+    return {name: {w: ws.count(w) for w in ws} for name, ws in words.items()}
 
 
-def occurrences(words, vocabulary):
-    """How often each vocabulary word occurs in an array of words."""
-    return F.transform(
-        F.split(F.lit(" ".join(vocabulary)), " "),
-        lambda v: F.size(words) - F.size(F.array_remove(words, v)),
-    )
+def term_counts(words):
+    """Array of words -> array of (word, n), one entry per different word."""
+    def counted(word):
+        n = F.size(words) - F.size(F.array_remove(words, word))
+        return F.struct(word.alias("word"), n.cast("double").alias("n"))
+
+    return F.transform(F.array_distinct(words), counted)
+
+
+def term_norm(counts):
+    """Length of a text's vector of word counts."""
+    return F.sqrt(F.aggregate(counts, F.lit(0.0), lambda total, t: total + t["n"] * t["n"]))
 
 
 def keyword_scores(counts, norm, vectors):
     """Cosine of word counts (of length ``norm``) with every category vector, 0 for no hits.
 
-    Scores are kept to 9 places so that equal ones compare equal whatever the sum order.
+    Only the text's own words are visited. Scores are kept to 9 places so that equal ones
+    compare equal whatever the sum order.
     """
-    rows = [{"vector": v, "norm": sum(w * w for w in v) ** 0.5} for v in vectors.values()]
     declared = F.from_json(
-        F.lit(json.dumps(rows)), "array<struct<vector: array<int>, norm: double>>"
+        F.lit(json.dumps([
+            {"weights": v, "norm": sum(n * n for n in v.values()) ** 0.5}
+            for v in vectors.values()
+        ])),
+        "array<struct<weights: map<string, double>, norm: double>>",
     )
 
     def score(c):
-        return F.round(dot(counts, c["vector"]) / (norm * c["norm"]), 9)
+        def weighed(total, t):
+            weight = F.try_element_at(c["weights"], t["word"])
+            return total + t["n"] * F.coalesce(weight, F.lit(0.0))
+
+        return F.round(F.aggregate(counts, F.lit(0.0), weighed) / (norm * c["norm"]), 9)
 
     return F.transform(declared, lambda c: F.when(norm > 0, score(c)).otherwise(F.lit(0.0)))

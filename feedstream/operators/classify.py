@@ -7,11 +7,12 @@ from feedstream.functions.categories import (
     category_vectors,
     keyword_scores,
     label_text,
-    occurrences,
+    term_counts,
+    term_norm,
 )
 from feedstream.functions.sentiment import lexicon_score, sentiment_label
 from feedstream.functions.text import model_text, words_in
-from feedstream.functions.vectors import argmax_label, cosine, dot, norm
+from feedstream.functions.vectors import argmax_label, cosine
 from feedstream.reference_data import (
     CATEGORIES_MAIN,
     NEGATIVE_WORDS,
@@ -20,7 +21,8 @@ from feedstream.reference_data import (
 )
 from feedstream.sources.declared import BROADCAST_ROWS, declared_table
 
-BLOCK = 128  # category vectors per subquery
+BLOCK = 512  # category vectors per scoring matrix
+NO_SCORE = -2.0  # below every cosine: a vector without length
 
 
 def classify_words(
@@ -39,20 +41,20 @@ def classify_words(
     Each text is split once; both classifiers work on the few words they know. A text of no
     category word gets the first category, or unmatched_label where one is given.
     """
-    vocabulary, vectors = category_vectors(categories)
+    vectors = category_vectors(categories)
     known = set()
     if sentiment:
         known |= set(positive) | set(negative)
     if category:
-        known |= set(vocabulary)
+        known |= {word for vector in vectors.values() for word in vector}
     out = df.withColumn("_words", words_in(model_text(F.col(text), max_chars), sorted(known)))
     if sentiment:
         score = lexicon_score(F.col("_words"), positive, negative)
         out = out.withColumn("_score", score)
         out = out.withColumn("sentiment", sentiment_label(F.col("_score"))).drop("_score")
     if category:
-        out = out.withColumn("_counts", occurrences(F.col("_words"), vocabulary))
-        out = out.withColumn("_norm", norm(F.col("_counts")))
+        out = out.withColumn("_counts", term_counts(F.col("_words")))
+        out = out.withColumn("_norm", term_norm(F.col("_counts")))
         out = out.withColumn(
             "_scores", keyword_scores(F.col("_counts"), F.col("_norm"), vectors)
         )
@@ -73,40 +75,80 @@ def category_labels(spark, categories=CATEGORIES_MAIN):
     return table.withColumn("label_text", label_text(F.col("keywords")))
 
 
-def category_centroids(df, category="label", vector="embedding", *, dims):
+def category_centroids(df, category="label", vector="embedding"):
     """(category, vector, n): the mean vector of every category.
 
-    One average per dimension keeps a record one record; partial sums leave the map side.
+    Sums per (category, dimension) leave the map side, so the exchange is as small as the
+    result and a hot category weighs no more than another.
     """
-    means = [F.avg(F.get(vector, F.lit(i)).cast("double")) for i in range(dims)]
-    return df.groupBy(F.col(category).alias("category")).agg(
-        F.array(*means).alias("vector"), F.count("*").alias("n")
+    parts = df.select(F.col(category).alias("category"), F.posexplode(vector).alias("dim", "x"))
+    means = parts.groupBy("category", "dim").agg(
+        F.avg(F.col("x").cast("double")).alias("mean"), F.count("*").alias("n")
+    )
+    by_dim = F.sort_array(F.collect_list(F.struct("dim", "mean")))
+    return means.groupBy("category").agg(
+        F.transform(by_dim, lambda d: d["mean"]).alias("vector"), F.max("n").alias("n")
     )
 
 
-def nearest_category(df, categories, n_categories, vector="embedding"):
+def nearest_category(df, categories, vector="embedding"):
     """Adds (category, score) of the category vector with the largest cosine.
 
-    ``categories`` has (ord, category, vector); of equal scores the smallest ord wins. The
-    vectors reach the records through scalar subqueries of about BLOCK vectors each, so the
-    records are neither shuffled nor multiplied, and any number of categories is exact.
+    ``categories`` has (ord, category, vector): declared labels or centroids. They are computed
+    once and sent to the tasks in blocks of about BLOCK vectors; the records stay where they
+    are, and their batches are scored as matrices. Of equal scores the smallest ord wins.
     """
-    blocks = max(1, -(-n_categories // BLOCK))
+    context = df.sparkSession.sparkContext
+    categories = categories.select("ord", "category", "vector").persist()
+    blocks = max(1, -(-categories.count() // BLOCK))
     block = F.pmod(F.xxhash64("category"), F.lit(blocks))
-    scored = df.withColumn("_norm", norm(F.col(vector)))
+    scored, best = df, []
     for i in range(blocks):
-        packed = categories.where(block == i).agg(F.collect_list(F.struct(
-            F.col("category").alias("category"),
-            F.col("ord").alias("ord"),
-            F.col("vector").alias("vector"),
-            norm(F.col("vector")).alias("norm"),
-        )))
-        scored = scored.withColumn("_categories", packed.scalar())
-        best = F.array_max(F.transform("_categories", lambda c: _rated(vector, c)))
-        scored = scored.withColumn("_best", best if i == 0 else F.greatest("_best", best))
-    return scored.withColumns(
-        {"category": F.col("_best.category"), "score": F.col("_best.score")}
-    ).drop("_norm", "_categories", "_best")
+        few = categories.where(block == i).orderBy("ord").collect()
+        if few:
+            scored = scored.withColumn(f"_best{i}", _best_of(context, few)(F.col(vector)))
+            best.append(f"_best{i}")
+    categories.unpersist()
+    found = F.col(best[0]) if len(best) == 1 else F.greatest(*best)
+    name = categories.schema["category"].dataType
+    return scored.withColumn("_best", found).withColumns({
+        "category": F.col("_best.category").cast(name),
+        "score": F.nullif("_best.score", F.lit(NO_SCORE)),
+    }).drop("_best", *best)
+
+
+def _best_of(context, categories):
+    """Vector -> (score, -ord, category) of the best of a few categories."""
+    import pandas as pd
+
+    declared = context.broadcast((
+        [[float(x) for x in c.vector] for c in categories],
+        [-c.ord for c in categories],
+        [str(c.category) for c in categories],
+    ))
+    no_score = NO_SCORE
+
+    def best(vectors):
+        import numpy as np
+
+        def unit(matrix):
+            with np.errstate(invalid="ignore", divide="ignore"):
+                return matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
+
+        matrix, ranks, names = declared.value
+        matrix = np.asarray(matrix)
+        nothing = np.zeros(matrix.shape[1])
+        rows = np.stack([nothing if v is None else v for v in vectors]).astype(float)
+        scores = np.nan_to_num((unit(rows) @ unit(matrix).T).round(9), nan=no_score)
+        place = scores.argmax(axis=1)
+        return pd.DataFrame({
+            "score": scores[np.arange(len(place)), place],
+            "rank": np.asarray(ranks)[place],
+            "category": np.asarray(names)[place],
+        })
+
+    best.__annotations__ = {"vectors": pd.Series, "return": pd.DataFrame}
+    return F.pandas_udf(best, "score double, rank bigint, category string")
 
 
 def own_category_score(df, categories, n_categories, category="category", vector="embedding"):
@@ -122,15 +164,6 @@ def own_category_score(df, categories, n_categories, category="category", vector
     return scored.withColumn("score", cosine(F.col(vector), F.col("_own"))).drop("_own")
 
 
-def _rated(vector, c):
-    ratio = F.try_divide(dot(F.col(vector), c["vector"]), F.col("_norm") * c["norm"])
-    return F.struct(
-        F.round(ratio, 9).alias("score"),
-        (-c["ord"]).alias("rank"),
-        c["category"].alias("category"),
-    )
-
-
 def sentiment_udf(scorer_factory, labels=SENTIMENT_LABELS):
     """Column function: text -> label of the largest class score of a plugged-in model.
 

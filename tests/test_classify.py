@@ -51,7 +51,8 @@ def test_equal_scores_go_to_the_first(spark):
 
 def test_categories_against_brute_force(spark):
     rng = random.Random(5)
-    vocabulary, vectors = category_vectors(CATEGORIES_OLDER)
+    vectors = category_vectors(CATEGORIES_OLDER)
+    vocabulary = sorted({w for v in vectors.values() for w in v})
     texts = [" ".join(rng.choices([*vocabulary, "other", "words"], k=rng.randint(0, 40))) for _ in range(200)]
 
     def best(text):
@@ -61,7 +62,8 @@ def test_categories_against_brute_force(spark):
         def score(v):
             if not size:
                 return 0.0
-            return round(sum(a * b for a, b in zip(counts, v)) / (size * math.hypot(*v)), 9)
+            dot = sum(c * v.get(w, 0) for w, c in zip(vocabulary, counts))
+            return round(dot / (size * math.hypot(*v.values())), 9)
 
         scores = {name: score(v) for name, v in vectors.items()}
         return max(scores, key=scores.get)
@@ -106,13 +108,27 @@ def test_nearest_category_in_any_number_of_blocks(spark, monkeypatch, block):
     categories = spark.createDataFrame(
         [(i, f"c{i}", v) for i, v in enumerate(centres)], "ord int, category string, vector array<double>"
     )
-    got = classify.nearest_category(df, categories, 6).orderBy("n").collect()
+    got = classify.nearest_category(df, categories).orderBy("n").collect()
     assert [r.category for r in got] == [f"c{i}" for i in want]
     assert got[0].score == pytest.approx(cos(vectors[0], centres[want[0]]))
 
 
 
 
+def test_nearest_category_of_a_vector_without_length(spark):
+    df = spark.createDataFrame([(0, [0.0, 0.0]), (1, None), (2, [0.0, -1.0])], "n int, embedding array<double>")
+    categories = spark.createDataFrame([(1, "b", [0.0, 1.0]), (0, "a", [1.0, 1.0])], "ord int, category string, vector array<double>")
+    got = classify.nearest_category(df, categories).orderBy("n").collect()
+    assert [(r.category, r.score) for r in got[:2]] == [("a", None), ("a", None)]
+    assert (got[2].category, got[2].score) == ("a", pytest.approx(-math.sqrt(0.5)))
+
+
+def test_centroids(spark):
+    df = spark.createDataFrame([(1, [1.0, 5.0]), (1, [3.0, 7.0]), (2, [0.0, 1.0])], "label int, embedding array<float>")
+    got = sorted(tuple(r) for r in classify.category_centroids(df).collect())
+    assert got == [(1, [2.0, 6.0], 2), (2, [0.0, 1.0], 1)]
+
+
 def test_sentiment_plug_in(spark):
     df = spark.createDataFrame([(0, None), (1, ""), (2, "abc"), (3, "abcdef")], DOCS)
 
@@ -138,7 +154,7 @@ def test_embedding_plug_in(spark):
     labels = classify.embedded_labels(spark, embedder(), categories)
     df = spark.createDataFrame([(0, "aab"), (1, "bba"), (2, "ab")], DOCS)
     embedded = df.withColumn("embedding", classify.embedding_udf(embedder)(F.col("text")))
-    got = classify.nearest_category(embedded, labels, len(categories)).orderBy("n").collect()
+    got = classify.nearest_category(embedded, labels).orderBy("n").collect()
     assert [r.category for r in got] == ["As", "Bs", "As"]
 
 

@@ -254,7 +254,7 @@ def category_array(spark, sf_dir):
 
 
 def centroids(spark, sf_dir):
-    return classify.category_centroids(table(spark, sf_dir, "embeddings"), dims=64)
+    return classify.category_centroids(table(spark, sf_dir, "embeddings"))
 
 
 @query
@@ -285,7 +285,7 @@ def cosine_scores(spark, sf_dir):
 def nearest_category(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     categories = centroids(spark, sf_dir).withColumn("ord", F.col("category"))
-    nearest = classify.nearest_category(vectors, categories, n_labels(spark, sf_dir))
+    nearest = classify.nearest_category(vectors, categories)
     return nearest.select(
         "vec_id",
         F.col("category").cast("bigint").alias("category"),
