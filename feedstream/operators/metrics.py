@@ -14,13 +14,16 @@ from feedstream.reference_data import (
 
 
 def result_view(results, timestamp="processing_time", keep=()):
-    """Result records as the view shows them: defaults for missing keys, titles cut."""
+    """Result records as the view shows them: defaults for missing keys, titles cut.
+
+    ``timestamp`` is the time to show: a column name, or current_timestamp() for arrival time.
+    """
     def filled(name):
         return F.coalesce(F.col(name), F.lit(RESULT_DEFAULTS[name]))
 
     return results.select(
         *keep,
-        F.col(timestamp).alias("timestamp"),
+        (F.col(timestamp) if isinstance(timestamp, str) else timestamp).alias("timestamp"),
         filled("source").alias("source"),
         F.substring(filled("title"), 1, TITLE_CHARS).alias("title"),
         filled("sentiment").alias("sentiment"),

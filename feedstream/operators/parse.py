@@ -7,9 +7,9 @@ from feedstream.schemas import ARTICLE_SCHEMA, RESULT_SCHEMA
 CORRUPT = "_corrupt_record"
 
 
-def decode(df, value="value"):
+def decode(df, value="value", keep=()):
     """Binary message body -> JSON text."""
-    return df.select(F.col(value).cast("string").alias("json"))
+    return df.select(*keep, F.col(value).cast("string").alias("json"))
 
 
 def parse_json(df, schema, json="json", keep=()):

@@ -93,6 +93,7 @@ RESULTS_TOPIC = "analyzed_results"
 RECORDS_PER_TRIGGER = 100
 ANALYSIS_TRIGGER = "10 seconds"
 POLL_TRIGGER = "30 seconds"
+VIEW_TRIGGER = "2 seconds"
 LINGER_MS = 500
 HN_LIST_LENGTH = 200
 MIN_TEXT_LENGTH = 10

@@ -38,9 +38,12 @@ def publish_options(servers, topic):
     return sink_options(servers, topic, linger_ms=LINGER_MS)
 
 
-def read_topic(spark, servers, topic, streaming=True, starting=None, **options):
-    """The topic's messages as JSON text. A table reads the topic from its start."""
+def read_topic(spark, servers, topic, streaming=True, starting=None, keep=(), **options):
+    """The topic's messages as JSON text. A table reads the topic from its start.
+
+    ``keep`` names columns of the source to carry along, such as partition and offset.
+    """
     start = starting or ("latest" if streaming else "earliest")
     reader = spark.readStream if streaming else spark.read
     chosen = source_options(servers, topic, start, **options)
-    return decode(reader.format("kafka").options(**chosen).load())
+    return decode(reader.format("kafka").options(**chosen).load(), keep=keep)

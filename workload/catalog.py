@@ -453,6 +453,12 @@ def stream_counters(spark, sf_dir):
     return jobs.latest_version(spark, f"{out}/table")
 
 
+@query
+def stream_kpi(spark, sf_dir):
+    totals = metrics.kpi_totals(stream_counters(spark, sf_dir))
+    return totals.select("total", "positive", "sources", "categories")
+
+
 @query
 def stream_timeline(spark, sf_dir):
     out = work_dir(spark, "stream_timeline")
@@ -480,6 +486,15 @@ def stream_recent(spark, sf_dir):
     return newest.withColumn("timestamp", ntz("timestamp")).withColumns(big("word_count"))
 
 
+@query
+def stream_timeline_last100(spark, sf_dir):
+    out = work_dir(spark, "stream_timeline_last100")
+    results = result_stream(spark, sf_dir)
+    drain(jobs.running_recent(results, ORDER, f"{out}/table", f"{out}/checkpoint"))
+    newest = jobs.latest_version(spark, f"{out}/table")
+    return metrics.timeline_last(newest, ORDER).withColumn("minute", ntz("minute"))
+
+
 @query
 def stream_ingest(spark, sf_dir):
     out = work_dir(spark, "stream_ingest")
@@ -512,14 +527,13 @@ def stream_analysis(spark, sf_dir):
 
 
 def daily(spark, sf_dir):
-    events = table(spark, sf_dir, "events").withColumn("at", F.col("ts").cast("timestamp"))
-    return alerts.windowed_counts(events, "event_type", "at")
+    return alerts.windowed_counts(table(spark, sf_dir, "events"), "event_type", "ts")
 
 
 @query
 def anomaly_zscore(spark, sf_dir):
     found = alerts.anomalies(daily(spark, sf_dir))
-    return found.select("key", ntz("win").alias("win"), "n", F.round("z", 4).alias("z"))
+    return found.select("key", "win", "n", F.round("z", 4).alias("z"))
 
 
 RULES = [("count", ">", 80.0, "high"), ("count", "<", 55.0, "low")]
@@ -528,20 +542,20 @@ RULES = [("count", ">", 80.0, "high"), ("count", "<", 55.0, "low")]
 @query
 def threshold_alerts(spark, sf_dir):
     broken = alerts.threshold_alerts(daily(spark, sf_dir), RULES)
-    return broken.select("key", ntz("win").alias("win"), "n", "level", "threshold")
+    return broken.select("key", "win", "n", "level", "threshold")
 
 
 @query
 def pattern_alerts(spark, sf_dir):
     found = alerts.pattern_alerts(daily(spark, sf_dir), threshold=66)
-    return found.select("key", ntz("win").alias("win"), "n")
+    return found.select("key", "win", "n")
 
 
 @query
 def timeseries_long(spark, sf_dir):
     out = work_dir(spark, "timeseries_long")
-    events = table(spark, sf_dir, "events").withColumn("at", F.col("ts").cast("timestamp"))
-    series = alerts.time_series(events, "at", ["event_type"], ["value", "user_id"])
+    events = table(spark, sf_dir, "events")
+    series = alerts.time_series(events, "ts", ["event_type"], ["value", "user_id"])
     alerts.write_time_series(series, out)
     stored = spark.read.parquet(out)
-    return stored.select(ntz("ts").alias("ts"), "event_type", "metric", "value")
+    return stored.select("ts", "event_type", "metric", "value")

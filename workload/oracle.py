@@ -286,6 +286,11 @@ SELECT strftime(timestamp, '%H:%M:%S') AS time, source, title, sentiment, catego
     "timeline_last100": f"""WITH {VIEW}, latest AS ({RECENT.format(n=100)})
 {TIMELINE.format(source='latest')}""",
     "stream_counters": f"WITH {VIEW} {COUNTS}",
+    "stream_kpi": f"""WITH {VIEW} SELECT count(*) AS total,
+  count(*) FILTER (sentiment = 'positive') AS positive, count(DISTINCT source) AS sources,
+  count(DISTINCT category) AS categories FROM view""",
+    "stream_timeline_last100": f"""WITH {VIEW}, latest AS ({RECENT.format(n=100)})
+{TIMELINE.format(source='latest')}""",
     "stream_timeline": f"WITH {VIEW} {TIMELINE.format(source='view')}",
     "stream_timeline_bounded": f"WITH {VIEW} {TIMELINE.format(source='view')}",
     "stream_recent": f"WITH {VIEW} {RECENT.format(n=500)}",
