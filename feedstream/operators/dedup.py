@@ -21,7 +21,10 @@ def first_seen(df, order, id="id"):
 
 
 def unseen(df, ledger, id="id"):
-    """Records whose id is not in the ledger, copies included."""
+    """Records whose id is not in the ledger, copies included.
+
+    Copies of a very frequent id are split by the adaptive skew join; first_unseen drops them.
+    """
     return df.join(ledger.select(id), id, "left_anti")
 
 
@@ -39,14 +42,18 @@ def among(ledger, ids, id="id", limit=BROADCAST_ROWS):
     Few ids are sent to the ledger's tasks, which saves shuffling a long ledger for a small
     batch; more than ``limit`` are joined by shuffle. Counts the ids, so pass a persisted table.
     """
-    few = ids.where(F.col(id).isNotNull())
+    few = ids.where(F.col(id).isNotNull()).distinct()
     if few.count() <= limit:
         few = F.broadcast(few)
     return ledger.join(few, id, "left_semi")
 
 
 def drop_repeats(stream, id="id", watermark=None):
-    """Streaming first-seen by state: unbounded, or bounded by (event-time column, delay)."""
+    """Streaming first-seen by state: unbounded, or bounded by (event-time column, delay).
+
+    Spark sends every copy of an id to that id's state; where single ids have very many copies,
+    use the ledger (streaming.jobs.ingest), which drops them before the exchange.
+    """
     with_id, without_id = stream.where(F.col(id).isNotNull()), stream.where(F.col(id).isNull())
     if watermark is None:
         return with_id.dropDuplicates([id]).unionByName(without_id)

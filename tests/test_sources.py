@@ -86,7 +86,7 @@ def test_items_and_lists(spark, landed):
     items = feeds.hn_items(spark, str(landed / "hn"))
     lists = spark.createDataFrame([("[3, 2, 1]",)], "json string")
     ids = first_ids(parse_id_lists(lists))
-    got = lookup_items(ids, items, broadcast_ids=True).orderBy("pos").collect()
+    got = lookup_items(ids, items, n_ids=200).orderBy("pos").collect()
     assert [(r.pos, r.id, r.title) for r in got] == [(0, 3, "three"), (2, 1, "one")]
 
 

@@ -1,5 +1,7 @@
 """Registered queries: name -> (spark, sf_dir) -> DataFrame."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from feedstream.functions.categories import label_text
@@ -7,9 +9,9 @@ from feedstream.functions.records import to_json_record
 from feedstream.functions.vectors import argmax_label as label_of_largest
 from feedstream.operators import alerts, classify, dedup, enrich, metrics, parse
 from feedstream.operators.clean import clean
-from feedstream.plans.analysis import OLDER, WHOLE_TEXT, Variant, analyze
-from feedstream.reference_data import CATEGORIES_MAIN, CATEGORIES_OLDER, MIN_TEXT_LENGTH
-from feedstream.schemas import HN_ITEM_SCHEMA, RESULT_COLUMNS
+from feedstream.plans.analysis import OLDER, WHOLE_TEXT, analyze
+from feedstream.reference_data import CATEGORIES_OLDER, HN_LIST_LENGTH, MIN_TEXT_LENGTH
+from feedstream.schemas import RESULT_COLUMNS
 from feedstream.session import work_dir
 from feedstream.sources import feeds
 from feedstream.sources.files import read_records
@@ -115,7 +117,7 @@ def hn_item_lookup(spark, sf_dir):
     out = work_dir(spark, "hn_items")
     inputs.item_json(spark, sf_dir).write.text(out)
     ids = enrich.first_ids(enrich.parse_id_lists(inputs.id_list(spark, sf_dir)))
-    found = enrich.lookup_items(ids, feeds.hn_items(spark, out), broadcast_ids=True)
+    found = enrich.lookup_items(ids, feeds.hn_items(spark, out), n_ids=HN_LIST_LENGTH)
     return found.withColumns(big("pos"))
 
 
@@ -302,8 +304,6 @@ def argmax_label(spark, sf_dir):
 
 
 def lexicon(variant_of=WHOLE_TEXT, **changes):
-    from dataclasses import replace
-
     return replace(
         variant_of, positive=tuple(inputs.POSITIVE), negative=tuple(inputs.NEGATIVE), **changes
     )
@@ -337,14 +337,13 @@ def analyze_plugged(spark, sf_dir):
 
 
 def rss_articles(spark, sf_dir):
-    return enrich.enrich_rss(inputs.entries(spark, sf_dir), F.lit(0), keep=["entry_ord"])
+    articles = enrich.enrich_rss(inputs.entries(spark, sf_dir), keep=["entry_ord"])
+    return articles.select("entry_ord", "id", "title")
 
 
 @query
 def dedup_first_seen(spark, sf_dir):
-    return dedup.first_seen(rss_articles(spark, sf_dir), ["entry_ord"]).select(
-        "entry_ord", "id", "title"
-    )
+    return dedup.first_seen(rss_articles(spark, sf_dir), ["entry_ord"])
 
 
 @query
@@ -355,10 +354,8 @@ def dedup_unseen(spark, sf_dir):
 
 @query
 def dedup_ledger(spark, sf_dir):
-    fresh = dedup.first_unseen(
-        rss_articles(spark, sf_dir), inputs.ledger(spark, sf_dir), ["entry_ord"]
-    )
-    return fresh.select("entry_ord", "id", "title")
+    sent = inputs.ledger(spark, sf_dir)
+    return dedup.first_unseen(rss_articles(spark, sf_dir), sent, ["entry_ord"])
 
 
 # --- results: JSON, view, counters --------------------------------------------------------
