@@ -70,6 +70,9 @@ def time_series(df, timestamp, tags, values):
 
 
 def write_time_series(series, path, mode="append"):
-    """Store long-form series by date, so that a time range reads only its days."""
-    dated = series.withColumn("date", F.to_date("ts"))
+    """Store long-form series by date, so that a time range reads only its days.
+
+    Rebalancing gives every date few, evenly sized files; a large date is split over tasks.
+    """
+    dated = series.withColumn("date", F.to_date("ts")).hint("rebalance", "date")
     dated.write.mode(mode).partitionBy("date").parquet(path)
