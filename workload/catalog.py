@@ -10,7 +10,12 @@ from feedstream.functions.vectors import argmax_label as label_of_largest
 from feedstream.operators import alerts, classify, dedup, enrich, metrics, parse
 from feedstream.operators.clean import clean
 from feedstream.plans.analysis import OLDER, WHOLE_TEXT, analyze
-from feedstream.reference_data import CATEGORIES_OLDER, HN_LIST_LENGTH, MIN_TEXT_LENGTH
+from feedstream.reference_data import (
+    CATEGORIES_OLDER,
+    HN_LIST_LENGTH,
+    MIN_TEXT_LENGTH,
+    RECENT_KEPT,
+)
 from feedstream.schemas import RESULT_COLUMNS
 from feedstream.session import work_dir
 from feedstream.sources import feeds
@@ -414,15 +419,21 @@ def top5_categories(spark, sf_dir):
     return metrics.top(counts(spark, sf_dir))
 
 
+def newest(spark, sf_dir, n):
+    """View of the last n results, cut on the stored columns before any field is derived."""
+    events = metrics.recent(table(spark, sf_dir, "events"), ["ts", "event_id"], n)
+    return metrics.result_view(inputs.as_results(events), keep=["seq"])
+
+
 @query
 def recent_500(spark, sf_dir):
-    newest = metrics.recent(view(spark, sf_dir), ORDER)
-    return newest.withColumn("timestamp", ntz("timestamp")).withColumns(big("word_count"))
+    kept = newest(spark, sf_dir, RECENT_KEPT)
+    return kept.withColumn("timestamp", ntz("timestamp")).withColumns(big("word_count"))
 
 
 @query
 def recent_n(spark, sf_dir):
-    return metrics.recent_shown(view(spark, sf_dir), ORDER)
+    return metrics.recent_shown(newest(spark, sf_dir, RECENT_KEPT), ORDER)
 
 
 @query
@@ -432,7 +443,8 @@ def timeline_minute(spark, sf_dir):
 
 @query
 def timeline_last100(spark, sf_dir):
-    return metrics.timeline_last(view(spark, sf_dir), ORDER).withColumn("minute", ntz("minute"))
+    kept = newest(spark, sf_dir, RECENT_KEPT)
+    return metrics.timeline_last(kept, ORDER).withColumn("minute", ntz("minute"))
 
 
 # --- long-running queries, drained over the whole table -----------------------------------
