@@ -26,8 +26,11 @@ def model_text(text, max_chars=None):
 
 
 def letter_words(text):
-    """Lower-case runs of letters; a text that starts or ends otherwise adds empty pieces."""
-    return F.split(F.lower(text), r"[^\p{L}]+")
+    """Lower-case runs of letters; a text that starts or ends otherwise adds empty pieces.
+
+    The possessive form never looks back and is the fastest of the equivalent patterns.
+    """
+    return F.split(F.lower(text), r"\P{L}++")
 
 
 def words_in(text, vocabulary):

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from feedstream.operators.dedup import among, first_unseen
+from feedstream.operators.dedup import among, drop_repeats, first_unseen
 from feedstream.operators.metrics import counters, recent, timeline
 from feedstream.reference_data import RECENT_KEPT
 from feedstream.sources.ledger import create_ledger, mark_sent, read_ledger
@@ -42,6 +42,15 @@ def ingest(articles, order, ledger_path, publish, checkpoint):
     return batch_sink(articles, write, checkpoint)
 
 
+def ingest_by_state(articles, publish, checkpoint, watermark=None):
+    """As ingest, with the sent ids in the query's state and not in a ledger table.
+
+    For histories too long to be read with every batch: a batch looks up its own ids only. The
+    state grows without bound, or is bounded by watermark = (event-time column, delay).
+    """
+    return batch_sink(drop_repeats(articles, watermark=watermark), publish, checkpoint)
+
+
 def publish_results(results, writes, checkpoint):
     """Analysed records to every given place from one reading of the source."""
     return batch_sink(results, to_all(*writes), checkpoint)

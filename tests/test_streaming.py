@@ -103,6 +103,16 @@ def test_ingest_remembers_over_batches_and_restart(spark, tmp_path, drain):
     assert sorted(r.id for r in read_ledger(spark, ledger).collect()) == ["a", "b", "c"]
 
 
+def test_ingest_by_state_remembers_over_restart(spark, tmp_path, drain):
+    topic = Topic(spark, tmp_path, ARTICLE)
+    out, checkpoint = f"{tmp_path}/out", f"{tmp_path}/checkpoint"
+    for batch in ([article(0, "a"), article(1, None), article(2, "b")],
+                  [article(3, "b"), article(4, None), article(5, "c")]):
+        topic.add(batch)
+        drain(jobs.ingest_by_state(topic.stream(), sinks.batch_files(out), checkpoint))
+    assert sorted(o for _, o in published(spark, out)) == [0, 1, 2, 4, 5]
+
+
 def test_replayed_batch_publishes_the_same(spark, tmp_path):
     """A batch that failed after its ledger entry was written comes again with its number."""
     ledger = f"{tmp_path}/ledger"
@@ -169,7 +179,7 @@ def test_console_and_triggers(spark, topic, tmp_path):
     progress = [p for p in query.recentProgress if p.numInputRows]
     assert sum(p.numInputRows for p in progress) == 60
     assert "ConsoleTable" in progress[0].sink.description
-    ticking = jobs.start(sinks.file_sink(topic.stream(), f"{tmp_path}/o", f"{tmp_path}/d"), every="10 seconds")
+    ticking = jobs.start(sinks.file_sink(topic.stream(), f"{tmp_path}/o", f"{tmp_path}/d"), every="1 second")
     try:
         ticking.processAllAvailable()
         assert spark.read.parquet(f"{tmp_path}/o").count() == 60

@@ -519,6 +519,17 @@ def stream_ingest(spark, sf_dir):
     )
 
 
+@query
+def stream_ingest_by_state(spark, sf_dir):
+    """Ids only: which of several copies comes first is up to the files' order."""
+    out = work_dir(spark, "stream_ingest_by_state")
+    documents = inputs.as_entries(inputs.stream(spark, sf_dir, "documents"))
+    articles = documents.select(F.coalesce("id", "link").alias("id"))
+    publish = sinks.batch_files(f"{out}/topic")
+    drain(jobs.ingest_by_state(articles, publish, f"{out}/checkpoint"))
+    return spark.read.schema(articles.schema).parquet(f"{out}/topic")
+
+
 @query
 def stream_analysis(spark, sf_dir):
     out = work_dir(spark, "stream_analysis")

@@ -295,6 +295,7 @@ SELECT strftime(timestamp, '%H:%M:%S') AS time, source, title, sentiment, catego
     "stream_timeline_bounded": f"WITH {VIEW} {TIMELINE.format(source='view')}",
     "stream_recent": f"WITH {VIEW} {RECENT.format(n=500)}",
     "stream_ingest": f"WITH {FIRST_SEEN} SELECT entry_ord, id, title FROM firsts",
+    "stream_ingest_by_state": f"WITH {FIRST_SEEN} SELECT id FROM firsts",
     "stream_analysis": f"""WITH {ANALYSED}
 SELECT source, id, title, link, "by", sentiment, predicted_category, word_count, text_length
 FROM analysed WHERE source = 'hn'""",
