@@ -527,7 +527,7 @@ def stream_ingest_by_state(spark, sf_dir):
     articles = documents.select(F.coalesce("id", "link").alias("id"))
     publish = sinks.batch_files(f"{out}/topic")
     drain(jobs.ingest_by_state(articles, publish, f"{out}/checkpoint"))
-    return spark.read.schema(articles.schema).parquet(f"{out}/topic")
+    return spark.read.schema(articles.schema).parquet(f"{out}/topic").select("id")
 
 
 @query
