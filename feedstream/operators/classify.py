@@ -12,7 +12,7 @@ from feedstream.functions.categories import (
 )
 from feedstream.functions.sentiment import lexicon_score, sentiment_label
 from feedstream.functions.text import model_text, words_in
-from feedstream.functions.vectors import argmax_label, cosine
+from feedstream.functions.vectors import argmax_label
 from feedstream.reference_data import (
     CATEGORIES_MAIN,
     NEGATIVE_WORDS,
@@ -161,7 +161,28 @@ def own_category_score(df, categories, n_categories, category="category", vector
     if n_categories <= BROADCAST_ROWS:
         own = F.broadcast(own)
     scored = df.join(own, category)
-    return scored.withColumn("score", cosine(F.col(vector), F.col("_own"))).drop("_own")
+    return scored.withColumn("score", cosine_udf()(F.col(vector), F.col("_own"))).drop("_own")
+
+
+def cosine_udf():
+    """Column function: as functions.vectors.cosine, for many long vectors of one length."""
+    import pandas as pd
+
+    def cosines(a, b):
+        import numpy as np
+
+        known = (a.notna() & b.notna()).to_numpy()
+        result = np.full(len(a), np.nan)
+        if known.any():
+            x = np.stack(a[known].to_list()).astype(float)
+            y = np.stack(b[known].to_list()).astype(float)
+            lengths = np.linalg.norm(x, axis=1) * np.linalg.norm(y, axis=1)
+            with np.errstate(invalid="ignore", divide="ignore"):
+                result[known] = np.einsum("ij,ij->i", x, y) / lengths
+        return pd.Series(result).astype(object).where(~np.isnan(result), None)
+
+    cosines.__annotations__ = {"a": pd.Series, "b": pd.Series, "return": pd.Series}
+    return F.pandas_udf(cosines, "double")
 
 
 def sentiment_udf(scorer_factory, labels=SENTIMENT_LABELS):

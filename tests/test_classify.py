@@ -92,6 +92,17 @@ def test_cosine(spark):
     assert [r[0] for r in df.select(cosine(F.col("a"), F.col("b"))).collect()] == [0.96, None]
 
 
+def test_cosine_in_batches(spark):
+    rng = random.Random(1)
+    pairs = [([rng.uniform(-1, 1) for _ in range(5)], [rng.uniform(-1, 1) for _ in range(5)]) for _ in range(50)]
+    pairs += [([0.0] * 5, [1.0] * 5), (None, [1.0] * 5)]
+    df = spark.createDataFrame(pairs, "a array<double>, b array<double>")
+    a, b = F.col("a"), F.col("b")
+    both = df.select(cosine(a, b), classify.cosine_udf()(a, b)).collect()
+    assert [r[1] for r in both[:50]] == pytest.approx([r[0] for r in both[:50]])
+    assert [tuple(r) for r in both[50:]] == [(None, None), (None, None)]
+
+
 @pytest.mark.parametrize("block", [128, 2, 1])
 def test_nearest_category_in_any_number_of_blocks(spark, monkeypatch, block):
     monkeypatch.setattr(classify, "BLOCK", block)
