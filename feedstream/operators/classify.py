@@ -1,6 +1,5 @@
 """Sentiment and nearest category, by native expressions or a pluggable model."""
 
-
 from pyspark.sql import functions as F
 
 from feedstream.functions.categories import (
@@ -19,9 +18,10 @@ from feedstream.reference_data import (
     POSITIVE_WORDS,
     SENTIMENT_LABELS,
 )
-from feedstream.sources.declared import BROADCAST_ROWS, declared_table
+from feedstream.sources.declared import declared_table
 
 BLOCK = 512  # category vectors per scoring matrix
+BROADCAST_VECTORS = 8 * BLOCK  # most category vectors that are sent to the records
 NO_SCORE = -2.0  # below every cosine: a vector without length
 
 
@@ -110,9 +110,9 @@ def nearest_category(df, categories, vector="embedding"):
             best.append(f"_best{i}")
     categories.unpersist()
     found = F.col(best[0]) if len(best) == 1 else F.greatest(*best)
-    name = categories.schema["category"].dataType
+    kind = categories.schema["category"].dataType
     return scored.withColumn("_best", found).withColumns({
-        "category": F.col("_best.category").cast(name),
+        "category": F.col("_best.category").cast(kind),
         "score": F.nullif("_best.score", F.lit(NO_SCORE)),
     }).drop("_best", *best)
 
@@ -158,7 +158,7 @@ def own_category_score(df, categories, n_categories, category="category", vector
     hottest category then needs no task of its own; more are joined by shuffle.
     """
     own = categories.select(F.col("category").alias(category), F.col("vector").alias("_own"))
-    if n_categories <= BROADCAST_ROWS:
+    if n_categories <= BROADCAST_VECTORS:
         own = F.broadcast(own)
     scored = df.join(own, category)
     return scored.withColumn("score", cosine_udf()(F.col(vector), F.col("_own"))).drop("_own")

@@ -7,6 +7,9 @@ def _strings(*names):
     return [T.StructField(name, T.StringType()) for name in names]
 
 
+# The field names and their order are those of the records on the topics, of the
+# ledger and of the landed feeds and items.
+
 # Everything on the article topic is read as a nullable string; other keys are dropped.
 ARTICLE_SCHEMA = T.StructType(_strings(
     "source", "id", "title", "link", "by", "score", "time", "type", "text_combined",
