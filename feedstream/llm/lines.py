@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from feedstream.llm.common import keyed, same_row, sha256, stored
+from feedstream.llm.common import sha256, stored
 
 MIN_SITES = 10
 LG_K = 12  # sketches of 4096 registers
@@ -29,36 +29,40 @@ def boilerplate(lines, min_sites=MIN_SITES, margin=MARGIN):
 
 
 def remove_boilerplate(docs, min_sites=MIN_SITES, id_col="doc_id", text_col="text", site_col="source"):
-    """(doc_id, rk, text, n_lines, n_removed) of every row: lines found on min_sites or more sites
-    go, but for the first place of each in the corpus (by id, then row key and line number), so a
-    passage that spreads over the sites stays once.
+    """docs with the kept lines as text, and n_lines and n_removed: lines found on min_sites or more
+    sites go, but for the first place of each in the corpus (by id, then row key and line number),
+    so a passage that spreads over the sites stays once.
 
     Lines are what newlines separate; blank lines stay and never count. A null or empty text is one
-    blank line, a null site is a site of its own. Repeated rows keep or lose the same lines. Lines
-    are compared by a 64-bit hash and their length. An empty table gives no rows.
+    blank line and stays as it is, a null site is a site of its own. Repeated rows keep or lose the
+    same lines. Lines are compared by a 64-bit hash and their length. Existing columns n_lines and
+    n_removed are replaced. An empty table gives no rows.
     """
-    rows = keyed(docs, id_col, text_col).select("doc_id", "rk", "text")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(
+        *[c for c in docs.columns if c not in ("n_lines", "n_removed")],
+        F.xxhash64(F.col(id_col), text).alias("_llm_rk"))
     site = F.coalesce(F.col(site_col).cast("string"), F.lit(""))
-    found = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-                        site.alias("site"))
     lines = stored(
-        found.select("doc_id", F.xxhash64("doc_id", "text").alias("rk"), "site",
-                     F.posexplode(F.split("text", "\n", -1)).alias("place", "content"))
+        docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(id_col), text).alias("rk"),
+                    site.alias("site"), F.posexplode(F.split(text, "\n", -1)).alias("place", "content"))
         .where(F.trim("content") != "")
         .select(F.struct(F.xxhash64("content").alias("h"), F.octet_length("content").alias("n")).alias("line"),
                 "site", F.struct("doc_id", "rk", "place").alias("at")), "lines")
     common = stored(boilerplate(lines, min_sites), "boilerplate")
     drops = (
         lines.select("line", "at").join(common, "line").where(~F.col("at").eqNullSafe(F.col("first")))
-        .select("at.doc_id", "at.rk", "at.place").distinct()
-        .groupBy("doc_id", "rk").agg(F.collect_list("place").alias("drop")))
-    kept = F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains("drop", i))
-    joined = rows.join(drops.hint("shuffle_hash"), same_row(rows, drops), "left")
+        .select(F.col("at.doc_id").alias("_llm_id"), F.col("at.rk").alias("_llm_key"), "at.place").distinct()
+        .groupBy("_llm_id", "_llm_key").agg(F.collect_list("place").alias("_llm_drop")))
+    joined = rows.join(
+        drops.hint("shuffle_hash"),
+        rows[id_col].eqNullSafe(drops["_llm_id"]) & (rows["_llm_rk"] == drops["_llm_key"]), "left")
+    kept = F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains("_llm_drop", i))
+    cleaned = F.when(F.col("_llm_drop").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
     return joined.select(
-        rows["doc_id"], rows["rk"],
-        F.when(F.col("drop").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
-        (F.char_length("text") - F.char_length(F.translate("text", "\n", "")) + 1).cast("long").alias("n_lines"),
-        F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_removed"))
+        *[cleaned.alias(c) if c == text_col else rows[c] for c in rows.columns if c != "_llm_rk"],
+        (F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"),
+        F.coalesce(F.size("_llm_drop"), F.lit(0)).cast("long").alias("n_removed"))
 
 
 def op6(spark, sf_dir):

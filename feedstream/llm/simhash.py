@@ -8,16 +8,19 @@ from feedstream.llm.components import components
 BITS = 64
 TILE = 2048  # fingerprints compared in one task; larger groups are split into pairs of tiles
 SUB_TILE = 256
+WORDS, BANDS, BAND_ROWS = 8, 12, 3  # of the wide sketch
+DISTANCE = 92  # of its 512 bits: sets of a similarity of 0.8 differ in 78 on average, with a deviation of 8
 
 
-def simhash(text, shingle, seed=42):
-    """Fingerprint of a text: bit i is set if over half the shingles' XXH64 have it set."""
+def shingle_hashes(text, shingle, seed=42):
+    """XXH64 of every run of `shingle` words, lower-cased in ASCII and joined by spaces; of the whole
+    sequence where it is shorter; none without words."""
     import numpy as np
     from xxhash import xxh64_intdigest
 
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, dtype="<u8")
     joined = b" ".join(words)
     ends, at = [], -1
     for word in words:
@@ -25,25 +28,52 @@ def simhash(text, shingle, seed=42):
         ends.append(at)
     starts = [0, *(e + 1 for e in ends[:-1])]
     last = min(shingle, len(words)) - 1
-    hashes = np.fromiter(
+    return np.fromiter(
         (xxh64_intdigest(joined[a:b], seed) for a, b in zip(starts, ends[last:], strict=False)),
-        dtype="<u8", count=len(words) - last,
-    )
+        dtype="<u8", count=len(words) - last)
+
+
+def majority(hashes):
+    """Bit i of the result is set if over half of the hashes have it set; 0 for none."""
+    import numpy as np
+
     ones = np.zeros(BITS, dtype=np.int64)
-    for at in range(0, len(hashes), 4096):
-        part = hashes[at:at + 4096].view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    for at in range(0, len(hashes), 255):  # so that sums fit into bytes
+        part = hashes[at:at + 255].view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.uint8)
     bits = np.packbits((ones * 2 > len(hashes)).astype(np.uint8), bitorder="little")
     return int(bits.view("<i8")[0])
 
 
+def sketch(text, shingle):
+    """(WORDS words of fingerprint, BANDS keys) of a text. Keys are hashes of the least values that
+    BAND_ROWS permutations give the shingles; texts of a like set of shingles share some key."""
+    import numpy as np
+
+    hashes = shingle_hashes(text, shingle)
+    scaled = [hashes]
+    for k in range(1, WORDS):
+        mixed = hashes * np.uint64(2 * k * 0x9E3779B97F4A7C15 + 1 & (1 << 64) - 1)
+        scaled.append((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9))
+    if not len(hashes):
+        return [0] * WORDS, []
+    factor = np.random.default_rng(5).integers(1 << 62, size=BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    spun = hashes ^ (hashes >> np.uint64(31))
+    least = np.array([(spun * f).min() for f in factor], dtype=np.uint64).reshape(BANDS, BAND_ROWS)
+    key = np.zeros(BANDS, dtype=np.uint64)
+    for column in least.T:
+        key = (key ^ column) * np.uint64(0xD6E8FEB86659FD93)
+        key ^= key >> np.uint64(32)
+    return [majority(h) for h in scaled], key.view(np.int64).tolist()
+
+
 def fingerprints(docs, shingle=4, id_col="doc_id", text_col="text"):
     """(doc_id, rk, fp long) of every row of docs."""
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            fps = [simhash(text.as_py(), shingle) for text in batch.column("text")]
+            fps = [majority(shingle_hashes(text.as_py(), shingle)) for text in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("rk"), pa.array(fps, pa.int64())],
                 ["doc_id", "rk", "fp"])
@@ -54,13 +84,14 @@ def fingerprints(docs, shingle=4, id_col="doc_id", text_col="text"):
 
 
 def tile_forest(fps, radius):
-    """(i, root): a spanning forest of the links among distinct fps, as positions. Sub-tiles in
-    order of population count are skipped when their counts differ by more than the radius."""
+    """(i, root): a spanning forest of the links among fingerprints (rows of words), as positions.
+    Sub-tiles in order of population count are skipped when their counts differ by more than the
+    radius."""
     import numpy as np
 
-    ones = np.bitwise_count(fps)
+    ones = np.bitwise_count(fps).sum(axis=1, dtype=np.int64)
     order = np.argsort(ones, kind="stable")
-    fps, ones = fps[order], ones[order].astype(np.int64)
+    fps, ones = fps[order], ones[order]
     label = np.arange(len(fps))
     for x in range(0, len(fps), SUB_TILE):
         one = fps[x:x + SUB_TILE]
@@ -68,7 +99,10 @@ def tile_forest(fps, radius):
             if ones[y] - ones[min(x + SUB_TILE, len(fps)) - 1] > radius:
                 break
             other = fps[y:y + SUB_TILE]
-            i, j = np.nonzero(np.bitwise_count(one[:, None] ^ other[None, :]) <= radius)
+            apart = np.zeros((len(one), len(other)), dtype=np.uint16)
+            for k in range(fps.shape[1]):
+                apart += np.bitwise_count(one[:, None, k] ^ other[None, :, k])
+            i, j = np.nonzero(apart <= radius)
             keep = i + x < j + y
             i, j = i[keep] + x, j[keep] + y
             while len(i):
@@ -81,47 +115,65 @@ def tile_forest(fps, radius):
                 while (label[label] != label).any():
                     label = label[label]
     found = np.flatnonzero(label != np.arange(len(fps)))
-    return fps[found], fps[label[found]]
+    return order[found], order[label[found]]
 
 
-def links(fps, radius=4, tile=TILE):
-    """Edges (a, b) that connect every two fingerprints within the radius, as spanning forests.
+def links(points, radius, tile=TILE):
+    """Edges (a, b) between nodes of points (node, fp array<long>, keys array<struct<k, v>>), as
+    spanning forests of all links between nodes that share a key and lie within the radius.
 
-    fps: distinct longs in column fp. Two fingerprints within the radius agree on at least one of
-    radius + 1 bit ranges, so only those that agree on a range share a tile. A range value with
-    more than `tile` fingerprints is split into chunks, and every pair of chunks is a tile, so a
-    task never holds more than two chunks and no pair is lost.
+    A tile is what shares a key. A key with more than `tile` nodes is split into chunks, and every
+    pair of chunks is a tile, so a task never holds more than two chunks and no pair is lost.
     """
-    cuts = [round(BITS * k / (radius + 1)) for k in range(radius + 2)]
-    ranges = F.array(*[
-        F.struct(F.lit(k).alias("k"),
-                 F.shiftrightunsigned("fp", cuts[k]).bitwiseAND((1 << cuts[k + 1] - cuts[k]) - 1).alias("v"))
-        for k in range(radius + 1)
-    ])
-    spread = fps.select("fp", F.explode(ranges).alias("r")).select("fp", "r.k", "r.v")
+    spread = points.select("node", "fp", F.explode("keys").alias("r")).select("node", "fp", "r.k", "r.v")
     large = stored(
         spread.groupBy("k", "v").count().where(F.col("count") > tile)
-        .select("k", "v", F.ceil(F.col("count") / tile).alias("chunks")), "hot-ranges")
+        .select("k", "v", F.ceil(F.col("count") / tile).alias("chunks")), "hot-keys")
     small = spread.join(large, ["k", "v"], "left_anti").withColumn("pair", F.lit("0"))
-    chunk = F.pmod(F.xxhash64("fp"), F.col("chunks"))
+    chunk = F.pmod(F.xxhash64("node"), F.col("chunks"))
     split = spread.join(large, ["k", "v"]).withColumn("chunk", chunk).select(
-        "fp", "k", "v", "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
-    ).select("fp", "k", "v", F.concat_ws(
+        "node", "fp", "k", "v", "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
+    ).select("node", "fp", "k", "v", F.concat_ws(
         "-", F.least("chunk", "other").cast("string"), F.greatest("chunk", "other").cast("string")).alias("pair"))
-    tiles = small.unionByName(split).groupBy("k", "v", "pair").agg(F.collect_list("fp").alias("fps")).where(
-        F.size("fps") > 1).select("fps")
+    tiles = small.unionByName(split).groupBy("k", "v", "pair").agg(
+        F.collect_list(F.struct("node", "fp")).alias("rows")).where(F.size("rows") > 1).select("rows")
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
         for batch in batches:
-            for fps in batch.column("fps"):
-                a, b = tile_forest(fps.values.to_numpy(zero_copy_only=False).view(np.uint64), radius)
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
+            left, right = [], []
+            for rows in batch.column("rows"):
+                nodes = rows.values.field("node").to_numpy()
+                fps = rows.values.field("fp").flatten().to_numpy().view(np.uint64).reshape(len(nodes), -1)
+                i, root = tile_forest(fps, radius)
+                left.append(nodes[i])
+                right.append(nodes[root])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], ["a", "b"])
+
+    return tiles.mapInArrow(run, "a long, b long").distinct()
+
 
-    return tiles.mapInArrow(run, "a long, b long")
+def bit_ranges(fp, radius):
+    """Keys of a 64-bit fingerprint: two within the radius agree on one of radius + 1 bit ranges."""
+    cuts = [round(BITS * k / (radius + 1)) for k in range(radius + 2)]
+    return F.array(*[
+        F.struct(F.lit(k).alias("k"), F.shiftrightunsigned(fp, cuts[k]).bitwiseAND(
+            (1 << cuts[k + 1] - cuts[k]) - 1).alias("v"))
+        for k in range(radius + 1)])
+
+
+def grouped(rows, points, first, radius, tile):
+    """rows (node, ...) with `first`, the least of `first` over all rows whose nodes are linked."""
+    classes = stored(rows.groupBy("node").agg(F.min(first).alias("first")), "classes")
+    labels = components(links(points, radius, tile)).withColumnRenamed("node", "linked")
+    rooted = stored(classes.join(labels, classes["node"] == labels["linked"], "left").select(
+        "node", "first", F.coalesce("component", "node").alias("root")), "rooted")
+    least = stored(rooted.groupBy("root").agg(F.min("first").alias("first")), "firsts")
+    named = stored(rooted.select("node", "root").join(least, "root").select("node", "first"), "named")
+    return rows.join(named, "node")
 
 
 def near_duplicates(docs, shingle=4, radius=4, id_col="doc_id", text_col="text", tile=TILE):
@@ -132,14 +184,41 @@ def near_duplicates(docs, shingle=4, radius=4, id_col="doc_id", text_col="text",
     exact copies share a fingerprint and are compared once. Null ids get a component but name none
     (component_id is null where no member has an id). An empty table gives no rows.
     """
-    rows = stored(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    classes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
-    labels = components(links(classes.select("fp"), radius, tile))
-    rooted = stored(classes.join(labels, classes["fp"] == labels["node"], "left").select(
-        "fp", "first", F.coalesce("component", "fp").alias("root")), "rooted")
-    ids = stored(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "component-ids")
-    named = stored(rooted.join(ids, "root").select("fp", "component_id"), "named")
-    return rows.join(named, "fp").select("doc_id", "rk", "fp", "component_id")
+    rows = stored(fingerprints(docs, shingle, id_col, text_col).withColumnRenamed("fp", "node"), "fingerprints")
+    points = rows.select("node").distinct().select(
+        "node", F.array("node").alias("fp"), bit_ranges(F.col("node"), radius).alias("keys"))
+    return grouped(rows, points, F.col("doc_id"), radius, tile).select(
+        "doc_id", "rk", F.col("node").alias("fp"), F.col("first").alias("component_id"))
+
+
+def similar_texts(docs, shingle=5, distance=DISTANCE, id_col="doc_id", text_col="text", tile=TILE):
+    """(doc_id, rk, kept) of every row: texts with a shared key whose 512-bit fingerprints differ in
+    at most `distance` bits link; of each group the row with the least (doc_id, rk) is kept.
+
+    64 bits cannot tell sets of shingles of a similarity of 0.8 from others, 512 can; keys of least
+    hashes take the place of bit ranges, which a wide radius would make useless. Texts without
+    words are one group. Repeated rows are one document and stay or go together. Null ids come
+    first. An empty table gives no rows.
+    """
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            found = [sketch(text.as_py(), shingle) for text in batch.column("text")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("rk"), pa.array([f for f, _ in found], pa.list_(pa.int64())),
+                 pa.array([k for _, k in found], pa.list_(pa.int64()))], ["doc_id", "rk", "fp", "bands"])
+
+    keys = keyed(docs, id_col, text_col)
+    kind = keys.schema["doc_id"].dataType.simpleString()
+    sketched = stored(
+        keys.mapInArrow(run, f"doc_id {kind}, rk long, fp array<long>, bands array<long>")
+        .withColumn("node", F.xxhash64("fp", "bands")), "sketches")
+    points = sketched.dropDuplicates(["node"]).select("node", "fp", F.transform(
+        "bands", lambda v, k: F.struct(k.alias("k"), v.alias("v"))).alias("keys"))
+    me = F.struct("doc_id", "rk")
+    return grouped(sketched.select("doc_id", "rk", "node"), points, me, distance, tile).select(
+        "doc_id", "rk", me.eqNullSafe(F.col("first")).alias("kept"))
 
 
 def op9(spark, sf_dir):

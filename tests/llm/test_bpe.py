@@ -1,0 +1,73 @@
+"""Against the tokenizers library, and round trips."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from cases import documents, empty
+from feedstream.llm import bpe
+
+PATH = bpe.tokenizer_path()
+PARTS = ["a", "b", " ", "  ", "\n", "\t", "\x85", "　", "\x1c", "é", "你", "1", "٣", "'s", "'", "<|endoftext|>", "<|end",
+         "!", "?!", "😀", "​", "the", "ing", "\r", "ǅ", "²", "́"]
+
+
+@pytest.fixture(scope="module")
+def library():
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
+def test_random_texts(library):
+    chosen = random.Random(1)
+    texts = ["".join(chosen.choices(PARTS, k=chosen.randint(0, 40))) for _ in range(3000)]
+    texts += ["a" * 30000, "the" * 5000, " " * 3000, "x" * 64, "x" * 65]
+    encoder = bpe.Encoder(bpe.load_vocabulary(PATH))
+    for text, found in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(found, dtype=np.int32).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_words_are_forgotten(library, monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 5)
+    encoder = bpe.Encoder(bpe.load_vocabulary(PATH))
+    for text in ["one two three four five six seven", "eight nine one two three ten"]:
+        [found] = encoder.encode([text])
+        assert np.frombuffer(found, dtype=np.int32).tolist() == library.encode(text).ids
+        assert len(encoder.known) <= 7
+
+
+def test_query_matches_library(spark, sf_dir, library):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    rows = bpe.op1(spark, sf_dir).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = library.encode(texts[r.doc_id], add_special_tokens=False).ids
+        want = hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        back = hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), want, back)
+
+
+def test_edge_rows(spark, library):
+    docs = documents(spark)
+    rows = bpe.decode(bpe.encode(docs, PATH), PATH).join(
+        docs.select(F.col("doc_id").alias("i"), F.col("text").alias("given")), F.col("i").eqNullSafe(F.col("doc_id"))
+    ).collect()
+    assert {c for c in docs.columns if c != "text"} <= set(bpe.encode(docs, PATH).columns)
+    for r in rows:
+        if r.doc_id not in (None, 6):
+            assert r.decoded == (r.given or "")
+            assert r.ids == library.encode(r.given or "", add_special_tokens=False).ids
+    assert bpe.round_trip(empty(spark), PATH).count() == 0
+
+
+def test_ids_that_are_no_text(spark, library):
+    df = spark.createDataFrame([(1, [128, 200, 5]), (2, None), (3, []), (4, [10**8, -1, 64])], "doc_id int, ids array<int>")
+    got = {r.doc_id: r.decoded for r in bpe.decode(df, PATH).collect()}
+    assert got == {1: library.decode([128, 200, 5], skip_special_tokens=False), 2: "", 3: "", 4: library.decode([64])}

@@ -1,0 +1,68 @@
+"""Held-out accuracy of the classifiers, and their defined results."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from cases import documents, empty
+from feedstream.llm import learn, quality, toxicity
+
+SF = "/root/testdata/sf0.1"
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    held_out = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(4)) == 0
+    return docs, labels.where(~held_out), labels.where(held_out)
+
+
+def f1(rows, said, true):
+    hit = sum(r[said] and r[true] for r in rows)
+    return 2 * hit / max(sum(bool(r[said]) for r in rows) + sum(r[true] for r in rows), 1)
+
+
+def test_toxicity_on_held_out_rows(spark, tables):
+    docs, known, held_out = tables
+    model = toxicity.train(docs, toxicity.categories_of(docs, known), toxicity.CATEGORIES)
+    rows = toxicity.score(docs, model).join(held_out, "doc_id").select("scores.toxic", F.col("toxic").alias("true")).collect()
+    assert f1(rows, 0, 1) > 0.75
+    edge = documents(spark)
+    assert toxicity.score(edge, model).count() == edge.count()
+    assert toxicity.score(empty(spark), model).count() == 0
+
+
+def test_quality_on_held_out_rows(spark, tables):
+    docs, known, held_out = tables
+    model = quality.train(docs, known.select("doc_id", "quality"))
+    scored = quality.score(docs, model).select("doc_id", "keep").join(held_out, "doc_id")
+    rows = scored.select((~F.col("keep")).alias("said"), (F.col("quality") == 0).cast("int").alias("bad")).collect()
+    assert f1(rows, 0, 1) > 0.75
+    edge = documents(spark)
+    assert quality.score(edge, model).count() == edge.count()
+    assert quality.score(empty(spark), model).count() == 0
+
+
+def test_labels_of_one_class(spark, tables):
+    docs, known, _ = tables
+    good = known.where("quality = 1 and toxic = 0")
+    model = quality.train(docs, good)
+    assert quality.score(docs, model).where("keep").count() == docs.count()
+    model = toxicity.train(docs, toxicity.categories_of(docs, good), toxicity.CATEGORIES)
+    assert toxicity.score(docs, model).where("scores.toxic").count() == 0
+    none = toxicity.train(docs, toxicity.categories_of(docs, good.limit(0)), toxicity.CATEGORIES)
+    assert toxicity.score(docs, none).count() == docs.count()
+
+
+def test_sample_is_bounded(spark):
+    keys = spark.range(20000).withColumnRenamed("id", "doc_id")
+    assert 850 < learn.bounded_sample(keys, 1000, 1).count() < 1150
+    assert learn.bounded_sample(keys, 20000, 1).count() == 20000
+
+
+def test_earlier_probabilities_feed_later_models():
+    import numpy as np
+
+    matrix = learn.Matrix([[0], [0, 1], [1], []] * 20, 2)
+    model = learn.fit(matrix.plus(np.tile([1.0, 1.0, 0.0, 0.0], 20)), np.tile([1, 1, 0, 0], 20))
+    assert len(model["d"]) == 1 and model["d"][0] > 0.5
