@@ -6,13 +6,33 @@ bucket at depth d and the one of the suffix d bytes later, and so on, each level
 before. Buckets are named by 64-bit hashes, so tasks refine without knowing each other's buckets.
 """
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import functions as F, types as T
 
-from feedstream.llm.common import keyed, same_row, stored
+from feedstream.llm.common import keyed, stored
 
 ANCHOR = 32  # depth of the initial buckets that are compared across the corpus
 BLOCK = 1 << 20  # bytes refined at once; positions in a block fit into 20 bits
-FLAT = "q long, ctx long, pack long"
+STRIDE = 16  # neighbouring strings that are first compared as one
+
+
+@F.pandas_udf(T.BinaryType())
+def packed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Texts as compressed bytes, which exchanges move instead."""
+    from zstandard import ZstdCompressor
+
+    compress = ZstdCompressor(level=5).compress
+    for texts in batches:
+        yield texts.map(lambda t: compress(t.encode()))
+
+
+def unpack(column):
+    from zstandard import ZstdDecompressor
+
+    expand = ZstdDecompressor().decompress
+    return [expand(x) for x in column.to_pylist()]
 
 
 def refine(first, later):
@@ -29,21 +49,18 @@ def refine(first, later):
     return x
 
 
-def buckets(raw, length):
-    """(buckets at depth ANCHOR, buckets at depth length) of all suffixes long enough."""
+def buckets(raw, *lengths):
+    """Buckets of all suffixes long enough, at each of the given depths (ascending)."""
     import numpy as np
 
-    n, depth = len(raw), 8
+    n, depth, found = len(raw), 8, []
     level = np.ndarray((n - 7,), dtype="<u8", buffer=raw, strides=(1,)).copy()
-    anchor = None
-    while depth * 2 <= length:
-        level = refine(level[:-depth], level[depth:])
-        depth *= 2
-        if depth == ANCHOR:
-            anchor = level
-    if depth < length:
-        level = refine(level[:n - length + 1], level[length - depth:])
-    return anchor, level
+    for length in lengths:
+        while depth * 2 <= length:
+            level = refine(level[:-depth], level[depth:])
+            depth *= 2
+        found.append(level if depth == length else refine(level[:n - length + 1], level[length - depth:]))
+    return found
 
 
 def blocks(texts, length):
@@ -76,7 +93,7 @@ def anchors_of(raw, pieces, length):
     """
     import numpy as np
 
-    anchor, whole = buckets(raw, length)
+    anchor, whole = buckets(raw, ANCHOR, length)
     mask = np.uint64(BLOCK - 1)
     order = (anchor & ~mask) | np.arange(len(anchor), dtype=np.uint64)
     span, width = length - ANCHOR + 1, 1
@@ -102,6 +119,7 @@ def anchors_of(raw, pieces, length):
 
 
 def find_anchors(rows, length):
+    """(rk, q, ctx, pack) of every anchor of rows."""
     def run(batches):
         import pyarrow as pa
 
@@ -109,62 +127,103 @@ def find_anchors(rows, length):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             for raw, pieces in blocks(texts, length):
                 where, *found = anchors_of(raw, pieces, length)
-                where = pa.array(where)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").take(where), batch.column("rk").take(where), *map(pa.array, found)],
-                    ["doc_id", "rk", "q", "ctx", "pack"])
+                    [batch.column("rk").take(pa.array(where)), *map(pa.array, found)], ["rk", "q", "ctx", "pack"])
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.select("doc_id", "rk", "text").mapInArrow(run, f"doc_id {kind}, rk long, {FLAT}")
+    return rows.select("rk", "text").mapInArrow(run, "rk long, q long, ctx long, pack long")
 
 
-def strings_of(rows, length):
-    """(doc_id, rk, q, w, start, times): every string that the listed anchors own, w its bucket."""
+def strides_of(texts, length):
+    """(rk, q, times, start, count, core, hull): the strings of the listed anchors, up to STRIDE
+    neighbours at a time. Equal hulls are equal in all their strings; where cores differ no string
+    is equal. Strides lie alike about equal anchors."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
+        names = ["rk", "q", "times", "start", "count", "core", "hull"]
         for batch in batches:
-            for n in range(batch.num_rows):
-                raw = batch.column("text")[n].as_py().encode()
-                _, whole = buckets(raw, length)
+            for n, raw in enumerate(unpack(batch.column("z"))):
+                inner, whole = buckets(raw, length - STRIDE + 1, length)
                 listed = batch.column("found")[n].values
                 pack, q, times = (listed.field(k).to_numpy() for k in range(3))
-                first, count = pack >> 16, (pack & 255) + 1
+                first, last = pack >> 16, (pack >> 16) + (pack & 255)
+                at = first + (pack >> 8 & 255)
+                low, high = (at - last) // STRIDE, (at - first) // STRIDE
+                each = high - low + 1
+                ends = np.cumsum(each)
+                one = np.repeat(np.arange(len(pack)), each)
+                j = np.arange(ends[-1]) - np.repeat(ends - each, each) + low[one]
+                start = np.maximum(first[one], at[one] - STRIDE * j - STRIDE + 1)
+                end = np.minimum(last[one], at[one] - STRIDE * j)
+                core = refine(inner[at[one] - STRIDE * j], j.astype(np.uint64))
+                shape = ((at[one] - start) << 8 | (end - start)).astype(np.uint64)
+                hull = refine(refine(whole[start], whole[end]), shape)
+                rk = pa.array(np.full(len(one), batch.column("rk")[n].as_py()))
+                yield pa.RecordBatch.from_arrays([rk, *map(pa.array, (
+                    q[one], times[one], start, end - start + 1, core.view(np.int64), hull.view(np.int64)))], names)
+
+    return texts.select("rk", "z", "found").mapInArrow(
+        run, "rk long, q long, times long, start long, count long, core long, hull long")
+
+
+def strings_of(texts, length):
+    """(rk, q, times, start, w): every string of the listed strides, w its bucket at full depth."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for n, raw in enumerate(unpack(batch.column("z"))):
+                [whole] = buckets(raw, length)
+                listed = batch.column("listed")[n].values
+                first, count, q, times = (listed.field(k).to_numpy() for k in range(4))
                 ends = np.cumsum(count)
-                start = np.arange(ends[-1]) - np.repeat(ends - count, count) + np.repeat(first, count)
-                where = pa.array(np.full(len(start), n))
-                yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id").take(where), batch.column("rk").take(where),
-                    pa.array(np.repeat(q, count)), pa.array(whole[start].view(np.int64)), pa.array(start),
-                    pa.array(np.repeat(times, count))], ["doc_id", "rk", "q", "w", "start", "times"])
+                start = np.arange(ends[-1]) + np.repeat(first - ends + count, count)
+                rk = pa.array(np.full(len(start), batch.column("rk")[n].as_py()))
+                yield pa.RecordBatch.from_arrays([rk, *map(pa.array, (
+                    np.repeat(q, count), np.repeat(times, count), start, whole[start].view(np.int64)))],
+                    ["rk", "q", "times", "start", "w"])
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.select("doc_id", "rk", "text", "found").mapInArrow(
-        run, f"doc_id {kind}, rk long, q long, w long, start long, times long")
+    return texts.select("rk", "z", "listed").mapInArrow(
+        run, "rk long, q long, times long, start long, w long")
+
+
+def more_than_one(df, *keys):
+    """Keys that several rows of df share."""
+    return stored(df.groupBy(*keys).count().where("count > 1").select(*keys), "shared-keys")
 
 
 def repeated_ranges(rows, length):
-    """(doc_id, rk, from, to): byte ranges that strings with another occurrence cover."""
+    """(rk, from, to): byte ranges that strings with another occurrence cover."""
     anchors = stored(find_anchors(rows, length), "anchors")
-    many = stored(anchors.groupBy("q").count().where("count > 1").select("q"), "buckets")
-    shared = stored(anchors.join(many, "q", "left_semi"), "shared-anchors")
+    shared = stored(anchors.join(more_than_one(anchors, "q"), "q", "left_semi"), "shared-anchors")
     contexts = stored(shared.groupBy("q", "ctx").agg(
-        F.count("*").alias("times"), F.min(F.struct("doc_id", "rk", "pack")).alias("one")), "contexts")
+        F.count("*").alias("times"), F.min(F.struct("rk", "pack")).alias("one")), "contexts")
     first, last = F.shiftright("pack", 16), F.shiftright("pack", 16) + F.col("pack").bitwiseAND(255)
     whole = shared.join(contexts.where("times > 1").select("q", "ctx"), ["q", "ctx"], "left_semi").select(
-        "doc_id", "rk", first.alias("from"), (last + length).alias("to"))
-    differ = stored(contexts.groupBy("q").count().where("count > 1").select("q"), "mixed-buckets")
-    open_ = (
-        contexts.join(differ, "q", "left_semi").select("q", "times", "one.*")
-        .groupBy("doc_id", "rk").agg(F.collect_list(F.struct("pack", "q", "times")).alias("found")))
-    once = rows.join(open_.hint("shuffle_hash"), same_row(rows, open_)).select(
-        rows["doc_id"], rows["rk"], "text", "found")
-    strings = stored(strings_of(once, length), "strings")
+        "rk", first.alias("from"), (last + length).alias("to"))
+
+    differ = contexts.join(more_than_one(contexts, "q"), "q", "left_semi")
+    listed = differ.select("q", "times", "one.*").groupBy("rk").agg(
+        F.collect_list(F.struct("pack", "q", "times")).alias("found"))
+    open_ = stored(rows.select("rk", packed("text").alias("z")).join(
+        listed.hint("shuffle_hash"), "rk"), "open-texts")
+    strides = stored(strides_of(open_, length), "strides")
+    live = stored(strides.join(more_than_one(strides, "q", "core"), ["q", "core"], "left_semi"), "live-strides")
+    hulls = stored(live.groupBy("q", "core", "hull").agg(
+        F.sum("times").alias("times"), F.min(F.struct("rk", "start", "count")).alias("one")), "hulls")
+    evenly = live.where("times = 1").join(
+        hulls.where("times > 1").select("q", "core", "hull"), ["q", "core", "hull"], "left_semi").select(
+        "rk", F.col("start").alias("from"), (F.col("start") + F.col("count") - 1 + length).alias("to"))
+
+    singly = hulls.join(more_than_one(hulls, "q", "core"), ["q", "core"], "left_semi").select(
+        "q", "times", "one.*").groupBy("rk").agg(F.collect_list(F.struct("start", "count", "q", "times")).alias("listed"))
+    strings = stored(strings_of(open_.select("rk", "z").join(singly.hint("shuffle_hash"), "rk"), length), "strings")
     again = stored(strings.groupBy("q", "w").agg(F.sum("times").alias("n")).where("n > 1").select("q", "w"), "repeated")
     partly = strings.where("times = 1").join(again, ["q", "w"], "left_semi").select(
-        "doc_id", "rk", F.col("start").alias("from"), (F.col("start") + length).alias("to"))
-    return whole.unionByName(partly)
+        "rk", F.col("start").alias("from"), (F.col("start") + length).alias("to"))
+    return whole.unionByName(evenly).unionByName(partly)
 
 
 def remove_repeats(docs, length=200, id_col="doc_id", text_col="text"):
@@ -173,17 +232,19 @@ def remove_repeats(docs, length=200, id_col="doc_id", text_col="text"):
 
     Suffixes enter the initial buckets only where they own strings (see anchors_of); buckets with
     one suffix are done. Where two suffixes of a bucket cover the same bytes, all their strings are
-    repeated; the strings of the others are refined to full depth and counted, one suffix per
-    distinct context. Counts are partial sums before any exchange, and joins are of exchanged
-    tables, so that a passage in a third of all texts is split. Null or empty texts have 0 bytes.
-    Repeated rows are copies of each other: both lose what is long enough. Rows that share
-    doc_id and text are one key, so their strings count as often as they occur.
+    repeated; the strings of the others are compared in strides, one suffix per distinct context,
+    and only strides that share their core but not all of their bytes string by string. Counts are
+    partial sums before any exchange, and joins are of exchanged tables, so that a passage in a
+    third of all texts is split. A text is known by the 64-bit hash of its id and itself.
+
+    Null or empty texts have 0 bytes. Repeated rows are copies of each other: both lose what is
+    long enough. An empty table gives no rows.
     """
     rows = keyed(docs, id_col, text_col)
-    ranges = repeated_ranges(rows, length).groupBy("doc_id", "rk").agg(
+    ranges = repeated_ranges(rows, length).groupBy("rk").agg(
         F.collect_list(F.struct("from", "to")).alias("ranges"))
-    joined = rows.join(ranges.hint("shuffle_hash"), same_row(rows, ranges), "left").select(
-        rows["doc_id"], rows["rk"], "text", "ranges")
+    joined = rows.select("doc_id", "rk", packed("text").alias("z")).join(ranges.hint("shuffle_hash"), "rk", "left").select(
+        "doc_id", "rk", "z", "ranges")
 
     def run(batches):
         import numpy as np
@@ -191,21 +252,17 @@ def remove_repeats(docs, length=200, id_col="doc_id", text_col="text"):
 
         for batch in batches:
             out = [[], [], [], []]
-            for n in range(batch.num_rows):
-                raw = batch.column("text")[n].as_py().encode()
-                removed = spans = 0
+            for n, raw in enumerate(unpack(batch.column("z"))):
+                size, removed, spans = len(raw), 0, 0
                 if batch.column("ranges")[n].is_valid:
                     listed = batch.column("ranges")[n].values
-                    edge = np.zeros(len(raw) + 1, dtype=np.int64)
+                    edge = np.zeros(size + 1, dtype=np.int64)
                     np.add.at(edge, listed.field(0).to_numpy(), 1)
                     np.add.at(edge, listed.field(1).to_numpy(), -1)
                     gone = np.cumsum(edge[:-1]) > 0
                     removed = int(gone.sum())
                     spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-                    size = len(raw)
                     raw = np.frombuffer(raw, dtype=np.uint8)[~gone].tobytes()
-                else:
-                    size = len(raw)
                 for column, value in zip(out, (size, removed, spans, raw), strict=True):
                     column.append(value)
             yield pa.RecordBatch.from_arrays(
