@@ -39,3 +39,18 @@ def components(edges):
         labels = labels.join(step, "component", "left").select(
             "node", F.coalesce("to", "component").alias("component"))
     return labels
+
+
+def forest(n, i, j):
+    """For each of n places the least place that the links (i, j) reach, in numpy."""
+    import numpy as np
+
+    label = np.arange(n)
+    while len(i):
+        a, b = label[i], label[j]
+        open_ = a != b
+        i, j, a, b = i[open_], j[open_], a[open_], b[open_]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while (label[label] != label).any():
+            label = label[label]
+    return label

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from feedstream.llm.common import keyed, stored
-from feedstream.llm.components import components
+from feedstream.llm.components import components, forest
 
 BITS = 64
 TILE = 2048  # fingerprints compared in one task; larger groups are split into pairs of tiles
@@ -104,16 +104,8 @@ def tile_forest(fps, radius):
                 apart += np.bitwise_count(one[:, None, k] ^ other[None, :, k])
             i, j = np.nonzero(apart <= radius)
             keep = i + x < j + y
-            i, j = i[keep] + x, j[keep] + y
-            while len(i):
-                a, b = label[i], label[j]
-                open_ = a != b
-                if not open_.any():
-                    break
-                i, j, a, b = i[open_], j[open_], a[open_], b[open_]
-                np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
-                while (label[label] != label).any():
-                    label = label[label]
+            i, j = label[i[keep] + x], label[j[keep] + y]
+            label = forest(len(fps), i, j)[label]
     found = np.flatnonzero(label != np.arange(len(fps)))
     return order[found], order[label[found]]
 

@@ -9,7 +9,7 @@ verified by cosine in double precision, and recall is audited against brute forc
 from pyspark.sql import functions as F
 
 from feedstream.llm.common import stored
-from feedstream.llm.components import components
+from feedstream.llm.components import components, forest
 
 SHARD = 1500  # vectors per shard that the number of centroids aims at
 MAX_CENTROIDS = 8192  # bounds what is broadcast
@@ -72,8 +72,9 @@ def centroids(classes):
 
 
 def shards(classes, centers, overlap):
-    """(label, shard, node, home, v): every class in the shards of its nearest centroids, `overlap`
-    of them; home marks the nearest. A label without centroids is one shard."""
+    """(label, shard, node, members, home, every, v): every class in the shards of its nearest
+    centroids, `overlap` of them, listed in every; home marks the nearest. A label without centroids
+    is one shard."""
     shared = classes.sparkSession.sparkContext.broadcast(centers)
 
     def run(batches):
@@ -82,7 +83,7 @@ def shards(classes, centers, overlap):
 
         for batch in batches:
             label = batch.column("label").to_pylist()
-            rows, shard, home = [], [], []
+            rows, shard, home, every = [], [], [], []
             for n, v in enumerate(batch.column("v")):
                 c = shared.value.get(label[n])
                 sims = np.zeros(1) if c is None else c @ even(v.values.to_numpy())
@@ -90,13 +91,16 @@ def shards(classes, centers, overlap):
                 rows += [n] * len(best)
                 shard += best
                 home += [True] + [False] * (len(best) - 1)
+                every += [best] * len(best)
             where = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("label").take(where), pa.array(shard, pa.int32()), batch.column("node").take(where),
-                 pa.array(home, pa.bool_()), batch.column("v").take(where)], ["label", "shard", "node", "home", "v"])
+                 batch.column("members").take(where), pa.array(home, pa.bool_()),
+                 pa.array(every, pa.list_(pa.int32())), batch.column("v").take(where)],
+                ["label", "shard", "node", "members", "home", "every", "v"])
 
-    return classes.select("label", "node", "v").mapInArrow(
-        run, "label string, shard int, node long, home boolean, v array<double>")
+    return classes.select("label", "node", "members", "v").mapInArrow(
+        run, "label string, shard int, node long, members long, home boolean, every array<int>, v array<double>")
 
 
 def distance(sims):
@@ -206,38 +210,68 @@ def adjacency(dealt):
     return lists.groupBy("label", "node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
 
 
+def asked(step=QUERY_STEP):
+    """Whether the audit asks for a class: one in `step`."""
+    return F.pmod(F.xxhash64("node"), F.lit(step)) == 0
+
+
 def found_links(dealt, graph, threshold):
-    """(node, other): links between classes, node < other, found from either end in any shard."""
+    """Rows (node, partners, other) of what the searches of each shard find: partners, the members
+    of linked classes, of every node; other, edges that span what is linked (partners null); and all
+    links of the nodes that the audit asks for (partners -1).
+
+    A link is found from either end. Two classes may share several shards: the least of them
+    counts their link, so no pair has to be told apart from a second finding of it.
+    """
     def run(pdf):
         import numpy as np
         import pandas as pd
 
+        shard = pdf["shard"].iloc[0]
         pdf, raw, v = pack_shard(pdf)
-        nodes = pdf["node"].to_numpy()
+        nodes, members = pdf["node"].to_numpy(), pdf["members"].to_numpy()
         place = {n: k for k, n in enumerate(nodes.tolist())}
         near = [[place[n] for n in listed if n in place] for listed in pdf["near"]]
         medoid = int((v @ v.mean(axis=0)).argmax())
-        a, b = [], []
+        codes = []
         for q in range(len(v)):
             hits = range_search(v[q], v, near, medoid, threshold)
             hits = hits[hits != q]
             hits = hits[cosine(raw[hits], raw[q]) >= threshold]
-            a.append(np.full(len(hits), nodes[q]))
-            b.append(nodes[hits])
-        a, b = np.concatenate(a), np.concatenate(b)
-        return pd.DataFrame({"node": np.minimum(a, b), "other": np.maximum(a, b)}).drop_duplicates()
-
-    return dealt.join(graph, ["label", "node"]).groupBy("label", "shard").applyInPandas(
-        run, "node long, other long").distinct()
+            codes.append(np.minimum(hits, q) * len(v) + np.maximum(hits, q))
+        i, j = np.divmod(np.unique(np.concatenate(codes)), len(v))
+        label = forest(len(v), i, j)
+        every = np.stack(pdf["every"].to_numpy())
+        shared = (every[i][:, :, None] == every[j][:, None, :]).any(axis=2)
+        here = np.where(shared, every[i], np.iinfo(np.int32).max).min(axis=1) == shard
+        i, j = i[here], j[here]
+        partners = np.zeros(len(v), dtype=np.int64)
+        np.add.at(partners, i, members[j])
+        np.add.at(partners, j, members[i])
+        ask = pdf["asked"].to_numpy()
+        ask = ask[i] | ask[j]
+        inner = np.flatnonzero(label != np.arange(len(v)))
+        k, m, e = len(v), len(inner), int(ask.sum())
+
+        def column(values, null):
+            return pd.arrays.IntegerArray(np.concatenate(values).astype(np.int64), np.repeat(null, (k, m, e)))
+
+        return pd.DataFrame({
+            "node": np.concatenate([nodes, nodes[inner], nodes[i[ask]]]),
+            "partners": column([partners, np.zeros(m), np.full(e, -1)], [False, True, False]),
+            "other": column([np.zeros(k, dtype=np.int64), nodes[label[inner]], nodes[j[ask]]], [True, False, False]),
+        })
+
+    return dealt.withColumn("asked", asked()).join(graph, ["label", "node"]).groupBy("label", "shard").applyInPandas(
+        run, "node long, partners long, other long")
 
 
 def audit(dealt, links, threshold, step=QUERY_STEP):
-    """Recall of links: for one class in `step`, by its node's hash, its true links among all classes of
-    its label by brute force, block against block, and the share of them that was found."""
+    """Recall of links (node, other): for the classes asked for, their true links among all classes of
+    their label by brute force, block against block, and the share of them that was found."""
     home = dealt.where("home")
-    asked = F.pmod(F.xxhash64("node"), F.lit(step)) == 0
     one = F.collect_list(F.struct("node", "v"))
-    queries = home.where(asked).groupBy("label", F.floor(F.col("shard") / step).alias("block")).agg(one.alias("q"))
+    queries = home.where(asked(step)).groupBy("label", F.floor(F.col("shard") / step).alias("block")).agg(one.alias("q"))
     blocks = home.groupBy("label", "shard").agg(one.alias("c"))
 
     def run(batches):
@@ -256,7 +290,8 @@ def audit(dealt, links, threshold, step=QUERY_STEP):
                             [pa.array(np.minimum(hit, node)), pa.array(np.maximum(hit, node))], ["node", "other"])
 
     true = queries.join(blocks, "label").select("q", "c").mapInArrow(run, "node long, other long").distinct()
-    hit = links.withColumn("found", F.lit(1))
+    hit = links.select(F.least("node", "other").alias("node"), F.greatest("node", "other").alias("other"),
+                       F.lit(1).alias("found")).distinct()
     r = true.join(hit, ["node", "other"], "left").agg(F.count("*").alias("n"), F.count("found").alias("k")).first()
     return 1.0 if not r["n"] else r["k"] / r["n"]
 
@@ -266,7 +301,7 @@ def near_vectors(rows, threshold=0.93, recall=0.95, id_col="vec_id", vector_col=
     a cosine of at least the threshold; component_id is the smallest vec_id reachable by links.
 
     The audited recall of links reaches `recall`: shards overlap more until it does, and with every
-    label one shard it must. Equal vectors of a label are one class with a number of members, which
+    label one shard it must. No pairs leave a shard. Equal vectors of a label are one class with a number of members, which
     link with each other and alike with others, so copies are never paired up. Null, empty or zero
     vectors and those with null or non-finite components link with nothing; so do vectors of
     different lengths. Repeated rows are copies. A null id counts as a member but names no
@@ -280,16 +315,14 @@ def near_vectors(rows, threshold=0.93, recall=0.95, id_col="vec_id", vector_col=
     for overlap in (2, 4, 8):
         dealt = stored(shards(classes, centers, overlap), "shards")
         graph = stored(adjacency(dealt), "graph")
-        pairs = stored(found_links(dealt, graph, threshold), "links")
-        reached = audit(dealt, pairs, threshold)
+        links = stored(found_links(dealt, graph, threshold), "links")
+        reached = audit(dealt, links.where("partners = -1"), threshold)
         if reached >= recall:
             break
     else:
         raise ValueError(f"recall of links {reached:.3f} is below {recall}")
-    both = pairs.unionByName(pairs.select(F.col("other").alias("node"), F.col("node").alias("other")))
-    weight = classes.select(F.col("node").alias("other"), "members")
-    partners = both.join(weight, "other").groupBy("node").agg(F.sum("members").alias("partners"))
-    labels = components(pairs.select(F.col("node").alias("a"), F.col("other").alias("b")))
+    partners = links.where("partners >= 0").groupBy("node").agg(F.sum("partners").alias("partners"))
+    labels = components(links.where("partners is null").select(F.col("node").alias("a"), F.col("other").alias("b")))
     rooted = stored(
         classes.select("node", "first", "members").join(partners, "node", "left").join(labels, "node", "left").select(
             "node", "first", F.coalesce("component", "node").alias("root"),

@@ -72,7 +72,7 @@ def test_query(spark, sf_dir):
 
 def test_recall_that_is_not_reached_raises(spark, monkeypatch):
     monkeypatch.setattr(vectors, "found_links", lambda dealt, graph, threshold: dealt.selectExpr(
-        "node", "node as other").limit(0))
+        "node", "0L as partners", "node as other"))
     rows = [(i, [1.0, 0.001 * i], 1) for i in range(200)]
     with pytest.raises(ValueError, match="recall"):
         vectors.near_vectors(table(spark, rows))
