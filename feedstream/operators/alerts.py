@@ -8,6 +8,8 @@ import json
 
 from pyspark.sql import Window, functions as F
 
+SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
 
 def windowed_counts(df, key, timestamp, width="1 day"):
     """Counts by (key, window start)."""
@@ -16,12 +18,21 @@ def windowed_counts(df, key, timestamp, width="1 day"):
     ).select("key", F.col("w.start").alias("win"), "n")
 
 
-def anomalies(metrics, history=7, limit=2.0):
+def _in_time(width):
+    """Windows of a key on their start in seconds, and the seconds of a window."""
+    at = Window.partitionBy("key").orderBy(F.unix_timestamp(F.col("win").cast("timestamp")))
+    number, unit = width.split()
+    return at, int(number) * SECONDS[unit.rstrip("s")]
+
+
+def anomalies(metrics, history=7, limit=2.0, width="1 day"):
     """Windows whose n lies more than ``limit`` deviations off the key's previous windows.
 
-    Only windows with a full history are judged; a history without spread judges nothing.
+    ``width`` is that of the windows. Only windows that follow a full, gapless history are judged;
+    a history without spread judges nothing.
     """
-    past = Window.partitionBy("key").orderBy("win").rowsBetween(-history, -1)
+    at, seconds = _in_time(width)
+    past = at.rangeBetween(-history * seconds, -1)
     scored = metrics.select(
         "key", "win", "n",
         F.count("*").over(past).alias("seen"),
@@ -41,6 +52,9 @@ def threshold_alerts(metrics, rules, metric="count"):
     is checked where it is, so no join is needed.
     """
     own = [dict(zip(("op", "threshold", "level"), r[1:])) for r in rules if r[0] == metric]
+    unknown = {rule["op"] for rule in own} - {">", "<"}
+    if unknown:
+        raise ValueError(f"operators of rules are > and <, not {sorted(unknown)}")
     declared = F.from_json(
         F.lit(json.dumps(own)), "array<struct<op: string, threshold: double, level: string>>"
     )
@@ -53,9 +67,11 @@ def threshold_alerts(metrics, rules, metric="count"):
     return metrics.select("*", F.lit(metric).alias("metric"), F.inline(F.filter(declared, broken)))
 
 
-def pattern_alerts(metrics, threshold, run=3):
-    """Windows that end a run of at least ``run`` windows in a row over the threshold."""
-    last = Window.partitionBy("key").orderBy("win").rowsBetween(1 - run, 0)
+def pattern_alerts(metrics, threshold, run=3, width="1 day"):
+    """Windows that end a run of at least ``run`` windows in a row over the threshold; a missing
+    window ends a run. ``width`` is that of the windows."""
+    at, seconds = _in_time(width)
+    last = at.rangeBetween((1 - run) * seconds, 0)
     breach = F.when(F.col("n") > threshold, 1).otherwise(0)
     flagged = metrics.withColumn("breaches", F.sum(breach).over(last))
     return flagged.where(F.col("breaches") == run).drop("breaches")
@@ -69,10 +85,11 @@ def time_series(df, timestamp, tags, values):
     return timed.unpivot(["ts", *tags], list(values), "metric", "value")
 
 
-def write_time_series(series, path, mode="append"):
+def write_time_series(series, path, batch):
     """Store long-form series by date, so that a time range reads only its days.
 
-    Rebalancing gives every date few, evenly sized files; a large date is split over tasks.
+    ``batch`` names the part that is written; writing it again replaces it. Rebalancing gives
+    every date few, evenly sized files; a large date is split over tasks.
     """
     dated = series.withColumn("date", F.to_date("ts")).hint("rebalance", "date")
-    dated.write.mode(mode).partitionBy("date").parquet(path)
+    dated.write.mode("overwrite").partitionBy("date").parquet(f"{path}/batch={batch}")

@@ -1,6 +1,7 @@
 """Sentiment and nearest category, by native expressions or a pluggable model."""
 
-from pyspark.sql import functions as F
+from pyspark import cloudpickle
+from pyspark.sql import SparkSession, functions as F
 
 from feedstream.functions.categories import (
     category_vectors,
@@ -20,8 +21,7 @@ from feedstream.reference_data import (
 )
 from feedstream.sources.declared import declared_table
 
-BLOCK = 512  # category vectors per scoring matrix
-BROADCAST_VECTORS = 8 * BLOCK  # most category vectors that are sent to the records
+MAX_CATEGORIES = 4096  # most category vectors that nearest_category sends to the records
 NO_SCORE = -2.0  # below every cosine: a vector without length
 
 
@@ -76,90 +76,105 @@ def category_labels(spark, categories=CATEGORIES_MAIN):
 
 
 def category_centroids(df, category="label", vector="embedding"):
-    """(category, vector, n): the mean vector of every category.
+    """(category, vector, n): the mean vector of every category. Vectors have one length.
 
-    Sums per (category, dimension) leave the map side, so the exchange is as small as the
-    result and a hot category weighs no more than another.
+    Every task sums its Arrow batches, so one partial sum per batch and category is exchanged and a
+    hot category weighs no more than another.
     """
-    parts = df.select(F.col(category).alias("category"), F.posexplode(vector).alias("dim", "x"))
-    means = parts.groupBy("category", "dim").agg(
-        F.avg(F.col("x").cast("double")).alias("mean"), F.count("*").alias("n")
-    )
-    by_dim = F.sort_array(F.collect_list(F.struct("dim", "mean")))
-    return means.groupBy("category").agg(
-        F.transform(by_dim, lambda d: d["mean"]).alias("vector"), F.max("n").alias("n")
-    )
+    kind = df.select(category).schema[0].dataType.simpleString()
+
+    def partial(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            keys = batch.column(0).dictionary_encode()
+            rows = np.stack([v.values.to_numpy() for v in batch.column(1)]).astype(float)
+            place = keys.indices.to_numpy()
+            sums = np.zeros((len(keys.dictionary), rows.shape[1]))
+            np.add.at(sums, place, rows)
+            yield pa.RecordBatch.from_arrays(
+                [keys.dictionary, pa.array(list(sums)), pa.array(np.bincount(place, minlength=len(sums)))],
+                ["category", "total", "n"])
+
+    known = df.where(F.col(category).isNotNull() & F.col(vector).isNotNull())
+    parts = known.select(F.col(category), F.col(vector).cast("array<double>")).mapInArrow(
+        partial, f"category {kind}, total array<double>, n bigint")
+    added = F.reduce(
+        F.collect_list("total"), F.array().cast("array<double>"),
+        lambda total, x: F.when(F.size(total) == 0, x).otherwise(F.zip_with(total, x, lambda p, q: p + q)))
+    return parts.groupBy("category").agg(added.alias("total"), F.sum("n").alias("n")).select(
+        "category", F.transform("total", lambda x: x / F.col("n")).alias("vector"), "n")
 
 
 def nearest_category(df, categories, vector="embedding"):
     """Adds (category, score) of the category vector with the largest cosine.
 
-    ``categories`` has (ord, category, vector): declared labels or centroids. They are computed
-    once and sent to the tasks in blocks of about BLOCK vectors; the records stay where they
-    are, and their batches are scored as matrices. Of equal scores the smallest ord wins.
+    ``categories`` has (ord, category, vector): declared labels or centroids, at most
+    MAX_CATEGORIES. They are computed once and broadcast; the records stay where they are, and
+    their batches are scored as one matrix product. Of equal scores the smallest ord wins.
     """
-    context = df.sparkSession.sparkContext
-    categories = categories.select("ord", "category", "vector").persist()
-    blocks = max(1, -(-categories.count() // BLOCK))
-    block = F.pmod(F.xxhash64("category"), F.lit(blocks))
-    scored, best = df, []
-    for i in range(blocks):
-        few = categories.where(block == i).orderBy("ord").collect()
-        if few:
-            scored = scored.withColumn(f"_best{i}", _best_of(context, few)(F.col(vector)))
-            best.append(f"_best{i}")
-    categories.unpersist()
-    found = F.col(best[0]) if len(best) == 1 else F.greatest(*best)
+    few = categories.select("ord", "category", "vector").limit(MAX_CATEGORIES + 1).collect()
+    if not 0 < len(few) <= MAX_CATEGORIES:
+        raise ValueError(f"nearest_category takes 1 to {MAX_CATEGORIES} categories")
+    few.sort(key=lambda c: c.ord)
+    best = _best_of(df.sparkSession.sparkContext, few)
     kind = categories.schema["category"].dataType
-    return scored.withColumn("_best", found).withColumns({
+    return df.withColumn("_best", best(F.col(vector))).withColumns({
         "category": F.col("_best.category").cast(kind),
         "score": F.nullif("_best.score", F.lit(NO_SCORE)),
-    }).drop("_best", *best)
+    }).drop("_best")
+
+
+def _nearest():
+    """(vectors, matrix) -> position and cosine of the nearest row of the matrix to each vector, the
+    first of equal ones. Made here so that executors get it by value."""
+    no_score = NO_SCORE
+
+    def nearest(vectors, matrix):
+        import numpy as np
+
+        def unit(rows):
+            with np.errstate(invalid="ignore", divide="ignore"):
+                return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+        scores = np.nan_to_num((unit(vectors) @ unit(matrix).T).round(9), nan=no_score)
+        place = scores.argmax(axis=1)
+        return place, scores[np.arange(len(place)), place]
+
+    return nearest
 
 
 def _best_of(context, categories):
-    """Vector -> (score, -ord, category) of the best of a few categories."""
+    """Vector -> (score, category) of the best of a few categories, in order."""
     import pandas as pd
 
     declared = context.broadcast((
-        [[float(x) for x in c.vector] for c in categories],
-        [-c.ord for c in categories],
-        [str(c.category) for c in categories],
+        [[float(x) for x in c.vector] for c in categories], [str(c.category) for c in categories],
     ))
-    no_score = NO_SCORE
+    nearest = _nearest()
 
     def best(vectors):
         import numpy as np
 
-        def unit(matrix):
-            with np.errstate(invalid="ignore", divide="ignore"):
-                return matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
-
-        matrix, ranks, names = declared.value
+        matrix, names = declared.value
         matrix = np.asarray(matrix)
         nothing = np.zeros(matrix.shape[1])
         rows = np.stack([nothing if v is None else v for v in vectors]).astype(float)
-        scores = np.nan_to_num((unit(rows) @ unit(matrix).T).round(9), nan=no_score)
-        place = scores.argmax(axis=1)
-        return pd.DataFrame({
-            "score": scores[np.arange(len(place)), place],
-            "rank": np.asarray(ranks)[place],
-            "category": np.asarray(names)[place],
-        })
+        place, score = nearest(rows, matrix)
+        return pd.DataFrame({"score": score, "category": np.asarray(names)[place]})
 
     best.__annotations__ = {"vectors": pd.Series, "return": pd.DataFrame}
-    return F.pandas_udf(best, "score double, rank bigint, category string")
+    return F.pandas_udf(best, "score double, category string")
 
 
-def own_category_score(df, categories, n_categories, category="category", vector="embedding"):
+def own_category_score(df, categories, category="category", vector="embedding"):
     """Adds score, the cosine with the vector of the record's own category.
 
-    ``categories`` has (category, vector). While they are few they go to the records, whose
-    hottest category then needs no task of its own; more are joined by shuffle.
+    ``categories`` has (category, vector). Spark joins as sizes allow; a hot category is split by
+    the adaptive skew join.
     """
     own = categories.select(F.col("category").alias(category), F.col("vector").alias("_own"))
-    if n_categories <= BROADCAST_VECTORS:
-        own = F.broadcast(own)
     scored = df.join(own, category)
     return scored.withColumn("score", cosine_udf()(F.col(vector), F.col("_own"))).drop("_own")
 
@@ -185,49 +200,85 @@ def cosine_udf():
     return F.pandas_udf(cosines, "double")
 
 
-def sentiment_udf(scorer_factory, labels=SENTIMENT_LABELS):
+def _per_worker(factory):
+    """A function that gives factory(), made once per Python worker: broadcast values live there."""
+    holder = SparkSession.active().sparkContext.broadcast({"factory": cloudpickle.dumps(factory)})
+
+    def model():
+        import pickle
+
+        kept = holder.value
+        if "model" not in kept:
+            kept["model"] = pickle.loads(kept["factory"])()
+        return kept["model"]
+
+    return model
+
+
+def sentiment_udf(scorer_factory, labels=SENTIMENT_LABELS, max_chars=None):
     """Column function: text -> label of the largest class score of a plugged-in model.
 
-    ``scorer_factory()`` is called once per task and returns ``score(list of texts)`` -> array
-    of shape (texts, labels). Missing texts are scored as ''.
+    ``scorer_factory()`` is called once per worker process and returns ``score(list of texts)`` ->
+    array of shape (texts, labels). Missing texts are scored as ''. ``max_chars`` cuts what the
+    model sees, for models with a limited input.
     """
     import pandas as pd
 
-    label_list = list(labels)
+    model, names = _per_worker(scorer_factory), list(labels)
 
-    def predict(batches):
+    def predict(texts):
         import numpy as np
 
-        score = scorer_factory()
-        for texts in batches:
-            if texts.empty:
-                yield pd.Series([], dtype=str)
-                continue
-            picked = np.asarray(score(texts.fillna("").tolist())).argmax(axis=1)
-            yield pd.Series([label_list[i] for i in picked])
+        scores = np.asarray(model()(texts.fillna("").str.slice(0, max_chars).tolist()))
+        return pd.Series(np.array(names, dtype=object)[scores.reshape(len(texts), len(names)).argmax(axis=1)])
 
-    return _iterator_udf(predict, "string")
+    return _text_udf(predict, "string")
 
 
-def embedding_udf(embedder_factory):
+def embedding_udf(embedder_factory, max_chars=None):
     """Column function: text -> vector of a plugged-in model, for nearest_category.
 
-    ``embedder_factory()`` is called once per task and returns ``embed(list of texts)`` ->
-    array of shape (texts, dimensions).
+    ``embedder_factory()`` is called once per worker process and returns ``embed(list of texts)``
+    -> array of shape (texts, dimensions). ``max_chars`` as in sentiment_udf.
     """
     import pandas as pd
 
-    def embed_batches(batches):
+    model = _per_worker(embedder_factory)
+
+    def embed(texts):
+        import numpy as np
+
+        return pd.Series(list(np.asarray(model()(texts.fillna("").str.slice(0, max_chars).tolist()), dtype=float)))
+
+    return _text_udf(embed, "array<double>")
+
+
+def embedded_category(embedder_factory, categories=CATEGORIES_MAIN, max_chars=None):
+    """Column function: text -> category whose label text a plugged-in embedder puts nearest, the
+    first declared of equal ones. Label texts are embedded once per worker process."""
+    import pandas as pd
+
+    names, texts_of = list(categories), [" ".join(words) for words in categories.values()]
+    nearest = _nearest()
+
+    def factory():
         import numpy as np
 
         embed = embedder_factory()
-        for texts in batches:
-            if texts.empty:
-                yield pd.Series([], dtype=object)
-                continue
-            yield pd.Series(list(np.asarray(embed(texts.fillna("").tolist()), dtype=float)))
+        return embed, np.asarray(embed(texts_of), dtype=float)
+
+    model = _per_worker(factory)
 
-    return _iterator_udf(embed_batches, "array<double>")
+    def categorize(texts):
+        import numpy as np
+
+        embed, labels = model()
+        if texts.empty:
+            return pd.Series([], dtype=object)
+        rows = np.asarray(embed(texts.fillna("").str.slice(0, max_chars).tolist()), dtype=float)
+        return pd.Series(np.array(names, dtype=object)[nearest(rows, labels)[0]])
+
+    return _text_udf(categorize, "string")
 
 
 def embedded_labels(spark, embedder, categories=CATEGORIES_MAIN):
@@ -238,10 +289,8 @@ def embedded_labels(spark, embedder, categories=CATEGORIES_MAIN):
     return declared_table(spark, rows, "ord int, category string, vector array<double>")
 
 
-def _iterator_udf(function, returns):
-    from collections.abc import Iterator
-
+def _text_udf(function, returns):
     import pandas as pd
 
-    function.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    function.__annotations__ = {"texts": pd.Series, "return": pd.Series}
     return F.pandas_udf(function, returns)

@@ -1,18 +1,17 @@
 """First-seen de-duplication, with and without a ledger of sent articles.
 
-A NULL id never equals another one: such records always stay. Their dedup key carries the
-record's own position instead, which also keeps them from meeting in one task.
+A NULL id never equals another one: such records always stay. Their dedup key carries a number
+of their own instead, which also keeps them from meeting in one task.
 """
 
 from pyspark.sql import functions as F
 
-from feedstream.sources.declared import BROADCAST_ROWS
-
 KEY = "_dedup_key"
+RECORD = "_record"
 
 
 def first_seen(df, order, id="id"):
-    """The first record of every id by the order columns (unique together). Tables only.
+    """The first record of every id by the order columns, then by place in the input. Tables only.
 
     The minimum is taken on the map side first, so an id with very many copies reaches its
     reducer as one record per map task.
@@ -31,23 +30,11 @@ def unseen(df, ledger, id="id"):
 def first_unseen(df, ledger, order, id="id"):
     """first_seen and unseen in one: the records are shuffled once, on the dedup key."""
     sent = ledger.where(F.col(id).isNotNull())
-    position = F.lit(None).cast(_position(df, order).schema["p"].dataType)
-    sent_keys = sent.select(F.struct(F.col(id).alias("id"), position.alias("p")).alias(KEY))
+    none = F.lit(None).cast("bigint")
+    sent_keys = sent.select(F.struct(F.col(id).alias("id"), none.alias("p")).alias(KEY))
     return _first_by_key(df, order, id).join(sent_keys, KEY, "left_anti").drop(KEY)
 
 
-def among(ledger, ids, id="id", limit=BROADCAST_ROWS):
-    """Ledger entries of the given ids.
-
-    Few ids are sent to the ledger's tasks, which saves shuffling a long ledger for a small
-    batch; more than ``limit`` are joined by shuffle. Counts the ids, so pass a persisted table.
-    """
-    few = ids.where(F.col(id).isNotNull()).distinct()
-    if few.count() <= limit:
-        few = F.broadcast(few)
-    return ledger.join(few, id, "left_semi")
-
-
 def drop_repeats(stream, id="id", watermark=None):
     """Streaming first-seen by state: unbounded, or bounded by (event-time column, delay).
 
@@ -62,14 +49,10 @@ def drop_repeats(stream, id="id", watermark=None):
     return kept.unionByName(without_id.withWatermark(event_time, delay))
 
 
-def _position(df, order):
-    return df.select(F.struct(*order).alias("p"))
-
-
 def _first_by_key(df, order, id):
-    position = F.struct(*order)
-    key = F.struct(F.col(id).alias("id"), F.when(F.col(id).isNull(), position).alias("p"))
-    firsts = df.groupBy(key.alias(KEY)).agg(
-        F.min_by(F.struct(*df.columns), position).alias("_first")
+    numbered = df.withColumn(RECORD, F.monotonically_increasing_id())
+    key = F.struct(F.col(id).alias("id"), F.when(F.col(id).isNull(), F.col(RECORD)).alias("p"))
+    firsts = numbered.groupBy(key.alias(KEY)).agg(
+        F.min_by(F.struct(*df.columns), F.struct(*order, RECORD)).alias("_first")
     )
     return firsts.select(KEY, "_first.*")

@@ -11,7 +11,7 @@ from feedstream.reference_data import (
     HN_LIST_LENGTH,
     INGEST_KEYWORDS,
 )
-from feedstream.sources.declared import BROADCAST_ROWS, declared_table
+from feedstream.sources.declared import declared_table
 
 
 def feed_registry(spark, registry=FEED_REGISTRY):
@@ -89,14 +89,9 @@ def parse_id_lists(df, json="json", keep=()):
     return df.select(*keep, F.from_json(json, "array<bigint>").alias("ids"))
 
 
-def lookup_items(ids, items, n_ids=None):
-    """Items of the listed ids; ids without an item are dropped.
-
-    ``n_ids`` is the most ids there can be, where that is known, such as HN_LIST_LENGTH for one
-    list cut by first_ids: few ids go to the items, which then are not shuffled.
-    """
-    listed = F.broadcast(ids) if n_ids is not None and n_ids <= BROADCAST_ROWS else ids
-    return items.where(F.col("id").isNotNull()).join(listed, "id")
+def lookup_items(ids, items):
+    """Items of the listed ids; ids without an item are dropped."""
+    return items.where(F.col("id").isNotNull()).join(ids, "id")
 
 
 def _fetched(fetched_at):

@@ -12,7 +12,6 @@ from feedstream.reference_data import (
     CATEGORIES_MAIN,
     CATEGORIES_OLDER,
     MIN_TEXT_LENGTH,
-    MODEL_TEXT_CHARS,
     NEGATIVE_WORDS,
     POSITIVE_WORDS,
 )
@@ -36,9 +35,9 @@ class Variant:
     category: Callable[[Column], Column] | None = None
 
 
-# The main job cuts texts to its models' input; the older one classifies whole texts,
-# keeps short ones and shows every column.
-MAIN = Variant(max_chars=MODEL_TEXT_CHARS)
+# Both jobs classify whole texts; a plugged-in model cuts its own input (sentiment_udf and
+# embedding_udf take max_chars). The older job keeps short texts and shows every column.
+MAIN = Variant()
 OLDER = Variant(
     min_text_length=None,
     processing_time=False,
@@ -46,7 +45,7 @@ OLDER = Variant(
     category_array=True,
     results_only=False,
 )
-WHOLE_TEXT = Variant()
+WHOLE_TEXT = MAIN
 
 
 def analyze(articles, variant=MAIN, keep=()):

@@ -1,18 +1,38 @@
 """Landed feeds and items -> one stream or table of articles."""
 
+from pyspark.sql import functions as F
+
 from feedstream.operators.enrich import (
     attach_feed,
     enrich_hn,
     enrich_rss,
     feed_registry,
+    lookup_items,
     union_articles,
 )
-from feedstream.sources.feeds import hn_items, rss_entries
+from feedstream.sources.feeds import atom_entries, hn_items, rss_entries
+from feedstream.sources.files import arrival
+
+ARRIVAL = "_arrival"
+
+
+def articles(spark, rss_path, hn_path, streaming=False, atom_path=None, item_ids=None, **options):
+    """All articles of the landed files, copies and already sent ones included, with ARRIVAL, what
+    orders them: feeds as registered, then items; then the file and the place in it.
 
+    ``atom_path`` is a folder of feeds in Atom form. ``item_ids`` (id) keeps the items of a list only,
+    as first_ids gives them. ``options`` such as maxFilesPerTrigger bound a stream's batches.
+    """
+    def placed(feed):
+        return F.struct(feed.alias("feed"), arrival().alias("file")).alias(ARRIVAL)
 
-def articles(spark, rss_path, hn_path, streaming=False, **options):
-    """All articles of the landed files, copies and already sent ones included."""
-    entries = rss_entries(spark, rss_path, streaming, **options)
+    of_feed = placed(F.col("feed_ord"))
+    entries = rss_entries(spark, rss_path, streaming, keep=[of_feed], **options)
+    if atom_path:
+        entries = entries.unionByName(atom_entries(spark, atom_path, streaming, keep=[of_feed], **options))
     with_feed = attach_feed(entries, feed_registry(spark), "feed_ord")
-    items = hn_items(spark, hn_path, streaming, **options)
-    return union_articles(enrich_rss(with_feed), enrich_hn(items))
+    last = placed(F.lit(2**31 - 1))
+    items = hn_items(spark, hn_path, streaming, keep=[last], **options)
+    if item_ids is not None:
+        items = lookup_items(item_ids.select("id"), items)
+    return union_articles(enrich_rss(with_feed, keep=[ARRIVAL]), enrich_hn(items, keep=[ARRIVAL]))

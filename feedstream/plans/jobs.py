@@ -4,20 +4,30 @@
 or write is one of the batch writes in streaming.sinks.
 """
 
-from pyspark.sql import functions as F
+from functools import reduce
 
-from feedstream.operators import metrics
+from pyspark.sql import DataFrame, functions as F
+
+from feedstream.operators import alerts, metrics
 from feedstream.operators.parse import flag_corrupt, parse_articles, parse_results
 from feedstream.plans.analysis import MAIN, OLDER, analyze
-from feedstream.reference_data import ANALYSIS_TRIGGER, POLL_TRIGGER, VIEW_TRIGGER
+from feedstream.plans.ingest import ARRIVAL
+from feedstream.reference_data import (
+    ANALYSIS_TRIGGER,
+    POLL_TRIGGER,
+    RECENT_KEPT,
+    RECENT_SHOWN,
+    TIMELINE_POINTS,
+    VIEW_TRIGGER,
+)
 from feedstream.streaming import jobs, sinks
 
-VIEW_ORDER = ["timestamp", "id"]
+VIEW_ORDER = [ARRIVAL, jobs.ROW]
 
 
-def start_ingest(articles, order, ledger, publish, checkpoint, **start):
-    """Landed articles -> those not sent before -> publish, every 30 seconds."""
-    writer = jobs.ingest(articles, order, ledger, publish, checkpoint)
+def start_ingest(articles, ledger, publish, checkpoint, **start):
+    """Landed articles with ARRIVAL -> those not sent before -> publish, every 30 seconds."""
+    writer = jobs.ingest(articles, [ARRIVAL], ledger, publish, checkpoint, hidden=[ARRIVAL])
     return jobs.start(writer, **{"name": "ingest", "every": POLL_TRIGGER, **start})
 
 
@@ -45,13 +55,15 @@ def start_quarantine(lines, write, checkpoint, **start):
 def start_view(lines, path, checkpoint, timestamp=None, **start):
     """JSON results -> the tables of the view under ``path``, every 2 seconds.
 
-    Times are arrival times unless a column of the results is named.
+    ``lines`` carries ARRIVAL, the place of a message in its topic or files. Times are arrival
+    times unless a column of the results is named.
     """
     when = F.current_timestamp() if timestamp is None else F.col(timestamp)
-    view = metrics.result_view(parse_results(lines), when, keep=["id"])
+    view = metrics.result_view(parse_results(lines, keep=[ARRIVAL]), when, keep=["id", ARRIVAL])
     writers = {
         "counters": jobs.running_counters(view, f"{path}/counters", f"{checkpoint}/counters"),
-        "recent": jobs.running_recent(view, VIEW_ORDER, f"{path}/recent", f"{checkpoint}/recent"),
+        "recent": jobs.running_recent(view, [ARRIVAL], f"{path}/recent", f"{checkpoint}/recent"),
+        "minutes": jobs.running_timeline_parts(view, f"{path}/minutes", f"{checkpoint}/minutes"),
     }
     return [
         jobs.start(writer, **{"name": name, "every": VIEW_TRIGGER, **start})
@@ -59,8 +71,49 @@ def start_view(lines, path, checkpoint, timestamp=None, **start):
     ]
 
 
-def read_view(spark, path):
-    """Everything the view shows, as tables: all of them small."""
+def start_alerts(lines, path, checkpoint, rules=(), run=3, threshold=None, width="1 minute", **start):
+    """JSON results -> counts of a source per window -> tables of alerts under ``path``.
+
+    Every batch adds the counts it holds, however late, and judges the merged counts of its
+    sources: broken rules, runs of windows over ``threshold``, and anomalies. A batch that comes
+    again replaces what it wrote; the newest judgement is read with read_alerts.
+    """
+    def judge(batch, batch_id):
+        counted = alerts.windowed_counts(batch, "source", "timestamp", width)
+        sinks.batch_files(f"{path}/counts")(counted, batch_id)
+        merged = jobs.merged_counts(batch.sparkSession, f"{path}/counts", "key", "win").join(
+            counted.select("key").distinct(), "key", "left_semi")
+        found = [
+            alerts.threshold_alerts(merged, rules).select("key", "win", "n", F.col("level").alias("alert")),
+            alerts.anomalies(merged, width=width).select("key", "win", "n", F.lit("anomaly").alias("alert")),
+        ]
+        if threshold is not None:
+            found.append(alerts.pattern_alerts(merged, threshold, run, width).select(
+                "key", "win", "n", F.lit("pattern").alias("alert")))
+        judged = counted.select("key").distinct().select("key", *[
+            F.lit(None).cast(k).alias(c) for c, k in (("win", "timestamp"), ("n", "bigint"), ("alert", "string"))])
+        every = reduce(DataFrame.unionByName, [*found, judged]).withColumn("written", F.current_timestamp())
+        sinks.batch_files(f"{path}/alerts")(every, batch_id)
+
+    when = F.col("processing_time")
+    view = metrics.result_view(parse_results(lines), when)
+    writer = sinks.batch_sink(view, judge, checkpoint)
+    return jobs.start(writer, **{"name": "alerts", "every": VIEW_TRIGGER, **start})
+
+
+def read_alerts(spark, path):
+    """(key, win, n, alert) as the last batch that had records of the key judged it."""
+    table = spark.read.parquet(f"{path}/alerts")
+    order = F.struct("written", "batch_id")
+    last = table.groupBy("key").agg(F.max(order).alias("last"))
+    newest = table.join(last, "key").where(order == F.col("last"))
+    return newest.where("alert is not null").select("key", "win", "n", "alert")
+
+
+def read_view(spark, path, points=TIMELINE_POINTS, shown=RECENT_SHOWN):
+    """Everything the view shows, as tables: all of them small but `minutes`, the whole timeline."""
+    if max(points, shown) > RECENT_KEPT:
+        raise ValueError(f"the view keeps the last {RECENT_KEPT} records")
     counts = jobs.latest_version(spark, f"{path}/counters")
     newest = jobs.latest_version(spark, f"{path}/recent")
     return {
@@ -69,6 +122,7 @@ def read_view(spark, path):
         "by_sentiment": metrics.share(counts, "sentiment"),
         "by_category": metrics.roll_up(counts, "category"),
         "top_categories": metrics.top(counts),
-        "timeline": metrics.timeline_last(newest, VIEW_ORDER),
-        "recent": metrics.recent_shown(newest, VIEW_ORDER),
+        "timeline": metrics.timeline_last(newest, VIEW_ORDER, points),
+        "minutes": jobs.merged_counts(spark, f"{path}/minutes", "minute", "sentiment"),
+        "recent": metrics.recent_shown(newest, VIEW_ORDER, shown),
     }

@@ -90,7 +90,6 @@ RESULT_DEFAULTS = {
 
 INPUT_TOPIC = "rss_hn_feed"
 RESULTS_TOPIC = "analyzed_results"
-RECORDS_PER_TRIGGER = 100
 ANALYSIS_TRIGGER = "10 seconds"
 POLL_TRIGGER = "30 seconds"
 VIEW_TRIGGER = "2 seconds"

@@ -30,10 +30,12 @@ LEDGER_SCHEMA = T.StructType(
     _strings("id", "source", "title", "link") + [T.StructField("timestamp", T.LongType())]
 )
 
-RSS_ITEM_SCHEMA = T.StructType(_strings("guid", "title", "link", "description", "pubDate"))
+RSS_ITEM_SCHEMA = T.StructType(_strings(
+    "guid", "title", "link", "description", "pubDate", "content:encoded", "dc:date",
+))
 
 ATOM_ENTRY_SCHEMA = T.StructType(
-    _strings("id", "title", "summary", "published")
+    _strings("id", "title", "summary", "published", "content", "updated")
     + [T.StructField("link", T.ArrayType(T.StructType(_strings("_href", "_rel"))))]
 )
 

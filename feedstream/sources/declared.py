@@ -3,9 +3,6 @@
 import pyarrow as pa
 from pyspark.sql import types as T
 
-# Largest number of records that is sent to every task on purpose.
-BROADCAST_ROWS = 100_000
-
 
 def declared_table(spark, rows, schema):
     """A table of literal rows.

@@ -1,5 +1,7 @@
 """Files in any built-in format."""
 
+from pyspark.sql import functions as F
+
 
 def read_records(spark, path, fmt="parquet", schema=None, streaming=False, **options):
     """A table or a stream of files. ``maxFilesPerTrigger`` bounds a stream's batches."""
@@ -11,12 +13,12 @@ def read_records(spark, path, fmt="parquet", schema=None, streaming=False, **opt
     return reader.load(path)
 
 
-def spread(scan, *keys):
-    """Share out an input of few pieces, such as one large file, over the cluster's cores.
 
-    For file scans in front of heavy per-record work; keys should be close to unique. An input
-    of at least half as many pieces as cores is left as it is, so large tables are not shuffled.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    few = scan.rdd.getNumPartitions() * 2 <= cores
-    return scan.repartition(cores, *keys) if few else scan
+def arrival():
+    """Where a record of a file stream or table lies: time and path of its file, place in it.
+    Records of one place follow each other in the order in which a task reads them."""
+    return F.struct(
+        F.col("_metadata.file_modification_time").alias("time"),
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("place"),
+    )

@@ -1,5 +1,7 @@
 """Kafka topics. Needs Spark's Kafka connector on the class path."""
 
+from pyspark.sql import functions as F
+
 from feedstream.operators.parse import decode
 from feedstream.reference_data import LINGER_MS
 
@@ -47,3 +49,8 @@ def read_topic(spark, servers, topic, streaming=True, starting=None, keep=(), **
     reader = spark.readStream if streaming else spark.read
     chosen = source_options(servers, topic, start, **options)
     return decode(reader.format("kafka").options(**chosen).load(), keep=keep)
+
+
+def message_place():
+    """What orders the messages of a topic: their time, then partition and offset."""
+    return F.struct("timestamp", "partition", "offset")

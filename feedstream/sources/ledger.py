@@ -1,22 +1,36 @@
-"""Ledger of sent articles: one folder per batch, rewritten whole when a batch is replayed."""
+"""Ledger of sent articles: one folder per run of a query and batch, rewritten whole when a batch
+is replayed. A run is what one checkpoint counts, so a new checkpoint leaves older entries alone."""
 
 from pyspark.sql import functions as F, types as T
 
 from feedstream.schemas import LEDGER_SCHEMA
 
-BATCH = T.StructField("batch_id", T.LongType())
+NO_RUN = "none"
+PARTS = [T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())]
+
+
+def run_of(batch_id):
+    """The run that a batch belongs to, where streaming.sinks has named it."""
+    return getattr(batch_id, "run", NO_RUN)
+
+
+def batch_folder(path, batch_id):
+    return f"{path}/run={run_of(batch_id)}/batch_id={int(batch_id)}"
 
 
 def read_ledger(spark, path, before_batch=None):
-    """Entries of all batches, or of those before the given one."""
-    ledger = spark.read.schema(T.StructType([*LEDGER_SCHEMA.fields, BATCH])).parquet(path)
-    return ledger if before_batch is None else ledger.where(F.col("batch_id") < before_batch)
+    """Entries of all batches, or of all but the given one and those after it in its run."""
+    ledger = spark.read.schema(T.StructType([*LEDGER_SCHEMA.fields, *PARTS])).parquet(path)
+    if before_batch is None:
+        return ledger
+    later = (F.col("run") == run_of(before_batch)) & (F.col("batch_id") >= int(before_batch))
+    return ledger.where(~later)
 
 
 def create_ledger(spark, path):
     """An empty ledger, left alone where one exists."""
     empty = spark.createDataFrame([], LEDGER_SCHEMA)
-    empty.write.mode("ignore").parquet(f"{path}/batch_id=-1")
+    empty.write.mode("ignore").parquet(f"{path}/run={NO_RUN}/batch_id=-1")
 
 
 def mark_sent(articles, path, batch_id):
@@ -24,4 +38,4 @@ def mark_sent(articles, path, batch_id):
     entries = articles.where(F.col("id").isNotNull()).select(
         "id", "source", "title", "link", F.unix_timestamp().alias("timestamp")
     )
-    entries.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    entries.write.mode("overwrite").parquet(batch_folder(path, batch_id))

@@ -2,12 +2,14 @@
 
 from pyspark.sql import functions as F
 
-from feedstream.operators.dedup import among, drop_repeats, first_unseen
+from feedstream.operators.dedup import drop_repeats, first_unseen
 from feedstream.operators.metrics import counters, recent, timeline
 from feedstream.reference_data import RECENT_KEPT
-from feedstream.sources.ledger import create_ledger, mark_sent, read_ledger
+from feedstream.sources.ledger import create_ledger, mark_sent, read_ledger, run_of
 from feedstream.streaming.sinks import batch_files, batch_sink, to_all, with_trigger
 
+ROW = "_row"  # place of a record in its batch
+
 
 def start(writer, name=None, every=None, available_now=False):
     if name:
@@ -20,24 +22,21 @@ def await_any(spark):
     spark.streams.awaitAnyTermination()
 
 
-def ingest(articles, order, ledger_path, publish, checkpoint):
-    """Articles not sent before -> publish, then into the ledger.
+def ingest(articles, order, ledger_path, publish, checkpoint, hidden=()):
+    """Articles not sent before -> publish, then into the ledger. ``hidden`` columns order the
+    articles and are not published.
 
     A replayed batch does not see its own ledger entries, so it publishes the same articles
-    again: at least once, and once for sinks keyed by batch.
+    again: at least once, and once for sinks keyed by batch. Only the fresh articles are kept
+    while they are written; bound a batch at its source.
     """
     spark = articles.sparkSession
     create_ledger(spark, ledger_path)
 
     def write(batch, batch_id):
-        batch.persist()
-        try:
-            ledger = read_ledger(batch.sparkSession, ledger_path, before_batch=batch_id)
-            sent = among(ledger, batch.select("id"))
-            fresh = first_unseen(batch, sent, order)
-            to_all(publish, lambda df, i: mark_sent(df, ledger_path, i))(fresh, batch_id)
-        finally:
-            batch.unpersist()
+        ledger = read_ledger(batch.sparkSession, ledger_path, before_batch=batch_id)
+        fresh = first_unseen(batch, ledger.select("id"), order).drop(*hidden)
+        to_all(publish, lambda df, i: mark_sent(df, ledger_path, i))(fresh, batch_id)
 
     return batch_sink(articles, write, checkpoint)
 
@@ -65,54 +64,61 @@ def running_counters(view, path, checkpoint):
     return batch_sink(counters(view), _write_slot(path), checkpoint, mode="complete")
 
 
-def running_timeline(view, path, checkpoint, timestamp="timestamp", watermark=None):
-    """Counts by (minute, sentiment).
+def running_timeline(view, path, checkpoint, timestamp="timestamp"):
+    """Counts by (minute, sentiment) since the start, held as state: every batch writes the whole
+    table; read it with latest_version."""
+    grouped = timeline(view, timestamp)
+    return batch_sink(grouped, _write_slot(path), checkpoint, mode="complete")
 
-    Without a watermark every batch writes the whole table; read it with latest_version. With
-    one, minutes that are older are forgotten by the state and each batch writes the counts it
-    changed; read them with latest_counts.
-    """
-    grouped = timeline(view, timestamp, watermark)
-    if watermark is None:
-        return batch_sink(grouped, _write_slot(path), checkpoint, mode="complete")
-    return batch_sink(grouped, batch_files(path), checkpoint, mode="update")
+
+def running_timeline_parts(view, path, checkpoint, timestamp="timestamp"):
+    """Counts by (minute, sentiment) of each batch, without state: a batch writes the minutes it
+    has, however late they are. Read them with merged_counts."""
+    def write(batch, batch_id):
+        batch_files(path)(timeline(batch, timestamp), batch_id)
+
+    return batch_sink(view, write, checkpoint)
 
 
 def running_recent(view, order, path, checkpoint, n=RECENT_KEPT):
-    """The last n records so far: those of the batch before, merged with the new ones."""
+    """The last n records so far by the order columns and then the place in the batch (ROW): those
+    of the batch before, merged with the new ones."""
     write_slot = _write_slot(path)
 
     def write(batch, batch_id):
-        newest = recent(batch, order, n)
+        place = [*order, ROW]
+        newest = recent(batch.withColumn(ROW, F.monotonically_increasing_id()), place, n)
         if batch_id > 0:
-            kept = batch.sparkSession.read.schema(batch.schema).parquet(_slot(path, batch_id - 1))
-            newest = recent(newest.unionByName(kept), order, n)
+            kept = batch.sparkSession.read.schema(newest.schema).parquet(_slot(path, batch_id - 1, run_of(batch_id)))
+            newest = recent(newest.unionByName(kept), place, n)
         write_slot(newest, batch_id)
 
     return batch_sink(view, write, checkpoint)
 
 
 def latest_version(spark, path):
-    """The table as the last finished batch wrote it."""
+    """The table as the last finished batch wrote it, whichever run it belongs to."""
     table = spark.read.parquet(path)
-    last = table.agg(F.max("batch_id")).scalar()
-    return table.where(F.col("batch_id") == last).drop("batch_id", "slot")
+    last = table.agg(F.max(F.struct("written", "batch_id", "run"))).scalar()
+    newest = table.where(F.struct("written", "batch_id", "run") == last)
+    return newest.drop("written", "batch_id", "run", "slot")
 
 
-def latest_counts(spark, path, *keys):
-    """The newest count of every key of a table whose batches hold changed rows only."""
-    return spark.read.parquet(path).groupBy(*keys).agg(F.max_by("n", "batch_id").alias("n"))
+def merged_counts(spark, path, *keys):
+    """Sums of the counts that the batches of all runs wrote."""
+    return spark.read.parquet(path).groupBy(*keys).agg(F.sum("n").alias("n"))
 
 
-def _slot(path, batch_id):
+def _slot(path, batch_id, run):
     # Two folders in turn: a batch never overwrites the version before its own, so a replay
     # finds what it read the first time, and old versions do not pile up.
-    return f"{path}/slot={batch_id % 2}"
+    return f"{path}/run={run}/slot={batch_id % 2}"
 
 
 def _write_slot(path):
     def write(table, batch_id):
-        versioned = table.withColumn("batch_id", F.lit(batch_id))
-        versioned.write.mode("overwrite").parquet(_slot(path, batch_id))
+        versioned = table.withColumns({
+            "batch_id": F.lit(int(batch_id)), "written": F.current_timestamp()})
+        versioned.write.mode("overwrite").parquet(_slot(path, int(batch_id), run_of(batch_id)))
 
     return write

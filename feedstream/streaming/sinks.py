@@ -1,7 +1,25 @@
 """Stream writers. Every query has its own, explicit checkpoint."""
 
+import json
+
 from feedstream.functions.records import to_json_record
 from feedstream.reference_data import CONSOLE_ROWS
+from feedstream.sources.ledger import batch_folder
+
+
+class BatchId(int):
+    """Number of a batch, with the run that counts it: numbers start again with a new checkpoint."""
+
+    def __new__(cls, number, run):
+        made = super().__new__(cls, number)
+        made.run = run
+        return made
+
+
+def run_id(spark, checkpoint):
+    """The id that Spark gave a query when it made the checkpoint, the same over restarts."""
+    text = spark.read.text(f"{checkpoint}/metadata", wholetext=True).first().value
+    return json.loads(text)["id"]
 
 
 def with_trigger(writer, every=None, available_now=False):
@@ -31,7 +49,14 @@ def file_sink(df, path, checkpoint, fmt="parquet"):
 
 def batch_sink(df, write, checkpoint, mode="append"):
     """``write(batch, batch_id)`` for every micro-batch; a batch can come twice after a failure."""
-    writer = df.writeStream.outputMode(mode).foreachBatch(write)
+    known = []
+
+    def write_numbered(batch, batch_id):
+        if not known:
+            known.append(run_id(batch.sparkSession, checkpoint))
+        write(batch, BatchId(batch_id, known[0]))
+
+    writer = df.writeStream.outputMode(mode).foreachBatch(write_numbered)
     return writer.option("checkpointLocation", checkpoint)
 
 
@@ -49,9 +74,9 @@ def to_all(*writes):
 
 
 def batch_files(path, fmt="parquet"):
-    """Write of a batch to its own folder, replaced when the batch comes again."""
+    """Write of a batch to its own folder of its run, replaced when the batch comes again."""
     def write(batch, batch_id):
-        batch.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
+        batch.write.mode("overwrite").format(fmt).save(batch_folder(path, batch_id))
 
     return write
 
@@ -60,7 +85,7 @@ def batch_json_lines(path):
     """Write of a batch as JSON lines, the file form of a message topic."""
     def write(batch, batch_id):
         lines = batch.select(to_json_record().alias("value"))
-        lines.write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
+        lines.write.mode("overwrite").text(batch_folder(path, batch_id))
 
     return write
 

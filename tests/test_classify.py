@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from feedstream.functions.categories import category_vectors
 from feedstream.functions.vectors import argmax_index, argmax_label, cosine
 from feedstream.operators import classify
-from feedstream.plans.analysis import MAIN, OLDER, WHOLE_TEXT, analyze
+from feedstream.plans.analysis import MAIN, OLDER, analyze
 from feedstream.reference_data import CATEGORIES_MAIN, CATEGORIES_OLDER, SENTIMENT_LABELS
 from feedstream.schemas import ARTICLE_SCHEMA, RESULT_COLUMNS
 
@@ -103,9 +103,7 @@ def test_cosine_in_batches(spark):
     assert [tuple(r) for r in both[50:]] == [(None, None), (None, None)]
 
 
-@pytest.mark.parametrize("block", [128, 2, 1])
-def test_nearest_category_in_any_number_of_blocks(spark, monkeypatch, block):
-    monkeypatch.setattr(classify, "BLOCK", block)
+def test_nearest_category(spark):
     rng = random.Random(3)
     vectors = [[rng.uniform(-1, 1) for _ in range(4)] for _ in range(60)]
     centres = [[rng.uniform(-1, 1) for _ in range(4)] for _ in range(5)]
@@ -122,8 +120,18 @@ def test_nearest_category_in_any_number_of_blocks(spark, monkeypatch, block):
     got = classify.nearest_category(df, categories).orderBy("n").collect()
     assert [r.category for r in got] == [f"c{i}" for i in want]
     assert got[0].score == pytest.approx(cos(vectors[0], centres[want[0]]))
+    plan = classify.nearest_category(df, categories)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
 
 
+def test_too_many_categories_raise(spark, monkeypatch):
+    monkeypatch.setattr(classify, "MAX_CATEGORIES", 3)
+    df = spark.createDataFrame([(0, [1.0])], "n int, embedding array<double>")
+    few = spark.createDataFrame([(i, f"c{i}", [1.0]) for i in range(4)], "ord int, category string, vector array<double>")
+    assert classify.nearest_category(df, few.where("ord < 3")).first().category == "c0"
+    for wrong in (few, few.limit(0)):
+        with pytest.raises(ValueError, match="categories"):
+            classify.nearest_category(df, wrong)
 
 
 def test_nearest_category_of_a_vector_without_length(spark):
@@ -169,6 +177,15 @@ def test_embedding_plug_in(spark):
     assert [r.category for r in got] == ["As", "Bs", "As"]
 
 
+def test_embedded_category_in_the_analysis(spark):
+    def embedder():
+        return lambda texts: [[t.count("a") + 0.0, t.count("b") + 0.0] for t in texts]
+
+    category = classify.embedded_category(embedder, {"As": ["aa", "a"], "Bs": ["b"]}, max_chars=12)
+    df = analyze(articles(spark, "aab aab aab aab bbbbbbbbbb", "bbbbbbbbbbb"), replace(MAIN, category=category))
+    assert [r.predicted_category for r in df.orderBy("id").collect()] == ["As", "Bs"]
+
+
 def articles(spark, *texts):
     rows = [("rss", str(i), "t", "l", None, "0", "0", None, t, "c", "0") for i, t in enumerate(texts)]
     return spark.createDataFrame(rows, ARTICLE_SCHEMA)
@@ -190,8 +207,8 @@ def test_older_variant(spark):
 
 def test_cut_is_a_switch(spark):
     df = articles(spark, "x" * 511 + " good and malware")
-    assert analyze(df, MAIN).first().sentiment == "neutral"
-    whole = analyze(df, WHOLE_TEXT).first()
+    assert analyze(df, replace(MAIN, max_chars=512)).first().sentiment == "neutral"
+    whole = analyze(df, MAIN).first()
     assert (whole.sentiment, whole.predicted_category) == ("positive", "Cybersecurity")
     assert whole.text_length == 511 + len(" good and malware")
 

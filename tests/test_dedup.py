@@ -39,11 +39,9 @@ def test_twice_is_once(articles):
     assert ords(dedup.first_seen(once, ["ord"])) == ords(once)
 
 
-@pytest.mark.parametrize("limit", [0, 10])
-def test_among(spark, articles, limit):
-    ledger = spark.createDataFrame([("a",), ("a",), ("z",), (None,)], "id string")
-    found = dedup.among(ledger, articles.select("id"), limit=limit)
-    assert [r.id for r in found.collect()] == ["a", "a"]
+def test_records_without_an_id_stay_even_if_equal(spark):
+    df = spark.createDataFrame([(1, None, "x"), (1, None, "x"), (1, "a", "x"), (1, "a", "x")], SCHEMA)
+    assert dedup.first_seen(df, ["ord"]).count() == 3
 
 
 def test_hot_id_leaves_each_task_once(spark):

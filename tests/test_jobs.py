@@ -11,10 +11,12 @@ from feedstream.operators import metrics
 from feedstream.operators.enrich import enrich_hn
 from feedstream.operators.parse import parse_results
 from feedstream.plans import jobs
+from feedstream.plans.ingest import ARRIVAL
 from feedstream.schemas import HN_ITEM_SCHEMA, RESULT_COLUMNS
 from feedstream.sources import kafka
 from feedstream.sources.feeds import hn_items
-from feedstream.sources.files import read_records
+from feedstream.sources.files import arrival, read_records
+from feedstream.sources.ledger import read_ledger
 from feedstream.streaming import sinks
 from feedstream.streaming.jobs import start
 
@@ -32,7 +34,12 @@ def landed(tmp_path):
 
 
 def lines(spark, path):
-    return read_records(spark, path, "text", "json string", streaming=True)
+    read = read_records(spark, path, "text", "json string", streaming=True)
+    return read.select("json", placed())
+
+
+def placed():
+    return arrival().alias(ARRIVAL)
 
 
 def finish(queries):
@@ -43,9 +50,9 @@ def finish(queries):
 def test_from_items_to_the_view(spark, landed, tmp_path):
     at = lambda name: f"{tmp_path}/{name}"
     once = {"every": None, "available_now": True}
-    articles = enrich_hn(hn_items(spark, str(landed), streaming=True))
+    articles = enrich_hn(hn_items(spark, str(landed), streaming=True, keep=[placed()]), keep=[ARRIVAL])
     finish(jobs.start_ingest(
-        articles, ["fetch_timestamp", "id"], at("ledger"), sinks.batch_json_lines(at("topic")), at("c1"), **once
+        articles, at("ledger"), sinks.batch_json_lines(at("topic")), at("c1"), **once
     ))
     assert spark.read.text(at("topic")).count() == len(TITLES)
 
@@ -98,7 +105,7 @@ def test_arrival_time(spark):
 def test_arguments():
     args = arguments(["analyze", "--servers", "b:1", "--folder", "/f"])
     assert (args.input_topic, args.results_topic, args.max_per_trigger) == (
-        "rss_hn_feed", "analyzed_results", 100,
+        "rss_hn_feed", "analyzed_results", None,
     )
 
 
@@ -116,3 +123,29 @@ def test_kafka_is_asked_for(spark, tmp_path):
     writer = sinks.kafka_sink(stream, kafka.sink_options("localhost:1", "t"), f"{tmp_path}/c")
     with pytest.raises(AnalysisException, match="kafka"):
         start(writer)
+
+
+def test_recent_follows_arrival(spark, tmp_path):
+    topic = tmp_path / "topic"
+    topic.mkdir()
+    (topic / "a.json").write_text("".join(f'{{"id": "m{i}", "title": "m{i}"}}\n' for i in range(600)))
+    finish(jobs.start_view(lines(spark, str(topic)), f"{tmp_path}/v", f"{tmp_path}/c", every=None, available_now=True))
+    shown = jobs.read_view(spark, f"{tmp_path}/v")["recent"]
+    assert [r.title for r in shown.collect()] == [f"m{i}" for i in range(585, 600)]
+    with pytest.raises(ValueError):
+        jobs.read_view(spark, f"{tmp_path}/v", shown=501)
+
+
+def test_ledger_outlives_a_checkpoint(spark, tmp_path):
+    folder = tmp_path / "items"
+    folder.mkdir()
+    at = lambda name: f"{tmp_path}/{name}"
+    for run, ids in enumerate(([1, 2], [1, 3], [1, 2, 3])):
+        for old in folder.iterdir():
+            old.write_text("")
+        (folder / f"{run}.json").write_text("".join(f'{{"id": {i}, "title": "t"}}\n' for i in ids))
+        articles = enrich_hn(hn_items(spark, str(folder), streaming=True, keep=[placed()]), keep=[ARRIVAL])
+        finish(jobs.start_ingest(
+            articles, at("ledger"), sinks.batch_json_lines(at("topic")), at(f"c{run}"), every=None, available_now=True))
+    assert sorted(json.loads(r.value)["id"] for r in spark.read.text(at("topic")).collect()) == ["1", "2", "3"]
+    assert sorted(r.id for r in read_ledger(spark, at("ledger")).collect()) == ["1", "2", "3"]

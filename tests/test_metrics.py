@@ -89,6 +89,7 @@ def test_anomaly_needs_a_full_history(spark):
     assert alerts.anomalies(early).collect() == []
     flat = days(spark, [10] * 7 + [50])
     assert alerts.anomalies(flat).collect() == []
+    assert alerts.anomalies(quiet.where(F.col("win") != START + timedelta(days=3))).collect() == []
 
 
 def test_threshold_alerts(spark):
@@ -100,21 +101,26 @@ def test_threshold_alerts(spark):
     assert sorted((r.n, r.level) for r in got.collect()) == [
         (4, "low"), (21, "high"), (31, "high"), (31, "higher"),
     ]
+    with pytest.raises(ValueError, match=">="):
+        alerts.threshold_alerts(days(spark, [4]), [("count", ">=", 1.0, "x")])
 
 
 def test_pattern_alerts(spark):
     both = days(spark, [9, 9, 9, 9, 1, 9, 9]).union(days(spark, [1, 9, 9, 1, 9], "j"))
     got = alerts.pattern_alerts(both, threshold=5, run=3).collect()
     assert sorted((r.key, (r.win - START).days) for r in got) == [("k", 2), ("k", 3)]
+    gaps = days(spark, [9] * 20).where(F.dayofmonth("win").isin(1, 2, 20))
+    assert alerts.pattern_alerts(gaps, threshold=5, run=3).collect() == []
 
 
 def test_time_series_by_date(spark, tmp_path, shown):
     series = alerts.time_series(shown, "timestamp", ["source"], ["seq", "word_count"])
     assert series.count() == 16
-    alerts.write_time_series(series, f"{tmp_path}/s")
+    for _ in range(2):
+        alerts.write_time_series(series, f"{tmp_path}/s", "a")
     later = shown.withColumn("timestamp", F.expr("timestamp + interval 1 day"))
     alerts.write_time_series(
-        alerts.time_series(later, "timestamp", ["source"], ["seq"]), f"{tmp_path}/s"
+        alerts.time_series(later, "timestamp", ["source"], ["seq"]), f"{tmp_path}/s", "b"
     )
     stored = spark.read.parquet(f"{tmp_path}/s")
     one_day = stored.where("date = date'2024-05-02'")

@@ -4,8 +4,9 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import compare, connect
+from workload import catalog, oracle
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = catalog.QUERIES, oracle.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +16,7 @@ def con(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):

@@ -4,10 +4,10 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
 from compare import TABLES, compare
+from workload import catalog, oracle
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = catalog.QUERIES, oracle.ORACLE
 CHECKED = [
     "dedup_first_seen", "dedup_unseen", "dedup_ledger", "stream_ingest", "analyze_articles",
     "count_by_source", "kpi_totals", "timeline_minute", "stream_counters", "recent_500",

@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from feedstream.operators.enrich import attach_feed, feed_registry, first_ids, lookup_items, parse_id_lists
 from feedstream.plans import ingest
-from feedstream.reference_data import RECORDS_PER_TRIGGER
 from feedstream.session import work_dir
 from feedstream.sources import feeds, kafka
-from feedstream.sources.files import read_records, spread
+from feedstream.sources.files import read_records
 from feedstream.streaming.sinks import file_sink
 
 RSS = """<?xml version="1.0" encoding="UTF-8"?>
@@ -67,6 +66,28 @@ def test_atom(spark, landed):
     ]
 
 
+def test_fields_that_stand_in(spark, tmp_path):
+    for kind, text in (
+        ("rss", "<rss><channel><item><title>a</title><content:encoded>full</content:encoded><dc:date>d1</dc:date></item>"
+                "</channel></rss>"),
+        ("atom", "<feed><entry><id>1</id><content>body</content><updated>d2</updated></entry></feed>"),
+    ):
+        folder = tmp_path / kind / "feed_ord=2"
+        folder.mkdir(parents=True)
+        (folder / "f.xml").write_text(text)
+    [rss] = feeds.rss_entries(spark, str(tmp_path / "rss")).collect()
+    [atom] = feeds.atom_entries(spark, str(tmp_path / "atom")).collect()
+    assert (rss.summary, rss.published, atom.summary, atom.published) == ("full", "d1", "body", "d2")
+
+
+def test_articles_of_both_forms_and_of_a_list(spark, landed):
+    listed = first_ids(parse_id_lists(spark.createDataFrame([("[3, 2]",)], "json string")))
+    got = ingest.articles(
+        spark, str(landed / "rss"), str(landed / "hn"), atom_path=str(landed / "atom"), item_ids=listed)
+    assert sorted((r.source, r.id) for r in got.collect()) == [
+        ("hn", "3"), ("rss", "e1"), ("rss", "e2"), ("rss", "g1"), ("rss", "http://b")]
+
+
 def test_feed_category_from_the_folder(spark, landed):
     entries = feeds.rss_entries(spark, str(landed / "rss"))
     got = attach_feed(entries, feed_registry(spark), "feed_ord").select("feed_category", "feed_url").distinct().collect()
@@ -86,7 +107,7 @@ def test_items_and_lists(spark, landed):
     items = feeds.hn_items(spark, str(landed / "hn"))
     lists = spark.createDataFrame([("[3, 2, 1]",)], "json string")
     ids = first_ids(parse_id_lists(lists))
-    got = lookup_items(ids, items, n_ids=200).orderBy("pos").collect()
+    got = lookup_items(ids, items).orderBy("pos").collect()
     assert [(r.pos, r.id, r.title) for r in got] == [(0, 3, "three"), (2, 1, "one")]
 
 
@@ -118,7 +139,7 @@ def test_stream_needs_a_schema(spark, tmp_path):
 
 
 def test_kafka_options():
-    source = kafka.source_options("b:9092", "t", max_per_trigger=RECORDS_PER_TRIGGER, min_partitions=64)
+    source = kafka.source_options("b:9092", "t", max_per_trigger=100, min_partitions=64)
     assert source == {
         "kafka.bootstrap.servers": "b:9092", "subscribe": "t", "startingOffsets": "latest",
         "maxOffsetsPerTrigger": "100", "minPartitions": "64",
@@ -135,12 +156,3 @@ def test_work_dir_is_under_the_named_folder(spark):
     if base:
         assert made.startswith(base)
 
-
-def test_spread(spark, tmp_path):
-    cores = spark.sparkContext.defaultParallelism
-    spark.range(100).coalesce(1).write.parquet(f"{tmp_path}/one")
-    one = spark.read.parquet(f"{tmp_path}/one")
-    assert spread(one, "id").rdd.getNumPartitions() == cores
-    many = spark.range(0, 100, 1, cores)
-    assert spread(many, "id") is many
-    assert spread(one.select(F.col("id")), "id").count() == 100

@@ -61,17 +61,19 @@ def test_timeline_complete_and_bounded(spark, topic, tmp_path, rows, drain):
     want = rows(metrics.timeline(topic.table()))
     drain(jobs.running_timeline(topic.stream(), f"{tmp_path}/a", f"{tmp_path}/ca"))
     assert rows(jobs.latest_version(spark, f"{tmp_path}/a")) == want
-    drain(jobs.running_timeline(topic.stream(), f"{tmp_path}/b", f"{tmp_path}/cb", watermark="1 hour"))
-    assert rows(jobs.latest_counts(spark, f"{tmp_path}/b", "minute", "sentiment")) == want
+    topic.add([(START - timedelta(days=9), 99, "late", "positive", "c")])
+    want = rows(metrics.timeline(topic.table()))
+    drain(jobs.running_timeline_parts(topic.stream(), f"{tmp_path}/b", f"{tmp_path}/cb"))
+    assert rows(jobs.merged_counts(spark, f"{tmp_path}/b", "minute", "sentiment")) == want
 
 
 def test_recent_over_batches_and_restart(spark, topic, tmp_path, rows, drain):
     order, out, checkpoint = ["timestamp", "seq"], f"{tmp_path}/out", f"{tmp_path}/checkpoint"
     drain(jobs.running_recent(topic.stream(), order, out, checkpoint, n=25))
-    assert rows(jobs.latest_version(spark, out)) == rows(metrics.recent(topic.table(), order, 25))
+    assert rows(jobs.latest_version(spark, out).drop(jobs.ROW)) == rows(metrics.recent(topic.table(), order, 25))
     topic.add(records(100, 3))
     drain(jobs.running_recent(topic.stream(), order, out, checkpoint, n=25))
-    got = jobs.latest_version(spark, out)
+    got = jobs.latest_version(spark, out).drop(jobs.ROW)
     assert rows(got) == rows(metrics.recent(topic.table(), order, 25))
     assert got.count() == 25
 

@@ -1,6 +1,7 @@
 """Registered queries: name -> (spark, sf_dir) -> DataFrame."""
 
 from dataclasses import replace
+from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
@@ -9,10 +10,10 @@ from feedstream.functions.records import to_json_record
 from feedstream.functions.vectors import argmax_label as label_of_largest
 from feedstream.operators import alerts, classify, dedup, enrich, metrics, parse
 from feedstream.operators.clean import clean
+from feedstream.plans import ingest, jobs as wired
 from feedstream.plans.analysis import OLDER, WHOLE_TEXT, analyze
 from feedstream.reference_data import (
     CATEGORIES_OLDER,
-    HN_LIST_LENGTH,
     MIN_TEXT_LENGTH,
     RECENT_KEPT,
 )
@@ -113,7 +114,7 @@ def atom_xml_scan(spark, sf_dir):
 
 @query
 def hn_first_n_ids(spark, sf_dir):
-    lists = enrich.parse_id_lists(inputs.id_list(spark, sf_dir))
+    lists = enrich.parse_id_lists(inputs.id_lists(spark, sf_dir))
     return enrich.first_ids(lists).withColumns(big("pos"))
 
 
@@ -121,8 +122,8 @@ def hn_first_n_ids(spark, sf_dir):
 def hn_item_lookup(spark, sf_dir):
     out = work_dir(spark, "hn_items")
     inputs.item_json(spark, sf_dir).write.text(out)
-    ids = enrich.first_ids(enrich.parse_id_lists(inputs.id_list(spark, sf_dir)))
-    found = enrich.lookup_items(ids, feeds.hn_items(spark, out), n_ids=HN_LIST_LENGTH)
+    ids = enrich.first_ids(enrich.parse_id_lists(inputs.id_lists(spark, sf_dir)))
+    found = enrich.lookup_items(ids, feeds.hn_items(spark, out))
     return found.withColumns(big("pos"))
 
 
@@ -213,19 +214,43 @@ def sentiment_lexicon(spark, sf_dir):
     ).select("doc_id", "sentiment")
 
 
+def word_counters():
+    """words -> (texts -> counts of these words, a row per text). Made here so that executors get it
+    by value."""
+    def word_counter(words):
+        import numpy as np
+        import regex
+
+        letters = regex.compile(r"\p{L}+")
+        place = {word: i for i, word in enumerate(words)}
+
+        def counts(texts):
+            cells = [
+                row * len(words) + place[word]
+                for row, text in enumerate(texts) for word in letters.findall(text.lower()) if word in place
+            ]
+            return np.bincount(np.array(cells, dtype=np.int64), minlength=len(texts) * len(words)).reshape(
+                len(texts), len(words))
+
+        return counts
+
+    return word_counter
+
+
 def word_list_scorer():
-    """A scorer plug-in with the rule of the lexicon: class scores from word counts."""
+    """A scorer plug-in with the rule of the lexicon: word counts times a matrix of class weights."""
     positive, negative = list(inputs.POSITIVE), list(inputs.NEGATIVE)
+    word_counter = word_counters()
 
     def factory():
-        import regex
+        import numpy as np
 
-        letters = regex.compile(r"\p{L}+")
-        value = {**dict.fromkeys(positive, 1), **dict.fromkeys(negative, -1)}
+        counts = word_counter(positive + negative)
+        weights = np.array([1] * len(positive) + [-1] * len(negative))
 
         def score(texts):
-            totals = [sum(value.get(w, 0) for w in letters.findall(t.lower())) for t in texts]
-            return [[-total, 0.5, total] for total in totals]
+            total = counts(texts) @ weights
+            return np.column_stack([-total, np.full(len(total), 0.5), total])
 
         return score
 
@@ -273,18 +298,12 @@ def category_centroids(spark, sf_dir):
     ).withColumns({**big("dim"), "value": F.round("value", 6)})
 
 
-def n_labels(spark, sf_dir):
-    return table(spark, sf_dir, "embeddings").agg(F.count_distinct("label")).first()[0]
-
-
 @query
 def cosine_scores(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").select(
         "vec_id", "embedding", F.col("label").alias("category")
     )
-    scored = classify.own_category_score(
-        vectors, centroids(spark, sf_dir), n_labels(spark, sf_dir)
-    )
+    scored = classify.own_category_score(vectors, centroids(spark, sf_dir))
     return scored.select("vec_id", F.round("score", 6).alias("score"))
 
 
@@ -338,6 +357,25 @@ def analyze_plugged(spark, sf_dir):
     return analyze(parsed, plugged).withColumns(big("word_count", "text_length"))
 
 
+def language_embedder():
+    """An embedder plug-in: counts of the languages' function words."""
+    words = sorted({word for words in inputs.LANGUAGES.values() for word in words})
+    word_counter = word_counters()
+
+    def factory():
+        return word_counter(words)
+
+    return factory
+
+
+@query
+def analyze_embedded(spark, sf_dir):
+    category = classify.embedded_category(language_embedder(), inputs.LANGUAGES)
+    parsed = parse.parse_articles(inputs.article_json(spark, sf_dir))
+    variant = lexicon(processing_time=False, category=category)
+    return analyze(parsed, variant).withColumns(big("word_count", "text_length"))
+
+
 # --- de-duplication -----------------------------------------------------------------------
 
 
@@ -477,13 +515,13 @@ def stream_timeline(spark, sf_dir):
 
 @query
 def stream_timeline_bounded(spark, sf_dir):
+    """Over several batches, whose records are in no order of time."""
     out = work_dir(spark, "stream_timeline_bounded")
-    results = result_stream(spark, sf_dir)
-    drain(jobs.running_timeline(
-        results, f"{out}/table", f"{out}/checkpoint", watermark="10 minutes"
-    ))
-    newest = jobs.latest_counts(spark, f"{out}/table", "minute", "sentiment")
-    return newest.withColumn("minute", ntz("minute"))
+    lines = inputs.result_topic(spark, sf_dir, f"{out}/topic")
+    results = metrics.result_view(parse.parse_results(lines))
+    drain(jobs.running_timeline_parts(results, f"{out}/table", f"{out}/checkpoint"))
+    counted = jobs.merged_counts(spark, f"{out}/table", "minute", "sentiment")
+    return counted.withColumn("minute", ntz("minute"))
 
 
 @query
@@ -491,7 +529,7 @@ def stream_recent(spark, sf_dir):
     out = work_dir(spark, "stream_recent")
     results = result_stream(spark, sf_dir)
     drain(jobs.running_recent(results, ORDER, f"{out}/table", f"{out}/checkpoint"))
-    newest = jobs.latest_version(spark, f"{out}/table")
+    newest = jobs.latest_version(spark, f"{out}/table").drop(jobs.ROW)
     return newest.withColumn("timestamp", ntz("timestamp")).withColumns(big("word_count"))
 
 
@@ -571,11 +609,113 @@ def pattern_alerts(spark, sf_dir):
     return found.select("key", "win", "n")
 
 
+def hourly(spark, sf_dir):
+    """Hours without an event of a type are missing."""
+    return alerts.windowed_counts(table(spark, sf_dir, "events"), "event_type", "ts", "1 hour")
+
+
+@query
+def pattern_alerts_hourly(spark, sf_dir):
+    found = alerts.pattern_alerts(hourly(spark, sf_dir), threshold=2, width="1 hour")
+    return found.select("key", "win", "n")
+
+
+@query
+def anomaly_hourly(spark, sf_dir):
+    found = alerts.anomalies(hourly(spark, sf_dir), history=5, width="1 hour")
+    return found.select("key", "win", "n", F.round("z", 4).alias("z"))
+
+
 @query
 def timeseries_long(spark, sf_dir):
     out = work_dir(spark, "timeseries_long")
     events = table(spark, sf_dir, "events")
     series = alerts.time_series(events, "ts", ["event_type"], ["value", "user_id"])
-    alerts.write_time_series(series, out)
+    for _ in range(2):  # a repeated run replaces its own rows
+        alerts.write_time_series(series, out, "2024-01")
     stored = spark.read.parquet(out)
     return stored.select("ts", "event_type", "metric", "value")
+
+
+# --- the shipped jobs, as __main__ wires them, drained over several batches ------------------
+
+ONCE = {"every": None, "available_now": True}
+
+
+def finish(queries):
+    for started in queries if isinstance(queries, list) else [queries]:
+        started.awaitTermination()
+
+
+@query
+def job_ingest(spark, sf_dir):
+    """RSS, Atom and items; a second run goes on from the ledger with a new checkpoint."""
+    out = work_dir(spark, "job_ingest")
+    inputs.landed_feeds(spark, sf_dir, out)
+    publish = sinks.batch_json_lines(f"{out}/topic")
+    for checkpoint in ("first", "second"):
+        articles = ingest.articles(
+            spark, f"{out}/rss", f"{out}/items", streaming=True, atom_path=f"{out}/atom", maxFilesPerTrigger=5,
+            ignoreSurroundingSpaces=False)
+        if checkpoint == "second":
+            articles = articles.where("id is not null")  # those without an id are sent again
+        finish(wired.start_ingest(articles, f"{out}/ledger", publish, f"{out}/{checkpoint}", **ONCE))
+    sent = parse.parse_articles(read_records(spark, f"{out}/topic", "text", "json string"))
+    return sent.select("source", "id", F.when(F.col("id").isNull(), F.col("title")).alias("title"))
+
+
+@query
+def job_analysis(spark, sf_dir):
+    out = work_dir(spark, "job_analysis")
+    inputs.article_json(spark, sf_dir).repartition(4).write.text(f"{out}/topic")
+    lines = read_records(spark, f"{out}/topic", "text", "json string", streaming=True, maxFilesPerTrigger=1)
+    publish = sinks.batch_json_lines(f"{out}/results")
+    finish(wired.start_analysis(lines, publish, f"{out}/checkpoint", lexicon(), show=False, **ONCE))
+    results = parse.parse_results(read_records(spark, f"{out}/results", "text", "json string"))
+    return results.drop("processing_time").withColumns(big("word_count", "text_length"))
+
+
+@query
+def job_processing_time(spark, sf_dir):
+    """Records per source whose times lie within the run: ingest in seconds, then processing."""
+    out = work_dir(spark, "job_processing_time")
+    began = F.lit(datetime.now(timezone.utc).replace(microsecond=0))
+    items = enrich.enrich_hn(inputs.as_items(inputs.stream(spark, sf_dir, "conversations")))
+    analysed = analyze(items, lexicon(), keep=["fetch_timestamp"])
+    drain(jobs.publish_results(analysed, [sinks.batch_files(f"{out}/table")], f"{out}/checkpoint"))
+    stored = spark.read.parquet(f"{out}/table")
+    fetched = F.timestamp_seconds("fetch_timestamp")
+    in_order = (fetched >= began) & (fetched <= F.col("processing_time")) & (
+        F.col("processing_time") <= F.lit(datetime.now(timezone.utc)))
+    return stored.groupBy("source").agg(F.count("*").alias("n"), F.count_if(in_order).alias("in_order"))
+
+
+def viewed(spark, sf_dir, name):
+    out = work_dir(spark, name)
+    lines = inputs.result_topic(spark, sf_dir, f"{out}/topic")
+    finish(wired.start_view(lines, f"{out}/view", f"{out}/checkpoint", "processing_time", **ONCE))
+    return wired.read_view(spark, f"{out}/view")
+
+
+@query
+def job_view_recent(spark, sf_dir):
+    return viewed(spark, sf_dir, "job_view_recent")["recent"]
+
+
+@query
+def job_view_minutes(spark, sf_dir):
+    return viewed(spark, sf_dir, "job_view_minutes")["minutes"].withColumn("minute", ntz("minute"))
+
+
+@query
+def job_view_categories(spark, sf_dir):
+    return viewed(spark, sf_dir, "job_view_categories")["by_category"]
+
+
+@query
+def job_alerts(spark, sf_dir):
+    out = work_dir(spark, "job_alerts")
+    lines = inputs.result_topic(spark, sf_dir, f"{out}/topic")
+    finish(wired.start_alerts(
+        lines, f"{out}/alerts", f"{out}/checkpoint", RULES, threshold=66, width="1 day", **ONCE))
+    return wired.read_alerts(spark, f"{out}/alerts").withColumn("win", ntz("win"))

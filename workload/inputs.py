@@ -12,8 +12,8 @@ from feedstream.operators.enrich import (
     feed_registry,
     union_articles,
 )
-from feedstream.schemas import HN_ITEM_SCHEMA
-from feedstream.sources.files import spread
+from feedstream.functions.records import to_json_record
+from feedstream.schemas import HN_ITEM_SCHEMA, RESULT_COLUMNS
 
 BATCH_BYTES = 256 * 2**30
 
@@ -33,11 +33,11 @@ def table(spark, sf_dir, name):
 
 
 def documents(spark, sf_dir):
-    return spread(table(spark, sf_dir, "documents"), "doc_id")
+    return table(spark, sf_dir, "documents")
 
 
 def conversations(spark, sf_dir):
-    return spread(table(spark, sf_dir, "conversations"), "conv_id", "turn")
+    return table(spark, sf_dir, "conversations")
 
 
 def stream(spark, sf_dir, name):
@@ -92,11 +92,11 @@ def item_json(spark, sf_dir):
     return rows.select(F.when(F.col("by").isNull(), "null").otherwise(F.col("json")).alias("json"))
 
 
-def id_list(spark, sf_dir, length=500):
-    """The endpoint's list: the newest ids, at most 500, as one JSON array."""
-    newest = items(spark, sf_dir).select("id").orderBy(F.desc("id")).limit(length)
+def id_lists(spark, sf_dir):
+    """Lists of ids as the endpoint gives them, newest first, one per conversation."""
     ids = F.sort_array(F.collect_list("id"), asc=False)
-    return newest.agg(F.to_json(ids).alias("json"))
+    listed = items(spark, sf_dir).groupBy(F.floor(F.col("id") / 100).alias("list"))
+    return listed.agg(F.to_json(ids).alias("json"))
 
 
 def articles(spark, sf_dir):
@@ -139,3 +139,32 @@ def ledger(spark, sf_dir):
     """Articles sent before: the labelled documents."""
     labelled = table(spark, sf_dir, "labels").select("doc_id")
     return documents(spark, sf_dir).join(labelled, "doc_id", "left_semi").select(F.md5("text").alias("id"))
+
+
+def result_topic(spark, sf_dir, path, files=6):
+    """The results of events as a topic of JSON messages with their places, in files that do not
+    follow the order of the messages; as a stream of several batches with `_arrival`."""
+    place = F.struct(
+        F.col("processing_time").alias("timestamp"), F.lit(0).alias("partition"), F.col("seq").alias("offset"))
+    messages = results(spark, sf_dir).select(
+        to_json_record(*RESULT_COLUMNS).alias("json"), place.alias("_arrival"))
+    messages.repartition(files, F.xxhash64("json")).write.parquet(path)
+    reader = spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 2)
+    return reader.parquet(path)
+
+
+def landed_feeds(spark, sf_dir, path):
+    """Documents as landed feeds, every second one in Atom form, and conversations as items."""
+    feeds = as_entries(documents(spark, sf_dir)).withColumn("atom", F.col("feed_ord") % 2 == 1)
+    rss = feeds.where("not atom").select(
+        "feed_ord", F.col("id").alias("guid"), "title", "link", F.col("summary").alias("description"),
+        F.col("published").alias("pubDate"))
+    link = F.when(F.col("link").isNotNull(), F.array(F.struct(F.col("link").alias("_href"))))
+    atom = feeds.where("atom").select(
+        "feed_ord", "id", "title", F.col("summary").alias("content"), F.col("published").alias("updated"),
+        link.alias("link"))
+    rss.write.format("xml").option("rowTag", "item").option("rootTag", "channel").partitionBy(
+        "feed_ord").save(f"{path}/rss")
+    atom.write.format("xml").option("rowTag", "entry").option("rootTag", "feed").partitionBy(
+        "feed_ord").save(f"{path}/atom")
+    item_json(spark, sf_dir).repartition(4).write.text(f"{path}/items")

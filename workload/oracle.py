@@ -187,6 +187,9 @@ RECENT = "SELECT * FROM view ORDER BY timestamp DESC, seq DESC LIMIT {n}"
 DAILY = """daily AS (SELECT event_type AS key, CAST(date_trunc('day', ts) AS TIMESTAMP) AS win,
   count(*) AS n FROM events GROUP BY ALL)"""
 
+HOURLY = """hourly AS (SELECT event_type AS key, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS win,
+  count(*) AS n FROM events GROUP BY ALL)"""
+
 PARSED_SCAN = """SELECT feed_ord::BIGINT AS feed_ord, id, title, link, summary, published
 FROM raw_entries"""
 
@@ -198,11 +201,12 @@ ORACLE = {
     "rss_xml_scan": f"WITH {ENTRIES} {PARSED_SCAN}",
     "atom_xml_scan": f"WITH {ENTRIES} {PARSED_SCAN}",
     "hn_first_n_ids": f"""WITH {ITEMS}
-SELECT id, row_number() OVER (ORDER BY id DESC) - 1 AS pos FROM items ORDER BY id DESC LIMIT 200""",
+SELECT id, pos FROM (
+  SELECT id, row_number() OVER (PARTITION BY id // 100 ORDER BY id DESC) - 1 AS pos FROM items)
+WHERE pos < 200""",
     "hn_item_lookup": f"""WITH {ITEMS},
-listed AS (SELECT id, row_number() OVER (ORDER BY id DESC) - 1 AS pos
-  FROM items ORDER BY id DESC LIMIT 200)
-SELECT i.*, pos FROM items i JOIN listed USING (id) WHERE i."by" IS NOT NULL""",
+listed AS (SELECT id, row_number() OVER (PARTITION BY id // 100 ORDER BY id DESC) - 1 AS pos FROM items)
+SELECT i.*, pos FROM items i JOIN listed USING (id) WHERE i."by" IS NOT NULL AND pos < 200""",
     "parse_article": f"""WITH {ARTICLES}
 SELECT source, id, title, link, "by", CAST(score AS VARCHAR) AS score,
   CAST(time AS VARCHAR) AS time, type, text_combined, category, '0' AS fetch_timestamp
@@ -304,6 +308,41 @@ history AS (SELECT *, count(*) OVER w AS seen, avg(n) OVER w AS mean, stddev_sam
   FROM daily WINDOW w AS (PARTITION BY key ORDER BY win ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))
 SELECT key, win, n, round((n - mean) / spread, 4) AS z FROM history
 WHERE seen = 7 AND spread > 0 AND abs((n - mean) / spread) > 2""",
+    "anomaly_hourly": f"""WITH {HOURLY},
+past AS (SELECT a.key, a.win, a.n, count(*) AS seen, avg(b.n) AS mean, stddev_samp(b.n) AS spread
+  FROM hourly a JOIN hourly b ON a.key = b.key AND b.win < a.win AND b.win >= a.win - INTERVAL 5 HOUR
+  GROUP BY ALL)
+SELECT key, win, n, round((n - mean) / spread, 4) AS z FROM past
+WHERE seen = 5 AND spread > 0 AND abs((n - mean) / spread) > 2""",
+    "pattern_alerts_hourly": f"""WITH {HOURLY}
+SELECT a.key, a.win, a.n FROM hourly a
+JOIN hourly b ON b.key = a.key AND b.win = a.win - INTERVAL 1 HOUR AND b.n > 2
+JOIN hourly c ON c.key = a.key AND c.win = a.win - INTERVAL 2 HOUR AND c.n > 2
+WHERE a.n > 2""",
+    "analyze_embedded": f"""WITH {analysis(LANGUAGES, 10)}
+SELECT source, id, title, link, "by", sentiment, predicted_category, word_count, text_length
+FROM analysed""",
+    "job_ingest": f"""WITH {FIRST_SEEN}, {ITEMS}
+SELECT source, id, CASE WHEN id IS NULL THEN title END AS title FROM firsts
+UNION ALL SELECT source, id, NULL FROM hn WHERE "by" <> ''""",
+    "job_analysis": ANALYSIS_SELECT,
+    "job_processing_time": f"""WITH {ITEMS}
+SELECT source, count(*) AS n, count(*) AS in_order FROM hn WHERE length(title) > 10 GROUP BY source""",
+    "job_view_recent": f"""WITH {VIEW}, latest AS ({RECENT.format(n=15)})
+SELECT strftime(timestamp, '%H:%M:%S') AS time, source, title, sentiment, category FROM latest""",
+    "job_view_minutes": f"WITH {VIEW} {TIMELINE.format(source='view')}",
+    "job_view_categories": f"WITH {VIEW} SELECT category, count(*) AS n FROM view GROUP BY category",
+    "job_alerts": f"""WITH {DAILY},
+past AS (SELECT a.key, a.win, a.n, count(*) AS seen, avg(b.n) AS mean, stddev_samp(b.n) AS spread
+  FROM daily a JOIN daily b ON a.key = b.key AND b.win < a.win AND b.win >= a.win - INTERVAL 7 DAY
+  GROUP BY ALL)
+SELECT key, win, n, CASE WHEN n > 80 THEN 'high' ELSE 'low' END AS alert FROM daily WHERE n > 80 OR n < 55
+UNION ALL SELECT key, win, n, 'anomaly' FROM past
+WHERE seen = 7 AND spread > 0 AND abs((n - mean) / spread) > 2
+UNION ALL SELECT a.key, a.win, a.n, 'pattern' FROM daily a
+JOIN daily b ON b.key = a.key AND b.win = a.win - INTERVAL 1 DAY AND b.n > 66
+JOIN daily c ON c.key = a.key AND c.win = a.win - INTERVAL 2 DAY AND c.n > 66
+WHERE a.n > 66""",
     "threshold_alerts": f"""WITH {DAILY},
 rules(op, threshold, level) AS (VALUES ('>', 80.0::DOUBLE, 'high'), ('<', 55.0::DOUBLE, 'low'))
 SELECT key, win, n, level, threshold FROM daily JOIN rules
