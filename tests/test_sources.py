@@ -3,7 +3,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from feedstream.operators.enrich import attach_feed, feed_registry, first_ids, lookup_items, parse_id_lists
 from feedstream.plans import ingest
