@@ -184,8 +184,6 @@ class Encoder:
     def learn(self, words):
         import numpy as np
 
-        if len(self.known) > KEPT_WORDS:
-            self.known.clear()
         by_width = {}
         for word in words:
             if isinstance(word, tuple):

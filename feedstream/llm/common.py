@@ -24,11 +24,6 @@ def keyed(docs, id_col="doc_id", text_col="text"):
     )
 
 
-def same_row(left, right):
-    """Join condition on (doc_id, rk); a null id equals a null id."""
-    return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["rk"] == right["rk"])
-
-
 def marked(docs, decisions, how, id_col="doc_id", text_col="text"):
     """docs semi- or anti-joined with the (doc_id, rk) of decisions; columns stay as they are."""
     key = F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")))
