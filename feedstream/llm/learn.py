@@ -7,7 +7,8 @@ for the selection are aggregated on the executors, and scoring covers every row.
 from pyspark.sql import functions as F, types as T
 
 MARKS = ".,;:!?\"'()[]{}*#$%&|<>-_/\\"
-KEPT_TOKENS = 200_000  # a task forgets its tokens beyond this number and starts again
+KEPT_TOKENS = 50_000  # a task forgets its tokens beyond this number and starts again
+ROWS = 1000  # texts whose features are held at once
 
 
 def token_features(token):
@@ -34,10 +35,9 @@ def feature_reader(number=None):
             own = known.get(token)
             if own is None:
                 own = token_features(token)
-                if number is not None:
-                    own = {number[f] for f in own if f in number}
+                own = tuple(own if number is None else {number[f] for f in own if f in number})
                 known[token] = own
-            found |= own
+            found.update(own)
         return found
 
     return read
@@ -99,10 +99,12 @@ def with_features(rows, number, text_col="text"):
         import pyarrow as pa
 
         read = feature_reader(shared.value)
-        for batch in batches:
-            x = [sorted(read(t or "")) for t in batch.column(len(rest)).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(x, pa.list_(pa.int32()))], [*rest, "x"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                x = [sorted(read(t or "")) for t in batch.column(len(rest)).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[:-1], pa.array(x, pa.list_(pa.int32()))], [*rest, "x"])
 
     return rows.select(*rest, text_col).mapInArrow(
         run, rows.select(*rest).schema.add("x", T.ArrayType(T.IntegerType())))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from feedstream.llm.common import stored
 from feedstream.llm.learn import (
-    Matrix, best_threshold, bounded_sample, feature_reader, fit, folds_of, out_of_fold, select_features, sigmoid,
+    ROWS, Matrix, best_threshold, bounded_sample, feature_reader, fit, folds_of, out_of_fold, select_features, sigmoid,
     with_features)
 
 SAMPLE = 10_000  # labelled rows that models are fitted on, at most about
@@ -59,12 +59,16 @@ def scorer(spark, model):
         own = shared.value
         read = feature_reader(own["number"])
         for texts in batches:
-            matrix = Matrix([sorted(read(t or "")) for t in texts], max(len(own["number"]), 1))
-            columns = []
-            for one in own["chain"]:
-                columns.append(sigmoid(matrix.times(one)))
-                matrix = matrix.plus(columns[-1])
-            yield pd.DataFrame(dict(zip(names, columns, strict=True)) | {"toxic": columns[-1] >= own["threshold"]})
+            parts = []
+            for at in range(0, max(len(texts), 1), ROWS):
+                matrix = Matrix([sorted(read(t or "")) for t in texts[at:at + ROWS]], max(len(own["number"]), 1))
+                columns = []
+                for one in own["chain"]:
+                    columns.append(sigmoid(matrix.times(one)))
+                    matrix = matrix.plus(columns[-1])
+                parts.append(pd.DataFrame(
+                    dict(zip(names, columns, strict=True)) | {"toxic": columns[-1] >= own["threshold"]}))
+            yield pd.concat(parts, ignore_index=True)
 
     return run
 
