@@ -12,7 +12,7 @@ WORD_PATTERN = (
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
 SHORT = 64  # bytes; longer words are merged one by one, not as a matrix
-PIECE = 1 << 21  # characters tokenized at once
+PIECE = 1 << 21  # bytes tokenized at once
 KEPT_WORDS = 300_000  # a task forgets its words beyond this number and starts again
 
 
@@ -214,16 +214,16 @@ class Encoder:
         return [b"".join(map(get, words)) for words in split]
 
 
-def pieces_of(texts):
-    """Slices of a batch that hold about PIECE characters each."""
+def pieces_of(lengths):
+    """Slices of a batch that hold about PIECE bytes each, by the lengths of its texts."""
     start = held = 0
-    for n, text in enumerate(texts):
-        held += len(text)
+    for n, length in enumerate(lengths):
+        held += length
         if held >= PIECE:
             yield start, n + 1
             start, held = n + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+    if start < len(lengths):
+        yield start, len(lengths)
 
 
 def encode(df, path, text_col="text", ids_col="ids"):
@@ -240,12 +240,14 @@ def encode(df, path, text_col="text", ids_col="ids"):
     def run(batches):
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         encoder = Encoder(shared.value)
         for batch in batches:
-            texts = [t or "" for t in batch.column(len(rest)).to_pylist()]
-            for a, b in pieces_of(texts):
-                found = encoder.encode(texts[a:b])
+            column = batch.column(len(rest))
+            lengths = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+            for a, b in pieces_of(lengths):
+                found = encoder.encode([t or "" for t in column.slice(a, b - a).to_pylist()])
                 ends = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
                 values = pa.array(np.frombuffer(b"".join(found), dtype=np.int32))
                 columns = [batch.column(k).slice(a, b - a) for k in range(len(rest))]
