@@ -108,3 +108,36 @@ def test_near_copies_of_texts(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     kept = {r.doc_id for r in simhash.similar_texts(docs).where("kept").collect()}
     assert kept >= {i * 10 for i in range(60)} and len(kept & copies) <= 0.03 * len(copies)
+
+
+def test_similar_texts_against_brute_force(spark):
+    chosen = random.Random(12)
+    word = lambda: "".join(chosen.choices("abcdefghij", k=6))
+    texts = []
+    for same in [*range(247, 285), 240, 230] * 3:  # of 300 shingles of both: a similarity of 0.70 to 0.90
+        words = [word() for _ in range(304)]
+        texts += [words, words[:same + 4] + [word() for _ in range(300 - same)]]
+    for _ in range(5):  # a chain whose neighbours have 0.78, and short texts of 4 and 5 shingles
+        words = [word() for _ in range(304 + 3 * 37)]
+        texts += [words[k * 37:k * 37 + 304] for k in range(4)] + [words[:8], words[:9]]
+    sets = [{" ".join(t[k:k + 5]) for k in range(len(t) - 4)} for t in texts]
+    root = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a + 1, len(sets)):
+            shared = len(sets[a] & sets[b])
+            if shared and 5 * shared >= 4 * len(sets[a] | sets[b]):
+                root = [root[a] if r == root[b] else r for r in root]
+    docs = spark.createDataFrame([(n, " ".join(t)) for n, t in enumerate(texts)], "doc_id long, text string")
+    kept = {r.doc_id for r in simhash.similar_texts(docs).where("kept").collect()}
+    assert kept == {root.index(r) for r in root}
+
+
+def test_true_links_of_one_large_cluster(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "TILE_HASHES", 2000)
+    chosen = random.Random(13)
+    word = lambda: "".join(chosen.choices("abcdefghij", k=6))
+    words = [word() for _ in range(104)]
+    texts = [words[:4 + same] + [word() for _ in range(100 - same)] for same in [86] * 40 + [91] * 40]
+    docs = spark.createDataFrame([(n, " ".join(t)) for n, t in enumerate(texts)], "doc_id long, text string")
+    kept = {r.doc_id for r in simhash.similar_texts(docs).where("kept").collect()}
+    assert kept == set(range(41))  # 86/114 and 86/(105 + 9) are below 0.8, 91/109 above
