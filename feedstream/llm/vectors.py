@@ -1,9 +1,9 @@
-"""Near-duplicate vectors by robust-pruned flat graphs on overlapping shards.
+"""Near-duplicate vectors by complete comparison of the pairs of shards that can hold links.
 
-Vectors of a label are dealt to their two nearest centroids; each shard builds a graph whose
-adjacency is robustly pruned, a vector's lists from its shards are united, and a search runs
-greedily from the shard's medoid and then spreads over everything within range. Every link is
-verified by cosine in double precision, and recall is audited against brute force.
+Vectors of a label belong to their nearest centroid. A vector meets another shard where neither its
+distance from the plane between both centroids nor the triangle inequality rules links out, so no
+link is lost. Every link is verified by cosine in double precision, and recall is audited against
+brute force.
 """
 
 from pyspark.sql import functions as F
@@ -14,10 +14,8 @@ from feedstream.llm.components import components, forest
 SHARD = 1500  # vectors per shard that the number of centroids aims at
 MAX_CENTROIDS = 8192  # bounds what is broadcast
 CENTROID_SAMPLE = 40  # sampled vectors per centroid, for fitting the centroids
-DEGREE = 24
-ALPHA = 1.2
-BEAM = 24
-SLACK = 0.08  # the search spreads over vectors this much below the threshold
+BLOCK = 256  # vectors compared with a shard at once
+CLOSE = 1e-6  # products of unit vectors this near the threshold are verified
 QUERY_STEP = 50  # the audit asks for vectors whose id is divisible by this
 
 
@@ -71,107 +69,96 @@ def centroids(classes):
     return {label: np.array(c) for label, c in found.items()}
 
 
-def shards(classes, centers, overlap):
-    """(label, shard, node, members, home, every, v): every class in the shards of its nearest
-    centroids, `overlap` of them, listed in every; home marks the nearest. A label without centroids
-    is one shard."""
-    shared = classes.sparkSession.sparkContext.broadcast(centers)
-
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
+def by_centroid(batch, centers):
+    """(places, unit centroids or None, unit vectors) of at most BLOCK vectors of one label each."""
+    import numpy as np
 
-        for batch in batches:
-            label = batch.column("label").to_pylist()
-            rows, shard, home, every = [], [], [], []
-            for n, v in enumerate(batch.column("v")):
-                c = shared.value.get(label[n])
-                sims = np.zeros(1) if c is None else c @ even(v.values.to_numpy())
-                best = np.argsort(-sims, kind="stable")[:overlap].tolist()
-                rows += [n] * len(best)
-                shard += best
-                home += [True] + [False] * (len(best) - 1)
-                every += [best] * len(best)
-            where = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("label").take(where), pa.array(shard, pa.int32()), batch.column("node").take(where),
-                 batch.column("members").take(where), pa.array(home, pa.bool_()),
-                 pa.array(every, pa.list_(pa.int32())), batch.column("v").take(where)],
-                ["label", "shard", "node", "members", "home", "every", "v"])
+    label = np.array(batch.column("label").to_pylist(), dtype=object)
+    for name in dict.fromkeys(label):
+        whole = np.flatnonzero(label == name)
+        for at in range(0, len(whole), BLOCK):
+            places = whole[at:at + BLOCK]
+            raw = even(batch.column("v").take(places).flatten().to_numpy().reshape(len(places), -1))
+            yield places, name, centers.get(name), raw / np.linalg.norm(raw, axis=1, keepdims=True)
 
-    return classes.select("label", "node", "members", "v").mapInArrow(
-        run, "label string, shard int, node long, members long, home boolean, every array<int>, v array<double>")
 
-
-def distance(sims):
+def apart(u, c):
     import numpy as np
 
-    return np.sqrt(np.maximum(2 - 2 * sims, 0))
+    return np.sqrt(np.maximum((u * u).sum(axis=1)[:, None] + (c * c).sum(axis=1)[None] - 2 * u @ c.T, 0))
 
 
-def prune(order, sims, v):
-    """Robust pruning of candidates in order of nearness: the nearest one stays and drops those
-    that are clearly nearer to it."""
-    kept = []
-    while len(order) and len(kept) < DEGREE:
-        best = order[0]
-        kept.append(int(best))
-        order = order[1:]
-        order = order[distance(sims[order]) <= ALPHA * distance(v[order] @ v[best])]
-    return kept
+def extents(classes, centers):
+    """label -> (first shard, number of shards, radius) of each centroid: vectors of a centroid with
+    more than two shards should hold are dealt to several by hash."""
+    import numpy as np
 
+    shared = classes.sparkSession.sparkContext.broadcast(centers)
 
-def build_graph(v):
-    """Adjacency lists of one shard: candidates by similarity, robustly pruned, edges both ways."""
-    import numpy as np
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for _, name, c, u in by_centroid(batch, shared.value):
+                if c is not None:
+                    far = apart(u, c)
+                    near = (u @ c.T).argmax(axis=1)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([name] * len(u)), pa.array(near, pa.int64()), pa.array(far[np.arange(len(u)), near])],
+                        ["label", "centroid", "far"])
+
+    rows = classes.select("label", "v").mapInArrow(run, "label string, centroid long, far double").groupBy(
+        "label", "centroid").agg(F.count("*").alias("n"), F.max("far").alias("far")).collect() if centers else []
+    found = {label: (np.zeros(len(c), dtype=np.int64), np.ones(len(c), dtype=np.int64), np.full(len(c), -np.inf))
+             for label, c in centers.items()}
+    for r in rows:
+        _, count, radius = found[r["label"]]
+        count[r["centroid"]], radius[r["centroid"]] = -(-r["n"] // (2 * SHARD)), r["far"]
+    for first, count, _ in found.values():
+        first[1:] = count.cumsum()[:-1]
+    return found
+
+
+def shards(classes, centers, threshold):
+    """(label, shard, with, node, members, home, v): every class in the pair of its own shard with
+    itself (home) and in every pair, in order, of its own shard and another that can hold links of
+    it. Two linked classes meet in the pair of their shards and nowhere else. A label without
+    centroids is one shard.
+    """
+    shared = classes.sparkSession.sparkContext.broadcast((centers, extents(classes, centers)))
+    reach = (2 - 2 * threshold) ** 0.5 + 1e-6
 
-    near = [set() for _ in range(len(v))]
-    width = min(len(v) - 1, 3 * DEGREE)
-    for at in range(0, len(v), 512):
-        sims = v[at:at + 512] @ v.T
-        for r in range(len(sims)):
-            sims[r, at + r] = -2
-        top = np.argpartition(-sims, width - 1, axis=1)[:, :width] if width > 0 else np.zeros((len(sims), 0), int)
-        for r in range(len(sims)):
-            order = top[r][np.argsort(-sims[r, top[r]], kind="stable")]
-            for other in prune(order, sims[r], v):
-                near[at + r].add(other)
-                near[other].add(at + r)
-    return near
-
-
-def range_search(query, v, near, start, threshold):
-    """Positions within the threshold of the query: greedy search from start with a beam, then over
-    all neighbours of what lies within the threshold less the slack."""
-    import heapq
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
 
-    import numpy as np
+        for batch in batches:
+            nodes = batch.column("node").to_numpy()
+            for places, name, c, u in by_centroid(batch, shared.value[0]):
+                if c is None:
+                    row, own, other = np.arange(len(u)), np.zeros(len(u), np.int64), np.zeros(len(u), np.int64)
+                else:
+                    first, count, radius = shared.value[1][name]
+                    sims = u @ c.T
+                    near = sims.argmax(axis=1)
+                    margin = sims[np.arange(len(u)), near][:, None] - sims
+                    meets = (margin <= reach * apart(c[near], c) + 1e-6) & (apart(u, c) <= radius + reach)
+                    meets[np.arange(len(u)), near] = True
+                    row, other = np.nonzero(meets)
+                    salt = nodes[places].view(np.uint64) % count[near].astype(np.uint64)
+                    own = (first[near] + salt.astype(np.int64))[row]
+                    times = count[other]
+                    step = np.arange(times.sum()) - np.repeat(times.cumsum() - times, times)
+                    row, own, other = np.repeat(row, times), np.repeat(own, times), np.repeat(first[other], times) + step
+                where = pa.array(places[row])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("label").take(where), pa.array(np.minimum(own, other)), pa.array(np.maximum(own, other)),
+                     batch.column("node").take(where), batch.column("members").take(where), pa.array(own == other),
+                     pa.array(own > other), batch.column("v").take(where)],
+                    ["label", "shard", "with", "node", "members", "home", "second", "v"])
 
-    first = float(v[start] @ query)
-    seen, best, heap = {start: first}, [(first, start)], [(-first, start)]
-    while heap:
-        s, at = heapq.heappop(heap)
-        if len(best) >= BEAM and -s < best[0][0]:
-            break
-        fresh = [n for n in near[at] if n not in seen]
-        if not fresh:
-            continue
-        for n, sim in zip(fresh, (v[fresh] @ query).tolist(), strict=True):
-            seen[n] = sim
-            if len(best) < BEAM or sim > best[0][0]:
-                heapq.heappush(heap, (-sim, n))
-                (heapq.heappush if len(best) < BEAM else heapq.heapreplace)(best, (sim, n))
-    reach = threshold - SLACK
-    todo = [n for n, s in seen.items() if s >= reach]
-    while todo:
-        at = todo.pop()
-        fresh = [n for n in near[at] if n not in seen]
-        if fresh:
-            for n, sim in zip(fresh, (v[fresh] @ query).tolist(), strict=True):
-                seen[n] = sim
-                if sim >= reach:
-                    todo.append(n)
-    return np.array([n for n, s in seen.items() if s >= threshold - 1e-6], dtype=np.int64)
+    return classes.select("label", "node", "members", "v").mapInArrow(
+        run, "label string, shard long, with long, node long, members long, home boolean, second boolean, v array<double>")
 
 
 def even(raw):
@@ -196,73 +183,57 @@ def pack_shard(pdf):
     return pdf, raw, raw / np.linalg.norm(raw, axis=1, keepdims=True)
 
 
-def adjacency(dealt):
-    """(label, node, near): a class's lists of neighbours from its shards, united."""
-    def run(pdf):
-        import pandas as pd
-
-        pdf, _, v = pack_shard(pdf)
-        nodes = pdf["node"].to_numpy()
-        near = [nodes[sorted(n)] for n in build_graph(v)]
-        return pd.DataFrame({"label": pdf["label"].iloc[0], "node": nodes, "near": near})
-
-    lists = dealt.groupBy("label", "shard").applyInPandas(run, "label string, node long, near array<long>")
-    return lists.groupBy("label", "node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
-
-
 def asked(step=QUERY_STEP):
     """Whether the audit asks for a class: one in `step`."""
     return F.pmod(F.xxhash64("node"), F.lit(step)) == 0
 
 
-def found_links(dealt, graph, threshold):
-    """Rows (node, partners, other) of what the searches of each shard find: partners, the members
-    of linked classes, of every node; other, edges that span what is linked (partners null); and all
-    links of the nodes that the audit asks for (partners -1).
-
-    A link is found from either end. Two classes may share several shards: the least of them
-    counts their link, so no pair has to be told apart from a second finding of it.
+def found_links(dealt, step, threshold):
+    """Rows (node, partners, other) of what the pairs of shards hold: partners, the members of linked
+    classes, of every node; other, edges that span what is linked (partners null); and all links of
+    the nodes that the audit asks for (partners -1).
     """
     def run(pdf):
         import numpy as np
         import pandas as pd
 
-        shard = pdf["shard"].iloc[0]
+        same = pdf["shard"].iloc[0] == pdf["with"].iloc[0]
         pdf, raw, v = pack_shard(pdf)
-        nodes, members = pdf["node"].to_numpy(), pdf["members"].to_numpy()
-        place = {n: k for k, n in enumerate(nodes.tolist())}
-        near = [[place[n] for n in listed if n in place] for listed in pdf["near"]]
-        medoid = int((v @ v.mean(axis=0)).argmax())
-        codes = []
-        for q in range(len(v)):
-            hits = range_search(v[q], v, near, medoid, threshold)
-            hits = hits[hits != q]
-            hits = hits[cosine(raw[hits], raw[q]) >= threshold]
-            codes.append(np.minimum(hits, q) * len(v) + np.maximum(hits, q))
-        i, j = np.divmod(np.unique(np.concatenate(codes)), len(v))
-        label = forest(len(v), i, j)
-        every = np.stack(pdf["every"].to_numpy())
-        shared = (every[i][:, :, None] == every[j][:, None, :]).any(axis=2)
-        here = np.where(shared, every[i], np.iinfo(np.int32).max).min(axis=1) == shard
-        i, j = i[here], j[here]
-        partners = np.zeros(len(v), dtype=np.int64)
-        np.add.at(partners, i, members[j])
-        np.add.at(partners, j, members[i])
-        ask = pdf["asked"].to_numpy()
-        ask = ask[i] | ask[j]
-        inner = np.flatnonzero(label != np.arange(len(v)))
-        k, m, e = len(v), len(inner), int(ask.sum())
+        nodes, members, ask = pdf["node"].to_numpy(), pdf["members"].to_numpy().astype(float), pdf["asked"].to_numpy()
+        second = pdf["second"].to_numpy()
+        one, two = (np.arange(len(v)),) * 2 if same else (np.flatnonzero(~second), np.flatnonzero(second))
+        partners, label, pairs = np.zeros(len(v)), np.arange(len(v)), []
+        for at in range(0, len(one), BLOCK):
+            part = one[at:at + BLOCK]
+            sims = v[part] @ v[two].T
+            hit = sims >= threshold
+            i, j = np.nonzero(np.abs(sims - threshold) <= CLOSE)
+            for k in range(0, len(i), 1 << 16):
+                x, y = i[k:k + (1 << 16)], j[k:k + (1 << 16)]
+                hit[x, y] = cosine(raw[part[x]], raw[two[y]]) >= threshold
+            if same:
+                hit &= part[:, None] < two[None]
+            partners[part] += hit @ members[two]
+            partners[two] += members[part] @ hit
+            i, j = np.nonzero(hit)
+            i, j = part[i], two[j]
+            pairs.append(np.stack([i, j])[:, ask[i] | ask[j]])
+            label = forest(len(v), label[i], label[j])[label]
+        partners = partners.astype(np.int64)
+        i, j = np.concatenate([np.zeros((2, 0), dtype=np.int64), *pairs], axis=1)
+        inner, some = np.flatnonzero(label != np.arange(len(v))), np.flatnonzero(partners)
+        sizes = (len(some), len(inner), len(i))
 
         def column(values, null):
-            return pd.arrays.IntegerArray(np.concatenate(values).astype(np.int64), np.repeat(null, (k, m, e)))
+            return pd.arrays.IntegerArray(np.concatenate(values), np.repeat(null, sizes))
 
         return pd.DataFrame({
-            "node": np.concatenate([nodes, nodes[inner], nodes[i[ask]]]),
-            "partners": column([partners, np.zeros(m), np.full(e, -1)], [False, True, False]),
-            "other": column([np.zeros(k, dtype=np.int64), nodes[label[inner]], nodes[j[ask]]], [True, False, False]),
+            "node": np.concatenate([nodes[some], nodes[inner], nodes[i]]),
+            "partners": column([partners[some], np.zeros(len(inner), dtype=np.int64), np.full(len(i), -1)], [False, True, False]),
+            "other": column([np.zeros(len(some), dtype=np.int64), nodes[label[inner]], nodes[j]], [True, False, False]),
         })
 
-    return dealt.withColumn("asked", asked()).join(graph, ["label", "node"]).groupBy("label", "shard").applyInPandas(
+    return dealt.withColumn("asked", asked(step)).groupBy("label", "shard", "with").applyInPandas(
         run, "node long, partners long, other long")
 
 
@@ -300,9 +271,9 @@ def near_vectors(rows, threshold=0.93, recall=0.95, id_col="vec_id", vector_col=
     """(vec_id, n_links, component_id, kept) of every row: vectors of one label (not null) link at
     a cosine of at least the threshold; component_id is the smallest vec_id reachable by links.
 
-    The audited recall of links reaches `recall`: shards overlap more until it does, and with every
-    label one shard it must. No pairs leave a shard. Equal vectors of a label are one class with a number of members, which
-    link with each other and alike with others, so copies are never paired up. Null, empty or zero
+    All pairs of shards that can hold links are compared, so all links are found; an audit of some
+    classes by brute force raises if it sees less than `recall` of theirs, which would be an error.
+    Equal vectors of a label are one class with a number of members, which link with each other and alike with others, so copies are never paired up. Null, empty or zero
     vectors and those with null or non-finite components link with nothing; so do vectors of
     different lengths. Repeated rows are copies. A null id counts as a member but names no
     component. An empty table gives no rows.
@@ -312,14 +283,10 @@ def near_vectors(rows, threshold=0.93, recall=0.95, id_col="vec_id", vector_col=
         F.first("label").alias("label"), F.first("v").alias("v"), F.count("*").alias("members"),
         F.min("vec_id").alias("first")), "vector-classes")
     centers = centroids(classes)
-    for overlap in (2, 4, 8):
-        dealt = stored(shards(classes, centers, overlap), "shards")
-        graph = stored(adjacency(dealt), "graph")
-        links = stored(found_links(dealt, graph, threshold), "links")
-        reached = audit(dealt, links.where("partners = -1"), threshold)
-        if reached >= recall:
-            break
-    else:
+    dealt = stored(shards(classes, centers, threshold), "shards")
+    links = stored(found_links(dealt, QUERY_STEP, threshold), "links")
+    reached = audit(dealt, links.where("partners = -1"), threshold)
+    if reached < recall:
         raise ValueError(f"recall of links {reached:.3f} is below {recall}")
     partners = links.where("partners >= 0").groupBy("node").agg(F.sum("partners").alias("partners"))
     labels = components(links.where("partners is null").select(F.col("node").alias("a"), F.col("other").alias("b")))

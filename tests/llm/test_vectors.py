@@ -76,3 +76,26 @@ def test_recall_that_is_not_reached_raises(spark, monkeypatch):
     rows = [(i, [1.0, 0.001 * i], 1) for i in range(200)]
     with pytest.raises(ValueError, match="recall"):
         vectors.near_vectors(table(spark, rows))
+
+
+def test_dense_group_over_many_shards(spark, monkeypatch):
+    """One group of different near copies, whose links cross all shards: every link is counted."""
+    monkeypatch.setattr(vectors, "SHARD", 25)
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=16)
+    rows = [(n, (base + rng.normal(size=16) * 0.2).tolist(), 0) for n in range(600)]
+    rows += [(600 + n, rng.normal(size=16).tolist(), 0) for n in range(300)]
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_vectors(table(spark, rows)).collect()}
+    want = brute(rows)
+    assert sum(w[0] for w in want.values()) > 100_000
+    assert got == want
+
+
+def test_shard_of_many_close_vectors_is_split(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "SHARD", 10)
+    rng = np.random.default_rng(7)
+    rows = [(n, [1.0, *(rng.normal(size=3) * 1e-9).tolist()], 0) for n in range(200)]
+    rows += [(200 + n, rng.normal(size=4).tolist(), 0) for n in range(100)]
+    monkeypatch.setattr(vectors, "centroids", lambda classes: {"0:4": np.eye(4)})
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_vectors(table(spark, rows)).collect()}
+    assert got == brute(rows)
