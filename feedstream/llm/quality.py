@@ -6,10 +6,10 @@ from feedstream.llm.common import keyed, stored
 from feedstream.llm.learn import (
     Matrix, best_threshold, bounded_sample, fit, folds_of, out_of_fold, select_features, sigmoid, with_features)
 
-SAMPLE = 10_000  # labelled rows, and as many unlabelled ones, that models are fitted on, at most about
+SAMPLE = 10_000  # labelled rows, and as many that a view names, that models are fitted on, at most about
 FEATURES = 512
 ROUNDS = 3
-SHARE = 0.05  # of the unlabelled sample that a view may name per round
+SHARE = 0.05  # of the unlabelled rows that a view may name per round
 FOLDS = 3
 SOURCES, LANGS = 64, 16  # hash buckets of the metadata view
 
@@ -30,44 +30,91 @@ def metadata(rows):
 META = SOURCES + LANGS + 64
 
 
-def co_train(labelled, unlabelled, features, rounds=ROUNDS, share=SHARE):
+def surest(counts, n):
+    """(bin, share): the n surest rows are those beyond the bin and that share of the bin itself;
+    counts maps bins over 0 to numbers of rows."""
+    edge, share = 1, 1.0
+    for edge in sorted(counts, reverse=True):
+        if counts[edge] >= n:
+            share = n / counts[edge]
+            break
+        n -= counts[edge]
+    return edge, share
+
+
+def named_rows(pool, name, width, model, good, share, bound):
+    """(doc_id, x, meta, good) of the rows of pool (doc_id, draw, x, meta) that a view is surest of:
+    `share` of all rows, in the proportion of the classes, by counts of its scores over the whole
+    pool. Of more than about `bound` such rows that many are drawn."""
+    shared = pool.sparkSession.sparkContext.broadcast(model)
+
+    def bins(batch):
+        import numpy as np
+
+        z = np.clip(Matrix([v.values.to_numpy() for v in batch.column(name)], width).times(shared.value), -30, 30)
+        return (np.sign(z) * np.ceil(np.abs(z) * 100)).astype(np.int64)
+
+    def count(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            found = np.unique(bins(batch), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["bin", "n"])
+
+    counts = {r["bin"]: r["n"] for r in pool.select(name).mapInArrow(count, "bin long, n long").groupBy("bin").agg(
+        F.sum("n").alias("n")).collect()}
+    n = int(sum(counts.values()) * share)
+    edges = [(-1, *surest({-b: c for b, c in counts.items() if b < 0}, round(n * (1 - good)))),
+             (1, *surest({b: c for b, c in counts.items() if b > 0}, round(n * good)))]
+    part = min(1.0, bound / max(n, 1))
+
+    def take(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            found, draw = bins(batch), batch.column("draw").to_numpy()
+            second = draw * 1024 % 1
+            for sign, edge, portion in edges:
+                key = found * sign
+                rows = np.flatnonzero(((key > edge) | (key == edge) & (draw < portion)) & (second < part))
+                chosen = batch.take(pa.array(rows))
+                yield pa.RecordBatch.from_arrays(
+                    [chosen.column("doc_id"), chosen.column("x"), chosen.column("meta"),
+                     pa.array(np.full(len(rows), float(sign > 0)))], ["doc_id", "x", "meta", "good"])
+
+    kind = pool.schema["doc_id"].dataType.simpleString()
+    return pool.select("doc_id", "draw", "x", "meta").mapInArrow(
+        take, f"doc_id {kind}, x array<int>, meta array<int>, good double").collect()
+
+
+def co_train(labelled, pool, features, rounds=ROUNDS, share=SHARE, sample=SAMPLE):
     """Models of both views, their calibrations and their combination.
 
-    Each round both views are fitted; each names the rows of the unlabelled sample it is surest of,
-    in the proportion of the classes, and the other view learns from them from then on. Views are
-    calibrated and combined by logistic regressions on out-of-fold scores of the labelled rows.
+    Each round both views are fitted; each scores all unlabelled rows and names those it is surest
+    of, in the proportion of the classes, and the other view learns from them from then on, from
+    at most about `sample` of them in all. Views are calibrated and combined by logistic
+    regressions on out-of-fold scores of the labelled rows.
     """
     import numpy as np
 
     y = labelled["good"].to_numpy(dtype=float)
     views = [("x", max(features, 1)), ("meta", META)]
     own = [Matrix(labelled[c].tolist(), n) for c, n in views]
-    pool = [Matrix(unlabelled[c].tolist(), n) for c, n in views]
-    taught = [{}, {}]  # row of the unlabelled sample -> class, per view
+    taught = [{}, {}]  # doc_id -> features and class, per view
 
     def fitted(view):
-        rows = list(taught[view])
-        extra = pool[view].take(rows)
-        both = Matrix([], own[view].width)
-        both.lengths = np.concatenate([own[view].lengths, extra.lengths])
-        both.flat = np.concatenate([own[view].flat, extra.flat])
-        both.row = np.repeat(np.arange(len(both.lengths)), both.lengths)
-        both.dense = np.zeros((len(both.lengths), 0))
-        return fit(both, np.concatenate([y, [taught[view][r] for r in rows]]))
+        told = [taught[view][r] for r in sorted(taught[view])]
+        lists = labelled[views[view][0]].tolist() + [r[0] for r in told]
+        return fit(Matrix(lists, own[view].width), np.concatenate([y, [r[1] for r in told]]))
 
     good = y.mean() if len(y) else 0.5
     for _ in range(rounds):
         for view in (0, 1):
-            scores = pool[view].times(fitted(view))
-            order = np.argsort(scores, kind="stable")
-            count = int(len(order) * share)
-            bad_n, good_n = round(count * (1 - good)), round(count * good)
-            for r in order[:bad_n]:
-                if scores[r] < 0:
-                    taught[1 - view].setdefault(int(r), 0.0)
-            for r in order[len(order) - good_n:]:
-                if scores[r] > 0:
-                    taught[1 - view].setdefault(int(r), 1.0)
+            name, width = views[view]
+            for r in named_rows(pool, name, width, fitted(view), good, share, sample / rounds):
+                taught[1 - view].setdefault(r["doc_id"], (r[views[1 - view][0]], r["good"]))
     fold = folds_of(labelled["doc_id"], FOLDS)
     models, calibrations, calibrated = [fitted(0), fitted(1)], [], []
     for view in (0, 1):
@@ -84,21 +131,21 @@ def co_train(labelled, unlabelled, features, rounds=ROUNDS, share=SHARE):
 
 
 def train(docs, labels, sample=SAMPLE, features=FEATURES):
-    """Models from labels (doc_id, quality 0/1) and documents, on samples of at most about `sample`
-    labelled and as many unlabelled rows. Rows with a null label count as unlabelled."""
+    """Models from labels (doc_id, quality 0/1) and documents. Features are selected on all labelled
+    rows and all unlabelled ones are scored; models are fitted on samples of at most about `sample`
+    labelled rows and as many that the views name. Rows with a null label count as unlabelled."""
     named = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.max(F.col("quality").cast("int")).alias("good"))
-    chosen = bounded_sample(named, sample, 8)
-    rest = bounded_sample(docs.select("doc_id").where(F.col("doc_id").isNotNull()).distinct().join(
-        named, "doc_id", "left_anti"), sample, 9)
-    both = chosen.unionByName(rest.select("doc_id", F.lit(None).cast("int").alias("good")))
-    rows = stored(metadata(
-        docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "source", "lang", "n_chars")
-        .join(both, "doc_id").dropDuplicates(["doc_id"])), "quality-sample")
-    number = select_features(rows.where("good is not null"), ["good"], features)
-    pdf = with_features(rows, number).toPandas().sort_values("doc_id")
-    labelled, unlabelled = pdf[pdf["good"].notna()], pdf[pdf["good"].isna()]
-    return co_train(labelled, unlabelled, len(number)) | {"number": number}
+    once = docs.where(F.col("doc_id").isNotNull()).select(
+        "doc_id", F.coalesce("text", F.lit("")).alias("text"), "source", "lang", "n_chars").dropDuplicates(["doc_id"])
+    known = stored(once.join(named, "doc_id"), "quality-labelled")
+    number = select_features(known, ["good"], features)
+    chosen = bounded_sample(known, sample, 8)
+    labelled = with_features(metadata(chosen), number).toPandas().sort_values("doc_id")
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 40)) / float(1 << 40)
+    pool = stored(with_features(
+        metadata(once.join(named, "doc_id", "left_anti")).withColumn("draw", draw), number), "quality-pool")
+    return co_train(labelled, pool, len(number), sample=sample) | {"number": number}
 
 
 def score(docs, model, id_col="doc_id", text_col="text"):

@@ -66,3 +66,16 @@ def test_earlier_probabilities_feed_later_models():
     matrix = learn.Matrix([[0], [0, 1], [1], []] * 20, 2)
     model = learn.fit(matrix.plus(np.tile([1.0, 1.0, 0.0, 0.0], 20)), np.tile([1, 1, 0, 0], 20))
     assert len(model["d"]) == 1 and model["d"][0] > 0.5
+
+
+def test_rare_unlabelled_rows_teach(spark):
+    """Rows of a source without labels are 6 of 4,000; the text view is surest of them."""
+    good, bad = "alpha beta gamma delta", "junk spam trash waste"
+    rows = [(n, good if n % 2 else f"{bad} alpha", "en", f"s{n % 3}", 20) for n in range(60)]
+    rows += [(100 + n, "alpha beta" if n % 2 else "gamma junk", "en", f"s{n % 3}", 20) for n in range(3994)]
+    rows += [(9000 + n, bad, "en", "rare", 20) for n in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(n, n % 2) for n in range(60)], "doc_id long, quality int")
+    model = quality.train(docs, labels, sample=700)
+    spot = quality.metadata(docs.where("source = 'rare'")).first().meta[0]
+    assert model["views"][1]["w"][spot] < 0
