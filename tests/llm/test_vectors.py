@@ -99,3 +99,12 @@ def test_shard_of_many_close_vectors_is_split(spark, monkeypatch):
     monkeypatch.setattr(vectors, "centroids", lambda classes: {"0:4": np.eye(4)})
     got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_vectors(table(spark, rows)).collect()}
     assert got == brute(rows)
+
+
+def test_links_agree_with_components(spark, monkeypatch):
+    """Whatever the shards, members of one pair of linked groups count all links that join them."""
+    monkeypatch.setattr(vectors, "SHARD", 15)
+    rng = np.random.default_rng(8)
+    rows = [(n, (np.eye(8)[n % 4] + rng.normal(size=8) * 0.13).tolist(), 0) for n in range(240)]
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_vectors(table(spark, rows)).collect()}
+    assert got == brute(rows)
