@@ -1,6 +1,7 @@
 """The queries of the subpackage and their SQL."""
 
-from feedstream.llm import bpe, chat, decontaminate, lines, quality, secrets, simhash, suffixes, toxicity, vectors
+from feedstream.llm import (
+    bpe, chat, decontaminate, lines, pages, quality, secrets, simhash, suffixes, toxicity, trie, variants, vectors)
 
 QUERIES = {
     "op1_bpe": bpe.op1,
@@ -13,9 +14,13 @@ QUERIES = {
     "op8_quality": quality.op8,
     "op9_simhash": simhash.op9,
     "op10_embeddings": vectors.op10,
+    "op11_html_extract": pages.op11,
+    "op12_spelling_variants": variants.op12,
+    "op13_prefix_trie": trie.op13,
 }
 ORACLE = {
     "op4_decontaminate": decontaminate.ORACLE_OP4,
     "op6_line_dedup": lines.ORACLE_OP6,
     "op7_chat_format": chat.ORACLE_OP7,
+    "op13_prefix_trie": trie.ORACLE_OP13,
 }
