@@ -211,6 +211,17 @@ def near_duplicates(docs, shingle=4, radius=4, id_col="doc_id", text_col="text",
         "doc_id", "rk", F.col("node").alias("fp"), F.col("first").alias("component_id"))
 
 
+def first_of_groups(docs, shingle=4, radius=4, id_col="doc_id", text_col="text", tile=TILE):
+    """(doc_id, rk, kept) of every row: of each group that near_duplicates links the row with the least
+    (doc_id, rk) is kept. Null ids come first; rows equal in id and text stay or go together."""
+    rows = stored(fingerprints(docs, shingle, id_col, text_col).withColumnRenamed("fp", "node"), "fingerprints")
+    points = rows.select("node").distinct().select(
+        "node", F.array("node").alias("fp"), bit_ranges(F.col("node"), radius).alias("keys"))
+    me = F.struct("doc_id", "rk")
+    return grouped(rows, links(points, radius, tile), me).select(
+        "doc_id", "rk", me.eqNullSafe(F.col("first")).alias("kept"))
+
+
 def true_forest(sets, fps, label, similarity):
     """For each set of hashes the place of a set that verified links reach; sets of one label are
     linked already. A pair is looked at if its sizes allow the similarity, its fingerprints differ

@@ -22,8 +22,8 @@ def small(spark, sf_dir, tmp_path_factory):
     passage = " ".join(bench.first().text.split()[:14])
     rows = []
     for k in range(10):
-        clean = text(200)
-        rows += [(10**6 + k, clean), (2 * 10**6 + k, clean), (3 * 10**6 + k, clean.replace(clean.split()[100], "changed"))]
+        clean = text(2000)  # one changed word of 2,000 turns about two bits
+        rows += [(10**6 + k, clean), (2 * 10**6 + k, clean), (3 * 10**6 + k, clean.replace(clean.split()[1000], "changed"))]
         rows += [(4 * 10**6 + k, f"{text(50)} {passage} {text(50)}"), (5 * 10**6 + k, f"{text(40)} idiot scum {text(40)} moron")]
     planted = spark.createDataFrame(rows, "doc_id long, text string").select(
         "doc_id", "text", F.lit("en").alias("lang"), F.lit("src1").alias("source"), F.length("text").cast("long").alias("n_chars"))

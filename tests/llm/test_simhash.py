@@ -141,3 +141,21 @@ def test_true_links_of_one_large_cluster(spark, monkeypatch):
     docs = spark.createDataFrame([(n, " ".join(t)) for n, t in enumerate(texts)], "doc_id long, text string")
     kept = {r.doc_id for r in simhash.similar_texts(docs).where("kept").collect()}
     assert kept == set(range(41))  # 86/114 and 86/(105 + 9) are below 0.8, 91/109 above
+
+
+def test_first_of_groups(spark):
+    chosen = random.Random(4)
+    word = lambda: "".join(chosen.choices("abcdefghij", k=6))
+    rows = []
+    for i in range(20):
+        words = [word() for _ in range(2000)]
+        rows += [(i * 10 + 5, " ".join(words)), (i * 10 + 2, " ".join(words[:999] + [word()] + words[1000:])), (i * 10, " ".join(words[:1000]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").unionByName(
+        documents(spark, ["same text here"]), allowMissingColumns=True)
+    groups_of = {r.rk: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    firsts = simhash.first_of_groups(docs).collect()
+    kept = [r for r in firsts if r.kept]
+    assert len(firsts) == docs.count()
+    assert len({groups_of[r.rk] for r in kept}) == len({r.rk for r in kept}) == len(set(groups_of.values()))
+    assert {r.doc_id for r in kept} >= {i * 10 for i in range(20)}
+    assert simhash.first_of_groups(empty(spark)).count() == 0
