@@ -6,7 +6,7 @@ from feedstream.llm.bpe import decode, encode, tokenizer_path
 from feedstream.llm.common import marked, sha256, stored
 from feedstream.llm.decontaminate import decontaminate
 from feedstream.llm.lines import remove_boilerplate
-from feedstream.llm.simhash import similar_texts
+from feedstream.llm.simhash import first_of_groups
 from feedstream.llm.toxicity import fitted, score
 
 
@@ -23,8 +23,8 @@ def drop_boilerplate_lines(spark, docs, sf_dir):
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
-    """One document of each group of near copies."""
-    return marked(docs, similar_texts(docs).where("kept"), "left_semi")
+    """One document of each group whose fingerprints of four-word shingles are linked at four bits or fewer."""
+    return marked(docs, first_of_groups(docs, shingle=4, radius=4).where("kept"), "left_semi")
 
 
 def drop_contaminated(spark, docs, sf_dir):
