@@ -23,6 +23,7 @@ def arguments(argv=None):
     parser.add_argument("--rss", help="folder of landed feeds (ingest)")
     parser.add_argument("--atom", help="folder of landed feeds in Atom form (ingest)")
     parser.add_argument("--items", help="folder of landed items (ingest)")
+    parser.add_argument("--lists", help="folder of landed lists of ids; only items they name (ingest)")
     parser.add_argument("--max-files", type=int, help="landed files per batch (ingest)")
     parser.add_argument("--max-per-trigger", type=int, help="records per batch")
     parser.add_argument("--alert-over", type=float, help="count per window that alerts (alerts)")
@@ -44,10 +45,15 @@ def main(argv=None):
 
     if args.job == "ingest":
         bound = {"maxFilesPerTrigger": args.max_files} if args.max_files else {}
-        articles = ingest.articles(
-            spark, args.rss, args.items, streaming=True, atom_path=args.atom, **bound)
         publish = batch_kafka(publish_options(args.servers, args.input_topic))
-        jobs.start_ingest(articles, f"{args.folder}/ledger", publish, checkpoint)
+        if args.rss or not args.lists:
+            articles = ingest.articles(
+                spark, args.rss, None if args.lists else args.items, streaming=True, atom_path=args.atom, **bound)
+            jobs.start_ingest(articles, f"{args.folder}/ledger", publish, checkpoint)
+        if args.lists:
+            listed = ingest.listed_articles(spark, args.lists, args.items, **bound)
+            jobs.start_ingest(
+                listed, f"{args.folder}/item_ledger", publish, f"{checkpoint}-items", name="ingest_items")
     elif args.job == "analyze":
         lines = topic(args.input_topic)
         publish = batch_kafka(sink_options(args.servers, args.results_topic))

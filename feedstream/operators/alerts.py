@@ -5,6 +5,7 @@ All take metric tables (key, window, n), already aggregated, so a group is one k
 """
 
 import json
+from fractions import Fraction
 
 from pyspark.sql import Window, functions as F
 
@@ -18,31 +19,48 @@ def windowed_counts(df, key, timestamp, width="1 day"):
     ).select("key", F.col("w.start").alias("win"), "n")
 
 
+def seconds_of(width):
+    """Seconds of a window width such as '5 minutes'."""
+    number, unit = width.split()
+    return int(number) * SECONDS[unit.rstrip("s")]
+
+
 def _in_time(width):
     """Windows of a key on their start in seconds, and the seconds of a window."""
     at = Window.partitionBy("key").orderBy(F.unix_timestamp(F.col("win").cast("timestamp")))
-    number, unit = width.split()
-    return at, int(number) * SECONDS[unit.rstrip("s")]
+    return at, seconds_of(width)
 
 
 def anomalies(metrics, history=7, limit=2.0, width="1 day"):
     """Windows whose n lies more than ``limit`` deviations off the key's previous windows.
 
     ``width`` is that of the windows. Only windows that follow a full, gapless history are judged;
-    a history without spread judges nothing.
+    a history without spread judges nothing. The limit is tested in whole numbers, so a window that
+    lies exactly at it is no anomaly, whatever the order in which counts are added.
     """
     at, seconds = _in_time(width)
     past = at.rangeBetween(-history * seconds, -1)
-    scored = metrics.select(
+    square = F.col("n").cast("decimal(18,0)") * F.col("n").cast("decimal(18,0)")
+    summed = metrics.select(
         "key", "win", "n",
         F.count("*").over(past).alias("seen"),
-        F.avg("n").over(past).alias("mean"),
-        F.stddev_samp("n").over(past).alias("spread"),
-    )
-    z = F.try_divide(F.col("n") - F.col("mean"), F.col("spread"))
-    return scored.where(F.col("seen") == history).withColumn("z", z).where(
-        F.abs("z") > limit
-    ).drop("seen")
+        F.sum("n").over(past).alias("s"),
+        F.sum(square).over(past).alias("q"),
+    ).where(F.col("seen") == history)
+    whole = lambda c: c.cast("decimal(19,0)")
+    # With sums s of n and q of n * n over N windows: off / N is the distance from the mean, and
+    # spread / (N * (N - 1)) the variance.
+    moments = summed.select(
+        "key", "win", "n", "s", (F.col("n") * history - F.col("s")).alias("off"),
+        (F.col("q") * history - whole(F.col("s")) * whole(F.col("s"))).alias("spread"))
+    over = Fraction(str(limit)) ** 2
+    far = whole(F.col("off")) * whole(F.col("off")) * ((history - 1) * over.denominator)
+    found = moments.where((F.col("spread") > 0) & (far > F.col("spread") * (history * over.numerator)))
+    spread = F.col("spread").cast("double")
+    return found.select(
+        "key", "win", "n", (F.col("s") / history).alias("mean"),
+        F.sqrt(spread / (history * (history - 1))).alias("spread"),
+        (F.col("off").cast("double") / F.sqrt(history * spread / (history - 1))).alias("z"))
 
 
 def threshold_alerts(metrics, rules, metric="count"):

@@ -4,9 +4,10 @@
 or write is one of the batch writes in streaming.sinks.
 """
 
+from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from feedstream.operators import alerts, metrics
 from feedstream.operators.parse import flag_corrupt, parse_articles, parse_results
@@ -20,6 +21,7 @@ from feedstream.reference_data import (
     TIMELINE_POINTS,
     VIEW_TRIGGER,
 )
+from feedstream.sources import segments
 from feedstream.streaming import jobs, sinks
 
 VIEW_ORDER = [ARRIVAL, jobs.ROW]
@@ -71,29 +73,45 @@ def start_view(lines, path, checkpoint, timestamp=None, **start):
     ]
 
 
-def start_alerts(lines, path, checkpoint, rules=(), run=3, threshold=None, width="1 minute", **start):
+def start_alerts(
+        lines, path, checkpoint, rules=(), run=3, threshold=None, width="1 minute", history=7, **start):
     """JSON results -> counts of a source per window -> tables of alerts under ``path``.
 
-    Every batch adds the counts it holds, however late, and judges the merged counts of its
-    sources: broken rules, runs of windows over ``threshold``, and anomalies. A batch that comes
-    again replaces what it wrote; the newest judgement is read with read_alerts.
+    Every batch adds the counts it holds, however late, and judges the windows it touched and those
+    after them that look back on them: broken rules, runs of windows over ``threshold``, and anomalies
+    against ``history`` windows. It reads the counts around these windows only. A batch that comes
+    again replaces what it wrote; the newest judgement of a window is read with read_alerts.
     """
+    seconds, reach = alerts.seconds_of(width), max(history, run - 1)
+
+    def around(touched, first, last):
+        steps = F.explode(F.sequence(F.lit(first), F.lit(last)))
+        at = F.timestamp_seconds(F.unix_timestamp("win") + F.col("step") * seconds)
+        return touched.select("key", "win", steps.alias("step")).select("key", at.alias("win")).distinct()
+
     def judge(batch, batch_id):
+        spark, counts = batch.sparkSession, f"{path}/counts"
         counted = alerts.windowed_counts(batch, "source", "timestamp", width)
-        sinks.batch_files(f"{path}/counts")(counted, batch_id)
-        merged = jobs.merged_counts(batch.sparkSession, f"{path}/counts", "key", "win").join(
-            counted.select("key").distinct(), "key", "left_semi")
+        jobs.append_counts(counted, counts, batch_id, "key", "win")
+        touched = segments.read_batch(spark, counts, batch_id).select("key", "win")
+        span = touched.agg(F.min("win").alias("first"), F.max("win").alias("last")).first()
+        merged = jobs.merged_counts(
+            spark, counts, "key", "win", run=segments.run_of(batch_id), batches=int(batch_id) + 1)
+        if span["first"] is not None:
+            wide = timedelta(seconds=reach * seconds)
+            merged = merged.where(F.col("win").between(F.lit(span["first"] - wide), F.lit(span["last"] + wide)))
+        near = merged.join(around(touched, -reach, reach), ["key", "win"], "left_semi")
         found = [
-            alerts.threshold_alerts(merged, rules).select("key", "win", "n", F.col("level").alias("alert")),
-            alerts.anomalies(merged, width=width).select("key", "win", "n", F.lit("anomaly").alias("alert")),
+            alerts.threshold_alerts(near, rules).select("key", "win", "n", F.col("level").alias("alert")),
+            alerts.anomalies(near, history, width=width).select("key", "win", "n", F.lit("anomaly").alias("alert")),
+            near.select("key", "win", "n", F.lit(None).cast("string").alias("alert")),
         ]
         if threshold is not None:
-            found.append(alerts.pattern_alerts(merged, threshold, run, width).select(
+            found.append(alerts.pattern_alerts(near, threshold, run, width).select(
                 "key", "win", "n", F.lit("pattern").alias("alert")))
-        judged = counted.select("key").distinct().select("key", *[
-            F.lit(None).cast(k).alias(c) for c, k in (("win", "timestamp"), ("n", "bigint"), ("alert", "string"))])
-        every = reduce(DataFrame.unionByName, [*found, judged]).withColumn("written", F.current_timestamp())
-        sinks.batch_files(f"{path}/alerts")(every, batch_id)
+        judged = reduce(DataFrame.unionByName, found).join(around(touched, 0, reach), ["key", "win"], "left_semi")
+        numbered = judged.withColumn("judged", F.lit(int(batch_id)).cast("long"))
+        segments.append(numbered, f"{path}/alerts", batch_id, _newest_judgement)
 
     when = F.col("processing_time")
     view = metrics.result_view(parse_results(lines), when)
@@ -101,12 +119,15 @@ def start_alerts(lines, path, checkpoint, rules=(), run=3, threshold=None, width
     return jobs.start(writer, **{"name": "alerts", "every": VIEW_TRIGGER, **start})
 
 
+def _newest_judgement(rows):
+    """Of each window the rows of the last batch that judged it; one of them has no alert."""
+    last = F.max("judged").over(Window.partitionBy("key", "win"))
+    return rows.withColumn("last", last).where(F.col("judged") == F.col("last")).drop("last")
+
+
 def read_alerts(spark, path):
-    """(key, win, n, alert) as the last batch that had records of the key judged it."""
-    table = spark.read.parquet(f"{path}/alerts")
-    order = F.struct("written", "batch_id")
-    last = table.groupBy("key").agg(F.max(order).alias("last"))
-    newest = table.join(last, "key").where(order == F.col("last"))
+    """(key, win, n, alert) as the last batch of the last run judged the windows."""
+    newest = _newest_judgement(segments.read_run(spark, f"{path}/alerts"))
     return newest.where("alert is not null").select("key", "win", "n", "alert")
 
 

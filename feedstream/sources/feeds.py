@@ -53,10 +53,10 @@ def hn_items(spark, path, streaming=False, keep=(), **options):
     return items.select(*HN_ITEM_SCHEMA.names, *keep)
 
 
-def hn_id_lists(spark, path, streaming=False, **options):
+def hn_id_lists(spark, path, streaming=False, keep=(), **options):
     """One row per landed list, as JSON text."""
     lines = read_records(spark, path, "text", "value string", streaming, **options)
-    return lines.select(F.col("value").alias("json"))
+    return lines.select(F.col("value").alias("json"), *keep)
 
 
 def _xml(spark, path, row_tag, schema, streaming, options):

@@ -3,10 +3,12 @@
 from pyspark.sql import functions as F
 
 from feedstream.operators.dedup import drop_repeats, first_unseen
-from feedstream.operators.metrics import counters, recent, timeline
+from feedstream.operators.metrics import counters, recent, roll_up, timeline
 from feedstream.reference_data import RECENT_KEPT
-from feedstream.sources.ledger import create_ledger, mark_sent, read_ledger, run_of
-from feedstream.streaming.sinks import batch_files, batch_sink, to_all, with_trigger
+from feedstream.sources import segments
+from feedstream.sources.ledger import create_ledger, mark_sent, read_ledger
+from feedstream.sources.segments import run_of
+from feedstream.streaming.sinks import batch_sink, to_all, with_trigger
 
 ROW = "_row"  # place of a record in its batch
 
@@ -27,14 +29,15 @@ def ingest(articles, order, ledger_path, publish, checkpoint, hidden=()):
     articles and are not published.
 
     A replayed batch does not see its own ledger entries, so it publishes the same articles
-    again: at least once, and once for sinks keyed by batch. Only the fresh articles are kept
-    while they are written; bound a batch at its source.
+    again: at least once, and once for sinks keyed by batch. A batch reads the parts of the ledger
+    only that its ids can lie in. Only the fresh articles are kept while they are written; bound a
+    batch at its source.
     """
     spark = articles.sparkSession
     create_ledger(spark, ledger_path)
 
     def write(batch, batch_id):
-        ledger = read_ledger(batch.sparkSession, ledger_path, before_batch=batch_id)
+        ledger = read_ledger(batch.sparkSession, ledger_path, before_batch=batch_id, ids=batch.select("id"))
         fresh = first_unseen(batch, ledger.select("id"), order).drop(*hidden)
         to_all(publish, lambda df, i: mark_sent(df, ledger_path, i))(fresh, batch_id)
 
@@ -73,9 +76,9 @@ def running_timeline(view, path, checkpoint, timestamp="timestamp"):
 
 def running_timeline_parts(view, path, checkpoint, timestamp="timestamp"):
     """Counts by (minute, sentiment) of each batch, without state: a batch writes the minutes it
-    has, however late they are. Read them with merged_counts."""
+    has, however late they are, and counts merge as batches pile up. Read them with merged_counts."""
     def write(batch, batch_id):
-        batch_files(path)(timeline(batch, timestamp), batch_id)
+        append_counts(timeline(batch, timestamp), path, batch_id, "minute", "sentiment")
 
     return batch_sink(view, write, checkpoint)
 
@@ -104,9 +107,15 @@ def latest_version(spark, path):
     return newest.drop("written", "batch_id", "run", "slot")
 
 
-def merged_counts(spark, path, *keys):
-    """Sums of the counts that the batches of all runs wrote."""
-    return spark.read.parquet(path).groupBy(*keys).agg(F.sum("n").alias("n"))
+def append_counts(counts, path, batch_id, *keys):
+    """Write a batch's counts (keys..., n); those of older batches are added up as they merge."""
+    segments.append(counts, path, batch_id, lambda rows: roll_up(rows, *keys))
+
+
+def merged_counts(spark, path, *keys, run=None, batches=None):
+    """Sums of the counts that the batches of one run wrote: of the last run, as for latest_version, or
+    of the first batches of a named one."""
+    return roll_up(segments.read_run(spark, path, run, batches), *keys)
 
 
 def _slot(path, batch_id, run):

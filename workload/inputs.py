@@ -92,11 +92,16 @@ def item_json(spark, sf_dir):
     return rows.select(F.when(F.col("by").isNull(), "null").otherwise(F.col("json")).alias("json"))
 
 
-def id_lists(spark, sf_dir):
-    """Lists of ids as the endpoint gives them, newest first, one per conversation."""
+def id_lists(spark, sf_dir, short=True):
+    """Lists of ids as the endpoint gives them, newest first: for each role one of some 250 ids of a
+    hundred conversations, and the short ones of single conversations, or else lists of 60
+    conversations that share their ids with those of the roles."""
+    conversation = F.floor(F.col("id") / 100)
+    role = F.concat_ws(" ", F.coalesce("by", F.lit("none")), F.floor(conversation / 100))
+    other = F.concat_ws(" ", F.lit("of"), conversation if short else F.floor(conversation / 60))
+    listed = items(spark, sf_dir).select("id", F.explode(F.array(role, other)).alias("list"))
     ids = F.sort_array(F.collect_list("id"), asc=False)
-    listed = items(spark, sf_dir).groupBy(F.floor(F.col("id") / 100).alias("list"))
-    return listed.agg(F.to_json(ids).alias("json"))
+    return listed.groupBy("list").agg(F.to_json(ids).alias("json"))
 
 
 def articles(spark, sf_dir):

@@ -195,17 +195,34 @@ FROM raw_entries"""
 
 MILLIS = "date_trunc('milliseconds', processing_time)"
 
+def id_lists(other):
+    """listed (id, pos): places in the lists of roles and of other groups of items."""
+    return f"""named AS (
+  SELECT id, coalesce("by", 'none') || ' ' || id // 10000 AS list FROM items
+  UNION ALL SELECT id, 'of ' || {other} FROM items),
+listed AS (SELECT id, row_number() OVER (PARTITION BY list ORDER BY id DESC) - 1 AS pos FROM named)"""
+
+
+def exact_past(counts, n, interval):
+    """past (key, win, n, seen, s, q): sums of the n windows before, in whole numbers."""
+    return f"""past AS (
+  SELECT a.key, a.win, a.n, count(*) AS seen, sum(b.n)::HUGEINT AS s, sum(b.n::HUGEINT * b.n) AS q
+  FROM {counts} a JOIN {counts} b ON a.key = b.key AND b.win < a.win AND b.win >= a.win - {interval}
+  GROUP BY ALL),
+far AS (
+  SELECT *, round(CAST({n} * n - s AS DOUBLE) / sqrt({n} * CAST({n} * q - s * s AS DOUBLE) / {n - 1}), 4) AS z FROM past
+  WHERE seen = {n} AND {n} * q - s * s > 0
+  AND ({n} * n - s) * ({n} * n - s) * {n - 1} > 4 * {n} * ({n} * q - s * s))"""
+
+
 ORACLE = {
     "stream_scan": "SELECT event_id, event_type, ts FROM events",
     "results_scan": f"WITH {RESULTS} {shown('results', 'id,', MILLIS)}",
     "rss_xml_scan": f"WITH {ENTRIES} {PARSED_SCAN}",
     "atom_xml_scan": f"WITH {ENTRIES} {PARSED_SCAN}",
-    "hn_first_n_ids": f"""WITH {ITEMS}
-SELECT id, pos FROM (
-  SELECT id, row_number() OVER (PARTITION BY id // 100 ORDER BY id DESC) - 1 AS pos FROM items)
-WHERE pos < 200""",
-    "hn_item_lookup": f"""WITH {ITEMS},
-listed AS (SELECT id, row_number() OVER (PARTITION BY id // 100 ORDER BY id DESC) - 1 AS pos FROM items)
+    "hn_first_n_ids": f"""WITH {ITEMS}, {id_lists('id // 100')}
+SELECT id, pos FROM listed WHERE pos < 200""",
+    "hn_item_lookup": f"""WITH {ITEMS}, {id_lists('id // 100')}
 SELECT i.*, pos FROM items i JOIN listed USING (id) WHERE i."by" IS NOT NULL AND pos < 200""",
     "parse_article": f"""WITH {ARTICLES}
 SELECT source, id, title, link, "by", CAST(score AS VARCHAR) AS score,
@@ -303,17 +320,8 @@ SELECT strftime(timestamp, '%H:%M:%S') AS time, source, title, sentiment, catego
     "stream_analysis": f"""WITH {ANALYSED}
 SELECT source, id, title, link, "by", sentiment, predicted_category, word_count, text_length
 FROM analysed WHERE source = 'hn'""",
-    "anomaly_zscore": f"""WITH {DAILY},
-history AS (SELECT *, count(*) OVER w AS seen, avg(n) OVER w AS mean, stddev_samp(n) OVER w AS spread
-  FROM daily WINDOW w AS (PARTITION BY key ORDER BY win ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))
-SELECT key, win, n, round((n - mean) / spread, 4) AS z FROM history
-WHERE seen = 7 AND spread > 0 AND abs((n - mean) / spread) > 2""",
-    "anomaly_hourly": f"""WITH {HOURLY},
-past AS (SELECT a.key, a.win, a.n, count(*) AS seen, avg(b.n) AS mean, stddev_samp(b.n) AS spread
-  FROM hourly a JOIN hourly b ON a.key = b.key AND b.win < a.win AND b.win >= a.win - INTERVAL 5 HOUR
-  GROUP BY ALL)
-SELECT key, win, n, round((n - mean) / spread, 4) AS z FROM past
-WHERE seen = 5 AND spread > 0 AND abs((n - mean) / spread) > 2""",
+    "anomaly_zscore": f"WITH {DAILY}, {exact_past('daily', 7, 'INTERVAL 7 DAY')} SELECT key, win, n, z FROM far",
+    "anomaly_hourly": f"WITH {HOURLY}, {exact_past('hourly', 5, 'INTERVAL 5 HOUR')} SELECT key, win, n, z FROM far",
     "pattern_alerts_hourly": f"""WITH {HOURLY}
 SELECT a.key, a.win, a.n FROM hourly a
 JOIN hourly b ON b.key = a.key AND b.win = a.win - INTERVAL 1 HOUR AND b.n > 2
@@ -325,6 +333,10 @@ FROM analysed""",
     "job_ingest": f"""WITH {FIRST_SEEN}, {ITEMS}
 SELECT source, id, CASE WHEN id IS NULL THEN title END AS title FROM firsts
 UNION ALL SELECT source, id, NULL FROM hn WHERE "by" <> ''""",
+    "stream_ingest_many_batches": f"WITH {FIRST_SEEN} SELECT id FROM firsts",
+    "job_list_ingest": f"""WITH {ITEMS}, {id_lists('id // 6000')}
+SELECT DISTINCT hn.id, hn.title FROM hn JOIN listed ON hn.id = CAST(listed.id AS VARCHAR)
+WHERE hn."by" <> '' AND pos < 200""",
     "job_analysis": ANALYSIS_SELECT,
     "job_processing_time": f"""WITH {ITEMS}
 SELECT source, count(*) AS n, count(*) AS in_order FROM hn WHERE length(title) > 10 GROUP BY source""",
@@ -332,13 +344,9 @@ SELECT source, count(*) AS n, count(*) AS in_order FROM hn WHERE length(title) >
 SELECT strftime(timestamp, '%H:%M:%S') AS time, source, title, sentiment, category FROM latest""",
     "job_view_minutes": f"WITH {VIEW} {TIMELINE.format(source='view')}",
     "job_view_categories": f"WITH {VIEW} SELECT category, count(*) AS n FROM view GROUP BY category",
-    "job_alerts": f"""WITH {DAILY},
-past AS (SELECT a.key, a.win, a.n, count(*) AS seen, avg(b.n) AS mean, stddev_samp(b.n) AS spread
-  FROM daily a JOIN daily b ON a.key = b.key AND b.win < a.win AND b.win >= a.win - INTERVAL 7 DAY
-  GROUP BY ALL)
+    "job_alerts": f"""WITH {DAILY}, {exact_past('daily', 7, 'INTERVAL 7 DAY')}
 SELECT key, win, n, CASE WHEN n > 80 THEN 'high' ELSE 'low' END AS alert FROM daily WHERE n > 80 OR n < 55
-UNION ALL SELECT key, win, n, 'anomaly' FROM past
-WHERE seen = 7 AND spread > 0 AND abs((n - mean) / spread) > 2
+UNION ALL SELECT key, win, n, 'anomaly' FROM far
 UNION ALL SELECT a.key, a.win, a.n, 'pattern' FROM daily a
 JOIN daily b ON b.key = a.key AND b.win = a.win - INTERVAL 1 DAY AND b.n > 66
 JOIN daily c ON c.key = a.key AND c.win = a.win - INTERVAL 2 DAY AND c.n > 66
