@@ -160,11 +160,12 @@ def merge_alone(word, vocabulary, rank_of):
 
 
 class Encoder:
-    """Turns texts into ids; remembers the words it has met, up to KEPT_WORDS."""
+    """Turns texts into ids; remembers the words it has met, up to kept_words."""
 
-    def __init__(self, vocabulary):
+    def __init__(self, vocabulary, kept_words=KEPT_WORDS):
         import regex
 
+        self.kept_words = kept_words
         self.vocabulary = vocabulary
         self.words = regex.compile(WORD_PATTERN).findall
         special = sorted(vocabulary["special"], key=len, reverse=True)
@@ -206,7 +207,7 @@ class Encoder:
         """For each text its ids as bytes of 32-bit numbers."""
         split = [self.pieces(text) for text in texts]
         new = set().union(*split) - self.known.keys()
-        if len(self.known) + len(new) > KEPT_WORDS:
+        if len(self.known) + len(new) > self.kept_words:
             self.known.clear()
             new = set().union(*split)
         self.learn(new)
@@ -226,13 +227,14 @@ def pieces_of(lengths):
         yield start, len(lengths)
 
 
-def encode(df, path, text_col="text", ids_col="ids"):
+def encode(df, path, text_col="text", ids_col="ids", kept_words=KEPT_WORDS):
     """df without its text column and with ids_col, the token ids of the whole text.
 
     path: a byte-level BPE tokenizer file, read once by the driver and broadcast (the file bounds
     its size). Special tokens inside a text become their own ids. Null or empty text: no ids. An
     existing column named ids_col is replaced. Rows are independent, so repeated rows, ties and
-    empty tables need no rule. Arrow batches are cut into pieces of bounded size.
+    empty tables need no rule. Arrow batches are cut into pieces of bounded size; a task remembers
+    up to kept_words words.
     """
     shared = df.sparkSession.sparkContext.broadcast(load_vocabulary(path))
     rest = [c for c in df.columns if c not in (text_col, ids_col)]
@@ -242,7 +244,7 @@ def encode(df, path, text_col="text", ids_col="ids"):
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        encoder = Encoder(shared.value)
+        encoder = Encoder(shared.value, kept_words)
         for batch in batches:
             column = batch.column(len(rest))
             lengths = pc.fill_null(pc.binary_length(column), 0).to_pylist()
