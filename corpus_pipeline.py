@@ -9,6 +9,8 @@ from feedstream.llm.lines import remove_boilerplate
 from feedstream.llm.simhash import first_of_groups
 from feedstream.llm.toxicity import fitted, score
 
+KEPT_WORDS = 100_000  # fewer than encode alone remembers: the executors still hold what earlier stages took
+
 
 def drop_toxic(spark, docs, sf_dir):
     """Documents that the chain fitted on the labels of sf_dir does not call toxic."""
@@ -36,7 +38,8 @@ def drop_contaminated(spark, docs, sf_dir):
 def tokenize(spark, docs, sf_dir):
     """(doc_id, source, lang, n_tokens, ids, decoded_sha256): token ids of the whole texts."""
     path = tokenizer_path()
-    return decode(encode(docs.select("doc_id", "source", "lang", "text"), path), path).select(
+    ids = encode(docs.select("doc_id", "source", "lang", "text"), path, kept_words=KEPT_WORDS)
+    return decode(ids, path).select(
         "doc_id", "source", "lang", F.size("ids").cast("long").alias("n_tokens"), "ids",
         sha256(F.col("decoded")).alias("decoded_sha256"))
 
