@@ -10,6 +10,7 @@ from feedstream.reference_data import INPUT_TOPIC, RESULTS_TOPIC
 from feedstream.session import build_session
 from feedstream.sources.kafka import message_place, publish_options, read_topic, sink_options
 from feedstream.streaming.jobs import await_any
+from feedstream.streaming.monitor import ProgressLog
 from feedstream.streaming.sinks import batch_files, batch_kafka
 
 
@@ -36,6 +37,7 @@ def main(argv=None):
     args = arguments(argv)
     spark = build_session(f"feedstream-{args.job}")
     checkpoint = f"{args.folder}/checkpoints/{args.job}"
+    spark.streams.addListener(ProgressLog(spark, f"{args.folder}/progress"))
 
     def topic(name):
         return read_topic(
@@ -57,9 +59,8 @@ def main(argv=None):
     elif args.job == "analyze":
         lines = topic(args.input_topic)
         publish = batch_kafka(sink_options(args.servers, args.results_topic))
-        jobs.start_analysis(lines, publish, checkpoint)
         bad = batch_files(f"{args.folder}/bad_records")
-        jobs.start_quarantine(lines, bad, f"{args.folder}/checkpoints/quarantine")
+        jobs.start_analysis(lines, publish, checkpoint, quarantine=bad)
     elif args.job == "older":
         jobs.start_older_analysis(topic(args.input_topic), checkpoint)
     elif args.job == "alerts":

@@ -235,6 +235,41 @@ def sentiment_udf(scorer_factory, labels=SENTIMENT_LABELS, max_chars=None):
     return _text_udf(predict, "string")
 
 
+def apart(score, texts):
+    """[(result, None) or (None, error)] of each text. A list that ``score`` fails on is halved until the
+    texts that it fails on stand alone, so k bad ones of n cost some k * log(n) calls more."""
+    if not texts:
+        return []
+    try:
+        found = list(score(texts))
+        if len(found) != len(texts):
+            raise ValueError(f"{len(found)} results for {len(texts)} texts")
+        return [(x, None) for x in found]
+    except Exception as error:  # whatever a plugged-in model raises
+        if len(texts) == 1:
+            return [(None, f"{type(error).__name__}: {error}")]
+        half = len(texts) // 2
+        return apart(score, texts[:half]) + apart(score, texts[half:])
+
+
+def isolated_sentiment_udf(scorer_factory, labels=SENTIMENT_LABELS, max_chars=None):
+    """As sentiment_udf, with a struct (label, error): a text that the model raises on has no label but
+    the error, and the other texts of its batch keep their labels."""
+    import pandas as pd
+
+    model, names = _per_worker(scorer_factory), list(labels)
+
+    def predict(texts):
+        import numpy as np
+
+        found = apart(model(), texts.fillna("").str.slice(0, max_chars).tolist())
+        return pd.DataFrame({
+            "label": [None if e else names[int(np.argmax(x))] for x, e in found], "error": [e for _, e in found]}, dtype=object)
+
+    predict.__annotations__ = {"texts": pd.Series, "return": pd.DataFrame}
+    return F.pandas_udf(predict, "label string, error string")
+
+
 def embedding_udf(embedder_factory, max_chars=None):
     """Column function: text -> vector of a plugged-in model, for nearest_category.
 

@@ -7,7 +7,7 @@ or write is one of the batch writes in streaming.sinks.
 from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from feedstream.operators import alerts, metrics
 from feedstream.operators.parse import flag_corrupt, parse_articles, parse_results
@@ -33,11 +33,37 @@ def start_ingest(articles, ledger, publish, checkpoint, **start):
     return jobs.start(writer, **{"name": "ingest", "every": POLL_TRIGGER, **start})
 
 
-def start_analysis(lines, publish, checkpoint, variant=MAIN, show=True, **start):
-    """JSON articles -> analysed records -> publish and console, every 10 seconds."""
-    results = analyze(parse_articles(lines), variant)
-    writes = [publish, sinks.batch_console()] if show else [publish]
-    writer = jobs.publish_results(results, writes, checkpoint)
+def start_analysis(lines, publish, checkpoint, variant=MAIN, show=True, quarantine=None, **start):
+    """JSON articles -> analysed records -> publish and console, every 10 seconds.
+
+    With ``quarantine``, a batch write, a batch is read once and parted: records that are no JSON, and
+    those whose text a model raises on (classify.isolated_sentiment_udf), go there as (raw, error), and
+    all others are published.
+    """
+    shown = [sinks.batch_console()] if show else []
+    if quarantine is None:
+        results = analyze(parse_articles(lines), variant)
+        writer = jobs.publish_results(results, [publish, *shown], checkpoint)
+        return jobs.start(writer, **{"name": "analysis", "every": ANALYSIS_TRIGGER, **start})
+
+    def part(batch, batch_id):
+        flagged = flag_corrupt(batch, keep=["json"])
+        results = analyze(flagged.where("not is_corrupt"), variant, keep=["json"])
+        broken = flagged.where("is_corrupt").select("raw", F.lit("not JSON").alias("error"))
+
+        def write_parts(df, i):
+            if variant.sentiment is not None and isinstance(df.schema["sentiment"].dataType, T.StructType):
+                failed = df.where("sentiment.error is not null").select(F.col("json").alias("raw"), "sentiment.error")
+                quarantine(broken.unionByName(failed), i)
+                df = df.where("sentiment.error is null").withColumn("sentiment", F.col("sentiment.label"))
+            else:
+                quarantine(broken, i)
+            for one in [publish, *shown]:
+                one(df.drop("json"), i)
+
+        sinks.to_all(write_parts)(results, batch_id)
+
+    writer = sinks.batch_sink(lines.select("json"), sinks.to_all(part), checkpoint)
     return jobs.start(writer, **{"name": "analysis", "every": ANALYSIS_TRIGGER, **start})
 
 

@@ -3,6 +3,7 @@
 from dataclasses import replace
 from datetime import datetime, timezone
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from feedstream.functions.categories import label_text
@@ -23,6 +24,7 @@ from feedstream.sources import feeds
 from feedstream.sources.files import read_records
 from feedstream.sources.ledger import create_ledger
 from feedstream.streaming import jobs, sinks
+from feedstream.streaming.monitor import ProgressLog, read_progress
 from workload import inputs
 from workload.inputs import table
 
@@ -703,6 +705,73 @@ def job_analysis(spark, sf_dir):
     return results.drop("processing_time").withColumns(big("word_count", "text_length"))
 
 
+def raising_scorer():
+    """The word-list scorer, which fails on every batch that holds a text of a length that 7 divides."""
+    inner = word_list_scorer()
+
+    def factory():
+        score = inner()
+
+        def checked(texts):
+            if any(len(t) % 7 == 0 for t in texts):
+                raise ValueError("length")
+            return score(texts)
+
+        return checked
+
+    return factory
+
+
+@query
+def job_isolation(spark, sf_dir):
+    """Published records and those set aside, with the reason: a model that raises on some texts, and
+    records that are no JSON."""
+    out = work_dir(spark, "job_isolation")
+    good = inputs.article_json(spark, sf_dir)
+    broken = inputs.documents(spark, sf_dir).select(F.concat(F.lit("no JSON "), "doc_id").alias("json"))
+    good.union(broken).repartition(4).write.text(f"{out}/topic")
+    lines = read_records(spark, f"{out}/topic", "text", "json string", streaming=True, maxFilesPerTrigger=1)
+    variant = replace(lexicon(), sentiment=classify.isolated_sentiment_udf(raising_scorer()))
+    finish(wired.start_analysis(
+        lines, sinks.batch_json_lines(f"{out}/results"), f"{out}/checkpoint", variant, show=False,
+        quarantine=sinks.batch_files(f"{out}/bad"), **ONCE))
+    results = parse.parse_results(read_records(spark, f"{out}/results", "text", "json string"))
+    bad = spark.read.schema("raw string, error string").parquet(f"{out}/bad")
+    no_text = F.lit(None).cast("string")
+    return results.select("id", "sentiment", no_text.alias("raw"), no_text.alias("error")).unionByName(bad.select(
+        F.get_json_object("raw", "$.id").alias("id"), no_text.alias("sentiment"),
+        F.when(F.col("error") == "not JSON", F.col("raw")).alias("raw"), "error"))
+
+
+@query
+def job_progress(spark, sf_dir):
+    """Input rows of two queries as their progress reports them, one of which fails."""
+    out = work_dir(spark, "job_progress")
+    log = ProgressLog(spark, f"{out}/progress")
+    spark.streams.addListener(log)
+    try:
+        results = result_stream(spark, sf_dir)
+
+        def fail(batch, batch_id):
+            raise ValueError("no place to write to")
+
+        writers = {"counts": jobs.running_counters(results, f"{out}/table", f"{out}/first"),
+                   "fails": sinks.batch_sink(results, fail, f"{out}/second")}
+        for name, writer in writers.items():
+            started = jobs.start(writer, name=name, available_now=True)
+            try:
+                started.awaitTermination()
+            except StreamingQueryException:
+                pass
+        if not log.wait(len(writers)):
+            raise TimeoutError("the ends of the queries were not reported")
+    finally:
+        spark.streams.removeListener(log)
+    table = read_progress(spark, f"{out}/progress")
+    return table.groupBy("query").agg(
+        F.sum("input_rows").alias("input_rows"), F.count_if(F.col("error").contains("no place")).alias("failures"))
+
+
 @query
 def job_processing_time(spark, sf_dir):
     """Records per source whose times lie within the run: ingest in seconds, then processing."""

@@ -338,6 +338,12 @@ UNION ALL SELECT source, id, NULL FROM hn WHERE "by" <> ''""",
 SELECT DISTINCT hn.id, hn.title FROM hn JOIN listed ON hn.id = CAST(listed.id AS VARCHAR)
 WHERE hn."by" <> '' AND pos < 200""",
     "job_analysis": ANALYSIS_SELECT,
+    "job_isolation": f"""WITH {ANALYSED}
+SELECT id, CASE WHEN length(text_combined) % 7 <> 0 THEN sentiment END AS sentiment, NULL AS raw,
+  CASE WHEN length(text_combined) % 7 = 0 THEN 'ValueError: length' END AS error FROM analysed
+UNION ALL SELECT NULL, NULL, 'no JSON ' || doc_id, 'not JSON' FROM documents""",
+    "job_progress": """SELECT 'counts' AS query, count(*) AS input_rows, 0 AS failures FROM events
+UNION ALL SELECT 'fails', 0, 1""",
     "job_processing_time": f"""WITH {ITEMS}
 SELECT source, count(*) AS n, count(*) AS in_order FROM hn WHERE length(title) > 10 GROUP BY source""",
     "job_view_recent": f"""WITH {VIEW}, latest AS ({RECENT.format(n=15)})
