@@ -1,0 +1,80 @@
+"""A model that raises on single texts, records that are no JSON, and the table of query progress."""
+
+import json
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from feedstream.operators.classify import apart, isolated_sentiment_udf
+from feedstream.plans import jobs
+from feedstream.plans.analysis import MAIN
+from feedstream.sources.files import read_records
+from feedstream.streaming import sinks
+
+
+@pytest.mark.parametrize("bad", [(), (0,), (6,), (2, 3), tuple(range(7))])
+def test_failing_texts_stand_alone(bad):
+    calls = []
+
+    def score(texts):
+        calls.append(len(texts))
+        if any(t in bad for t in texts):
+            raise RuntimeError("bad text")
+        return [t * 10 for t in texts]
+
+    got = apart(score, list(range(7)))
+    assert got == [(None, "RuntimeError: bad text") if t in bad else (t * 10, None) for t in range(7)]
+    assert len(calls) <= 1 + 6 * len(bad)
+    assert apart(score, []) == []
+
+
+def test_too_few_results_are_an_error():
+    assert apart(lambda texts: [], ["a"]) == [(None, "ValueError: 0 results for 1 texts")]
+
+
+def scorer():
+    def factory():
+        def score(texts):
+            if any("poison" in t for t in texts):
+                raise ValueError("poison")
+            return [[0.0, 1.0, 0.0] for _ in texts]
+
+        return score
+
+    return factory
+
+
+def test_labels_and_errors(spark):
+    rows = spark.createDataFrame([("fine",), ("poison",), (None,), ("",)] * 50, "text string").coalesce(1)
+    label = isolated_sentiment_udf(scorer(), labels=("a", "b", "c"))
+    got = rows.select("text", label("text").alias("s")).groupBy("text", "s.label", "s.error").count().collect()
+    assert {(r.text, r.label, r.error, r["count"]) for r in got} == {
+        ("fine", "b", None, 50), ("poison", None, "ValueError: poison", 50), (None, "b", None, 50), ("", "b", None, 50)}
+
+
+def test_quarantine_in_one_reading(spark, tmp_path):
+    topic = tmp_path / "topic"
+    topic.mkdir()
+    records = [json.dumps({"id": str(i), "text_combined": f"a long enough {w}"}) for i, w in enumerate(["text", "poison", "text"])]
+    (topic / "a").write_text("\n".join([records[0], "{broken", *records[1:]]))
+    lines = read_records(spark, str(topic), "text", "json string", streaming=True)
+    variant = replace(MAIN, sentiment=isolated_sentiment_udf(scorer(), labels=("a", "b", "c")))
+    jobs.start_analysis(
+        lines, sinks.batch_files(f"{tmp_path}/out"), f"{tmp_path}/c", variant, show=False,
+        quarantine=sinks.batch_files(f"{tmp_path}/bad"), every=None, available_now=True).awaitTermination()
+    assert {(r.id, r.sentiment) for r in spark.read.parquet(f"{tmp_path}/out").collect()} == {("0", "b"), ("2", "b")}
+    bad = {(r.raw, r.error) for r in spark.read.parquet(f"{tmp_path}/bad").select("raw", "error").collect()}
+    assert bad == {("{broken", "not JSON"), (records[1], "ValueError: poison")}
+
+
+def test_quarantine_without_a_plugged_model(spark, tmp_path):
+    topic = tmp_path / "topic"
+    topic.mkdir()
+    (topic / "a").write_text('{"id": "1", "text_combined": "a long enough text"}\nnothing')
+    lines = read_records(spark, str(topic), "text", "json string", streaming=True)
+    jobs.start_analysis(
+        lines, sinks.batch_files(f"{tmp_path}/out"), f"{tmp_path}/c", show=False,
+        quarantine=sinks.batch_files(f"{tmp_path}/bad"), every=None, available_now=True).awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/out").select("id").collect() == [("1",)]
+    assert spark.read.parquet(f"{tmp_path}/bad").where(F.col("error") == "not JSON").count() == 1
