@@ -16,7 +16,7 @@ from feedstream.streaming.sinks import batch_files, batch_kafka
 
 def arguments(argv=None):
     parser = argparse.ArgumentParser(prog="feedstream")
-    parser.add_argument("job", choices=["ingest", "analyze", "older", "view", "alerts"])
+    parser.add_argument("job", choices=["ingest", "analyze", "older", "view", "alerts", "series"])
     parser.add_argument("--servers", required=True, help="Kafka brokers")
     parser.add_argument("--folder", required=True, help="shared folder for checkpoints and tables")
     parser.add_argument("--input-topic", default=INPUT_TOPIC)
@@ -63,6 +63,8 @@ def main(argv=None):
         jobs.start_analysis(lines, publish, checkpoint, quarantine=bad)
     elif args.job == "older":
         jobs.start_older_analysis(topic(args.input_topic), checkpoint)
+    elif args.job == "series":
+        jobs.start_series(topic(args.results_topic), f"{args.folder}/series", checkpoint)
     elif args.job == "alerts":
         rules = [] if args.alert_over is None else [("count", ">", args.alert_over, "high")]
         jobs.start_alerts(

@@ -99,6 +99,12 @@ def start_view(lines, path, checkpoint, timestamp=None, **start):
     ]
 
 
+def start_series(lines, path, checkpoint, tags=("source", "sentiment"), values=("word_count", "text_length"), **start):
+    """JSON results -> roll-ups of their numbers by minute and tags, read with jobs.merged_series."""
+    writer = jobs.running_series(parse_results(lines), path, checkpoint, "processing_time", list(tags), list(values))
+    return jobs.start(writer, **{"name": "series", "every": VIEW_TRIGGER, **start})
+
+
 def start_alerts(
         lines, path, checkpoint, rules=(), run=3, threshold=None, width="1 minute", history=7, **start):
     """JSON results -> counts of a source per window -> tables of alerts under ``path``.

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from feedstream.operators.alerts import time_series
 from feedstream.operators.dedup import drop_repeats, first_unseen
 from feedstream.operators.metrics import counters, recent, roll_up, timeline
 from feedstream.reference_data import RECENT_KEPT
@@ -83,6 +84,35 @@ def running_timeline_parts(view, path, checkpoint, timestamp="timestamp"):
     return batch_sink(view, write, checkpoint)
 
 
+def running_series(records, path, checkpoint, timestamp, tags, values):
+    """Roll-ups of whole-numbered values by minute and tags, as parts that add up, however late a record
+    is. Read them with merged_series, by minute or anything coarser."""
+    def write(batch, batch_id):
+        series = time_series(batch, timestamp, tags, values).where("value is not null")
+        segments.append(
+            _rolled(series, "minute", tags, {"n": F.count("value"), "total": F.sum(F.col("value").cast("decimal(18,0)")),
+                                             "least": F.min("value"), "most": F.max("value")}),
+            path, batch_id, lambda rows: _merged(rows, "minute", tags))
+
+    return batch_sink(records, write, checkpoint)
+
+
+def merged_series(spark, path, unit, *tags):
+    """(ts, tags..., metric, n, total, least, most) by minute, hour or day, of the last run. A coarser
+    roll-up is made from the stored minutes."""
+    return _merged(segments.read_run(spark, path), unit, tags)
+
+
+def _merged(rows, unit, tags):
+    return _rolled(rows, unit, tags, {"n": F.sum("n"), "total": F.sum("total"), "least": F.min("least"), "most": F.max("most")})
+
+
+def _rolled(rows, unit, tags, sums):
+    at = F.date_trunc(unit, "ts").alias("ts")
+    found = rows.groupBy(at, *tags, "metric").agg(*[c.alias(name) for name, c in sums.items()])
+    return found.withColumn("total", F.col("total").cast("decimal(38,0)"))
+
+
 def running_recent(view, order, path, checkpoint, n=RECENT_KEPT):
     """The last n records so far by the order columns and then the place in the batch (ROW): those
     of the batch before, merged with the new ones."""

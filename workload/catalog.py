@@ -818,3 +818,20 @@ def job_alerts(spark, sf_dir):
         finish(wired.start_alerts(
             lines, f"{out}/alerts", f"{out}/{checkpoint}", RULES, threshold=66, width="1 day", **ONCE))
     return wired.read_alerts(spark, f"{out}/alerts").withColumn("win", ntz("win"))
+
+
+@query
+def job_timeseries(spark, sf_dir):
+    """Roll-ups by hour and by day, from the minutes of several unordered batches; the first run stops
+    and its checkpoint goes on with files that landed late."""
+    out = work_dir(spark, "job_timeseries")
+    lines = inputs.result_topic(spark, sf_dir, f"{out}/topic")
+    late = inputs.results(spark, sf_dir).where("source = 'error'").select(to_json_record(*RESULT_COLUMNS).alias("json"))
+    for again in (False, True):
+        if again:
+            late.write.mode("append").parquet(f"{out}/topic")
+        finish(wired.start_series(lines, f"{out}/series", f"{out}/checkpoint", **ONCE))
+    tags = ["source", "sentiment"]
+    both = [jobs.merged_series(spark, f"{out}/series", unit, *tags).withColumn("unit", F.lit(unit)) for unit in ("hour", "day")]
+    return both[0].unionByName(both[1]).select(
+        "unit", ntz("ts").alias("ts"), *tags, "metric", "n", *[F.col(c).cast("long").alias(c) for c in ("total", "least", "most")])

@@ -346,6 +346,15 @@ UNION ALL SELECT NULL, NULL, 'no JSON ' || doc_id, 'not JSON' FROM documents""",
 UNION ALL SELECT 'fails', 0, 1""",
     "job_processing_time": f"""WITH {ITEMS}
 SELECT source, count(*) AS n, count(*) AS in_order FROM hn WHERE length(title) > 10 GROUP BY source""",
+    "job_timeseries": f"""WITH {RESULTS},
+landed AS (SELECT * FROM results UNION ALL SELECT * FROM results WHERE source = 'error'),
+long AS (
+  SELECT processing_time, source, sentiment, 'word_count' AS metric, CAST(word_count AS BIGINT) AS v FROM landed
+  UNION ALL SELECT processing_time, source, sentiment, 'text_length', CAST(text_length AS BIGINT) FROM landed),
+units(unit) AS (VALUES ('hour'), ('day'))
+SELECT unit, CAST(date_trunc(unit, processing_time) AS TIMESTAMP) AS ts, source, sentiment, metric, count(*) AS n,
+  CAST(sum(v) AS BIGINT) AS total, min(v) AS least, max(v) AS most
+FROM long, units WHERE v IS NOT NULL GROUP BY ALL""",
     "job_view_recent": f"""WITH {VIEW}, latest AS ({RECENT.format(n=15)})
 SELECT strftime(timestamp, '%H:%M:%S') AS time, source, title, sentiment, category FROM latest""",
     "job_view_minutes": f"WITH {VIEW} {TIMELINE.format(source='view')}",
