@@ -8,8 +8,9 @@ from feedstream.llm.common import stored
 def components(edges):
     """(node, component) of every node of edges (a, b); component is the smallest node reachable.
 
-    Each round sends a node to its smallest neighbour and redraws the edges between the targets,
-    which leaves at most half of the nodes, so the rounds grow with the logarithm of the input. A
+    Each round sends a node to its smallest neighbour and redraws the edges between the targets. On
+    groups whose nodes are numbered at random the rounds grow with the logarithm of the input; a chain
+    whose nodes ascend along it loses one node a round, so it takes as many rounds as it has links. A
     node with very many neighbours meets only partial minimums and joins whose two sides are
     exchanged tables, which adaptive execution can split. Null ends and loops are ignored.
     """
