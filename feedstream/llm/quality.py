@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from feedstream.llm.common import keyed, stored
+from feedstream.llm.common import stored
 from feedstream.llm.learn import (
     Matrix, best_threshold, bounded_sample, fit, folds_of, out_of_fold, select_features, sigmoid, with_features)
 
@@ -95,30 +95,33 @@ def co_train(labelled, pool, features, rounds=ROUNDS, share=SHARE, sample=SAMPLE
     Each round both views are fitted; each scores all unlabelled rows and names those it is surest
     of, in the proportion of the classes, and the other view learns from them from then on, from
     at most about `sample` of them in all. Views are calibrated and combined by logistic
-    regressions on out-of-fold scores of the labelled rows.
+    regressions on scores of the labelled rows by models that have learned from the other folds
+    and from the same named rows as the view itself.
     """
     import numpy as np
 
     y = labelled["good"].to_numpy(dtype=float)
     views = [("x", max(features, 1)), ("meta", META)]
-    own = [Matrix(labelled[c].tolist(), n) for c, n in views]
     taught = [{}, {}]  # doc_id -> features and class, per view
 
-    def fitted(view):
+    def lessons(view):
         told = [taught[view][r] for r in sorted(taught[view])]
         lists = labelled[views[view][0]].tolist() + [r[0] for r in told]
-        return fit(Matrix(lists, own[view].width), np.concatenate([y, [r[1] for r in told]]))
+        return Matrix(lists, views[view][1]), np.concatenate([y, [r[1] for r in told]])
 
     good = y.mean() if len(y) else 0.5
     for _ in range(rounds):
         for view in (0, 1):
             name, width = views[view]
-            for r in named_rows(pool, name, width, fitted(view), good, share, sample / rounds):
+            for r in named_rows(pool, name, width, fit(*lessons(view)), good, share, sample / rounds):
                 taught[1 - view].setdefault(r["doc_id"], (r[views[1 - view][0]], r["good"]))
     fold = folds_of(labelled["doc_id"], FOLDS)
-    models, calibrations, calibrated = [fitted(0), fitted(1)], [], []
+    models, calibrations, calibrated = [], [], []
     for view in (0, 1):
-        held_out = out_of_fold(own[view], y, fold, FOLDS)
+        matrix, told = lessons(view)
+        models.append(fit(matrix, told))
+        always = np.full(len(told) - len(y), -1)  # in no fold, so every model learns from them
+        held_out = out_of_fold(matrix, told, np.concatenate([fold, always]), FOLDS)[:len(y)]
         one = Matrix([[]] * len(y), 1, held_out[:, None])
         calibrations.append(fit(one, y))
         calibrated.append(one.times(calibrations[-1]))
@@ -130,22 +133,41 @@ def co_train(labelled, pool, features, rounds=ROUNDS, share=SHARE, sample=SAMPLE
             "score": final, "y": y}
 
 
-def train(docs, labels, sample=SAMPLE, features=FEATURES):
-    """Models from labels (doc_id, quality 0/1) and documents. Features are selected on all labelled
-    rows and all unlabelled ones are scored; models are fitted on samples of at most about `sample`
-    labelled rows and as many that the views name. Rows with a null label count as unlabelled."""
-    named = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
-        F.max(F.col("quality").cast("int")).alias("good"))
-    once = docs.where(F.col("doc_id").isNotNull()).select(
-        "doc_id", F.coalesce("text", F.lit("")).alias("text"), "source", "lang", "n_chars").dropDuplicates(["doc_id"])
-    known = stored(once.join(named, "doc_id"), "quality-labelled")
+def with_views(docs, number, id_col="doc_id", text_col="text"):
+    """(doc_id, rk, meta, x) of every row of docs, straight from the scan."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(
+        F.col(id_col).alias("doc_id"), F.xxhash64(F.col(id_col), text).alias("rk"), "source", "lang", "n_chars",
+        text.alias("text"))
+    return with_features(metadata(rows), number)
+
+
+def co_trained(docs, labels, sample=SAMPLE, features=FEATURES):
+    """(model, rows): what labels (doc_id, quality 0/1) teach, and the stored features of all docs.
+
+    Features are selected on all labelled rows. Those of all rows are derived once, and the sample,
+    the pool of unlabelled rows and the final scores are all drawn from them. Of several rows of an
+    id the one with the smallest (rk, meta) teaches; rows with a null label count as unlabelled.
+    """
+    named = stored(labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.max(F.col("quality").cast("int")).alias("good")), "quality-labels")
+    known = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(named, "doc_id")
     number = select_features(known, ["good"], features)
-    chosen = bounded_sample(known, sample, 8)
-    labelled = with_features(metadata(chosen), number).toPandas().sort_values("doc_id")
+    rows = stored(with_views(docs, number), "quality-features")
     draw = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 40)) / float(1 << 40)
-    pool = stored(with_features(
-        metadata(once.join(named, "doc_id", "left_anti")).withColumn("draw", draw), number), "quality-pool")
-    return co_train(labelled, pool, len(number), sample=sample) | {"number": number}
+    once = stored(
+        rows.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(F.struct("rk", "meta", "x")).alias("r"))
+        .join(named, "doc_id", "left").select("doc_id", "good", draw.alias("draw"), "r.x", "r.meta"), "quality-once")
+    labelled = bounded_sample(once.where("good is not null"), sample, 8).select(
+        "doc_id", "good", "x", "meta").toPandas().sort_values("doc_id")
+    model = co_train(labelled, once.where("good is null").drop("good"), len(number), sample=sample)
+    return model | {"number": number}, rows
+
+
+def train(docs, labels, sample=SAMPLE, features=FEATURES):
+    """Models from labels and documents (`co_trained`), fitted on samples of at most about `sample`
+    labelled rows and as many that the views name; all unlabelled rows are scored in every round."""
+    return co_trained(docs, labels, sample, features)[0]
 
 
 def score(docs, model, id_col="doc_id", text_col="text"):
@@ -155,11 +177,11 @@ def score(docs, model, id_col="doc_id", text_col="text"):
     the threshold with the best F1 for bad rows. Null metadata has its own features, null or empty
     texts none; repeated rows get equal results; an empty table gives no rows.
     """
-    key = keyed(docs, id_col, text_col).columns
-    source = docs.select(
-        F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), "source", "lang", "n_chars")
-    rows = with_features(metadata(source.withColumn("rk", F.xxhash64("doc_id", "text")).select(
-        *key[:2], "source", "lang", "n_chars", "text")), model["number"])
+    return score_views(with_views(docs, model["number"], id_col, text_col), model)
+
+
+def score_views(rows, model):
+    """The result of `score` for rows (doc_id, rk, meta, x)."""
     shared = rows.sparkSession.sparkContext.broadcast(
         {k: model[k] for k in ("views", "calibrations", "both")} | {"width": max(len(model["number"]), 1)})
 
@@ -187,5 +209,6 @@ def score(docs, model, id_col="doc_id", text_col="text"):
 def op8(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return score(docs, train(docs, labels)).select(
+    model, rows = co_trained(docs, labels)
+    return score_views(rows, model).select(
         "doc_id", *[F.round(c, 6).alias(c) for c in ("p_text", "p_meta", "quality")], "keep")

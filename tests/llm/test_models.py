@@ -79,3 +79,30 @@ def test_rare_unlabelled_rows_teach(spark):
     model = quality.train(docs, labels, sample=700)
     spot = quality.metadata(docs.where("source = 'rare'")).first().meta[0]
     assert model["views"][1]["w"][spot] < 0
+
+
+def test_values_of_edge_rows(spark, tables):
+    """Null and empty texts score alike, repeated rows too, and features come from whole texts."""
+    docs, known, _ = tables
+    model, stored_rows = quality.co_trained(docs, known.select("doc_id", "quality"))
+    kept = {r.doc_id: r.quality for r in quality.score_views(stored_rows, model).collect()}
+    again = {r.doc_id: r.quality for r in quality.score(docs, model).collect()}
+    assert kept == again
+    rows = [(1, None, "en", "a", 5), (2, "", "en", "a", 5), (3, "x " * 500_000 + "spam", "en", "a", 5), (4, None, None, None, None),
+            (1, None, "en", "a", 5)]
+    edge = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {}
+    for r in quality.score(edge, model).collect():
+        got.setdefault(r.doc_id, []).append((r.p_text, r.p_meta, r.quality, r.keep))
+    assert got[1] == [got[2][0]] * 2 and len(got) == 4
+    assert all(keep == (q >= model["threshold"]) for v in got.values() for *_, q, keep in v)
+
+
+def test_calibrated_scores_match_shares(spark, tables):
+    """Among held-out rows the mean calibrated score of a view is near the share of good rows."""
+    docs, known, held_out = tables
+    model = quality.train(docs, known.select("doc_id", "quality"))
+    r = quality.score(docs, model).withColumnRenamed("quality", "both").join(held_out, "doc_id").agg(
+        F.avg("p_text").alias("text"), F.avg("p_meta").alias("meta"), F.avg("both").alias("both"),
+        F.avg("quality").alias("good")).first()
+    assert all(abs(r[c] - r.good) < 0.05 for c in ("text", "meta", "both")), r
