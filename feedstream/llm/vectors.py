@@ -1,9 +1,10 @@
-"""Near-duplicate vectors by complete comparison of the pairs of shards that can hold links.
+"""Near-duplicate vectors by robust-pruned flat graphs on overlapping shards.
 
-Vectors of a label belong to their nearest centroid. A vector meets another shard where neither its
-distance from the plane between both centroids nor the triangle inequality rules links out, so no
-link is lost. Every link is verified by cosine in double precision, and recall is audited against
-brute force.
+Vectors of a label are dealt to their nearest centroids; each shard builds a graph whose adjacency is
+robustly pruned, a vector's lists from its shards are united, and a search runs greedily from the
+shard's medoid and then spreads over everything within range. Every link is verified by cosine in
+double precision. Recall is audited per label against brute force. Labels where it falls short, such as
+dense groups over many shards, are completed: their shards are compared in all pairs that can hold links.
 """
 
 from pyspark.sql import functions as F
@@ -14,6 +15,11 @@ from feedstream.llm.components import components, forest
 SHARD = 1500  # vectors per shard that the number of centroids aims at
 MAX_CENTROIDS = 8192  # bounds what is broadcast
 CENTROID_SAMPLE = 40  # sampled vectors per centroid, for fitting the centroids
+OVERLAP = 2  # shards that a vector is dealt to
+DEGREE = 24  # neighbours that pruning leaves
+ALPHA = 1.2
+BEAM = 24
+SLACK = 0.08  # the search spreads over vectors this much below the threshold
 BLOCK = 256  # vectors compared with a shard at once
 CLOSE = 1e-6  # products of unit vectors this near the threshold are verified
 QUERY_STEP = 50  # the audit asks for vectors whose id is divisible by this
@@ -58,8 +64,12 @@ def centroids(classes):
         k = min(want[label], len(v))
         c = v[rng.choice(len(v), k, replace=False)]
         for _ in range(8):
-            near = (v @ c.T).argmax(axis=1)
-            c = np.stack([v[near == j].mean(axis=0) if (near == j).any() else c[j] for j in range(k)])
+            total, size = np.zeros_like(c), np.zeros(k)
+            for at in range(0, len(v), BLOCK):
+                near = (v[at:at + BLOCK] @ c.T).argmax(axis=1)
+                np.add.at(total, near, v[at:at + BLOCK])
+                np.add.at(size, near, 1)
+            c = np.where(size[:, None] > 0, total / np.maximum(size, 1)[:, None], c)
             c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
         return pd.DataFrame({"label": label, "c": list(c)})
 
@@ -88,9 +98,21 @@ def apart(u, c):
     return np.sqrt(np.maximum((u * u).sum(axis=1)[:, None] + (c * c).sum(axis=1)[None] - 2 * u @ c.T, 0))
 
 
-def extents(classes, centers):
-    """label -> (first shard, number of shards, radius) of each centroid: vectors of a centroid with
-    more than two shards should hold are dealt to several by hash."""
+def nearest(u, c, overlap):
+    """The places of the `overlap` nearest centroids of each vector, nearest first."""
+    import numpy as np
+
+    sims = u @ c.T
+    if overlap == 1:
+        return sims.argmax(axis=1)[:, None]
+    some = np.argpartition(-sims, min(overlap, len(c)) - 1, axis=1)[:, :overlap]
+    return np.take_along_axis(some, np.argsort(-np.take_along_axis(sims, some, axis=1), axis=1, kind="stable"), axis=1)
+
+
+def extents(classes, centers, overlap=1):
+    """label -> (first shard, number of shards, radius) of each centroid, where a vector belongs to
+    its `overlap` nearest: vectors of a centroid with more than two shards should hold are dealt to
+    several by hash."""
     import numpy as np
 
     shared = classes.sparkSession.sparkContext.broadcast(centers)
@@ -101,10 +123,10 @@ def extents(classes, centers):
         for batch in batches:
             for _, name, c, u in by_centroid(batch, shared.value):
                 if c is not None:
-                    far = apart(u, c)
-                    near = (u @ c.T).argmax(axis=1)
+                    near = nearest(u, c, overlap)
+                    far = np.take_along_axis(apart(u, c), near, axis=1)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([name] * len(u)), pa.array(near, pa.int64()), pa.array(far[np.arange(len(u)), near])],
+                        [pa.array([name] * near.size), pa.array(near.ravel(), pa.int64()), pa.array(far.ravel())],
                         ["label", "centroid", "far"])
 
     rows = classes.select("label", "v").mapInArrow(run, "label string, centroid long, far double").groupBy(
@@ -119,6 +141,119 @@ def extents(classes, centers):
     return found
 
 
+def overlapping(classes, centers, overlap=OVERLAP):
+    """(label, shard, node, members, home, every, v): every class in a shard of each of its nearest
+    centroids, `overlap` of them, listed in every; home marks the nearest. A label without centroids
+    is one shard."""
+    shared = classes.sparkSession.sparkContext.broadcast((centers, extents(classes, centers, overlap)))
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            nodes = batch.column("node").to_numpy()
+            for places, name, c, u in by_centroid(batch, shared.value[0]):
+                every = np.zeros((len(u), 1), np.int64)
+                if c is not None:
+                    first, count, _ = shared.value[1][name]
+                    near = nearest(u, c, overlap)
+                    salt = nodes[places].view(np.uint64)[:, None] % count[near].astype(np.uint64)
+                    every = first[near] + salt.astype(np.int64)
+                width = every.shape[1]
+                where = pa.array(np.repeat(places, width))
+                lists = pa.ListArray.from_arrays(
+                    pa.array(np.arange(every.size + 1) * width, pa.int32()), pa.array(np.repeat(every, width, axis=0).ravel()))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("label").take(where), pa.array(every.ravel()), batch.column("node").take(where),
+                     batch.column("members").take(where), pa.array(np.arange(every.size) % width == 0), lists,
+                     batch.column("v").take(where)],
+                    ["label", "shard", "node", "members", "home", "every", "v"])
+
+    return classes.select("label", "node", "members", "v").mapInArrow(
+        run, "label string, shard long, node long, members long, home boolean, every array<long>, v array<double>")
+
+
+def distance(sims):
+    import numpy as np
+
+    return np.sqrt(np.maximum(2 - 2 * sims, 0))
+
+
+def prune(order, sims, v):
+    """Robust pruning of candidates in order of nearness: the nearest one stays and drops those
+    that are clearly nearer to it."""
+    kept = []
+    while len(order) and len(kept) < DEGREE:
+        best = order[0]
+        kept.append(int(best))
+        order = order[1:]
+        order = order[distance(sims[order]) <= ALPHA * distance(v[order] @ v[best])]
+    return kept
+
+
+def build_graph(v):
+    """Adjacency lists of one shard: candidates by similarity, robustly pruned, edges both ways."""
+    import numpy as np
+
+    near = [set() for _ in range(len(v))]
+    width = min(len(v) - 1, 3 * DEGREE)
+    for at in range(0, len(v) if width else 0, BLOCK):
+        sims = v[at:at + BLOCK] @ v.T
+        sims[np.arange(len(sims)), at + np.arange(len(sims))] = -2
+        top = np.argpartition(-sims, width - 1, axis=1)[:, :width]
+        for r in range(len(sims)):
+            order = top[r][np.argsort(-sims[r, top[r]], kind="stable")]
+            for other in prune(order, sims[r], v):
+                near[at + r].add(other)
+                near[other].add(at + r)
+    return near
+
+
+def adjacency(dealt):
+    """(label, node, near): a class's lists of neighbours from its shards, united."""
+    def run(pdf):
+        import pandas as pd
+
+        pdf, _, v = pack_shard(pdf)
+        nodes = pdf["node"].to_numpy()
+        near = [nodes[sorted(n)] for n in build_graph(v)]
+        return pd.DataFrame({"label": pdf["label"].iloc[0], "node": nodes, "near": near})
+
+    lists = dealt.groupBy("label", "shard").applyInPandas(run, "label string, node long, near array<long>")
+    return lists.groupBy("label", "node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
+
+
+def range_search(query, v, near, start, threshold):
+    """Places within the threshold of the query: greedy search from start with a beam, then, step by
+    step, over all neighbours of what lies within the threshold less the slack."""
+    import heapq
+
+    import numpy as np
+
+    first = float(v[start] @ query)
+    sims = np.full(len(v), -np.inf)
+    sims[start] = first
+    best, heap = [(first, start)], [(-first, start)]
+    while heap:
+        s, at = heapq.heappop(heap)
+        if len(best) >= BEAM and -s < best[0][0]:
+            break
+        fresh = near[at][sims[near[at]] == -np.inf]
+        sims[fresh] = v[fresh] @ query
+        for n, sim in zip(fresh.tolist(), sims[fresh].tolist(), strict=True):
+            if len(best) < BEAM or sim > best[0][0]:
+                heapq.heappush(heap, (-sim, n))
+                (heapq.heappush if len(best) < BEAM else heapq.heapreplace)(best, (sim, n))
+    frontier = np.flatnonzero(sims >= threshold - SLACK)
+    while len(frontier):
+        fresh = np.concatenate([near[n] for n in frontier])
+        fresh = np.unique(fresh[sims[fresh] == -np.inf])
+        sims[fresh] = v[fresh] @ query
+        frontier = fresh[sims[fresh] >= threshold - SLACK]
+    return np.flatnonzero(sims >= threshold - CLOSE)
+
+
 def shards(classes, centers, threshold):
     """(label, shard, with, node, members, home, v): every class in the pair of its own shard with
     itself (home) and in every pair, in order, of its own shard and another that can hold links of
@@ -188,15 +323,76 @@ def asked(step=QUERY_STEP):
     return F.pmod(F.xxhash64("node"), F.lit(step)) == 0
 
 
-def found_links(dealt, step, threshold):
-    """Rows (node, partners, other) of what the pairs of shards hold: partners, the members of linked
-    classes, of every node; other, edges that span what is linked (partners null); and all links of
-    the nodes that the audit asks for (partners -1).
-    """
+LINKS = "label string, node long, partners long, other long"
+
+
+def link_rows(label, nodes, partners, root, i, j):
+    """Rows of LINKS of one task: partners by place, each place's root in the forest, asked links i, j."""
+    import numpy as np
+    import pandas as pd
+
+    some, inner = np.flatnonzero(partners), np.flatnonzero(root != np.arange(len(nodes)))
+    sizes = (len(some), len(inner), len(i))
+
+    def column(values, null):
+        return pd.arrays.IntegerArray(np.concatenate(values).astype(np.int64), np.repeat(null, sizes))
+
+    return pd.DataFrame({
+        "label": label, "node": np.concatenate([nodes[some], nodes[inner], nodes[i]]),
+        "partners": column([partners[some], np.zeros(len(inner)), np.full(len(i), -1)], [False, True, False]),
+        "other": column([np.zeros(len(some), dtype=np.int64), nodes[root[inner]], nodes[j]], [True, False, False]),
+    })
+
+
+def found_links(dealt, graph, threshold):
+    """Rows (label, node, partners, other) of links: partners, the members of linked classes, of nodes;
+    other, edges that span what is linked (partners null); and all links of the nodes that the audit
+    asks for (partners -1). With a graph, what searches of overlapping shards find; without, what the
+    pairs of shards hold."""
+    dealt = dealt.withColumn("asked", asked())
+    return paired_links(dealt, threshold) if graph is None else searched_links(dealt, graph, threshold)
+
+
+def searched_links(dealt, graph, threshold):
+    """found_links by a search for every class of a shard. A link is found from either end. Two classes
+    may share several shards: the least of them gives their link to partners, forest and audit alike,
+    so no pair has to be told apart from a second finding of it."""
+    def run(pdf):
+        import numpy as np
+
+        label, shard = pdf["label"].iloc[0], pdf["shard"].iloc[0]
+        pdf, raw, v = pack_shard(pdf)
+        nodes, members, ask = pdf["node"].to_numpy(), pdf["members"].to_numpy(), pdf["asked"].to_numpy()
+        every = np.stack(pdf["every"].to_numpy())
+        near = []
+        for listed in pdf["near"]:
+            at = np.minimum(np.searchsorted(nodes, listed), len(nodes) - 1)
+            near.append(at[nodes[at] == listed])
+        medoid = int((v @ v.mean(axis=0)).argmax())
+        codes = []
+        for q in range(len(v)):
+            hits = range_search(v[q], v, near, medoid, threshold)
+            hits = hits[hits != q]
+            hits = hits[cosine(raw[hits], raw[q]) >= threshold]
+            shared = (every[hits][:, :, None] == every[q]).any(axis=2)
+            hits = hits[np.where(shared, every[hits], np.iinfo(np.int64).max).min(axis=1) == shard]
+            codes.append(np.minimum(hits, q) * len(v) + np.maximum(hits, q))
+        i, j = np.divmod(np.unique(np.concatenate(codes)), len(v))
+        partners = np.zeros(len(v), dtype=np.int64)
+        np.add.at(partners, i, members[j])
+        np.add.at(partners, j, members[i])
+        told = ask[i] | ask[j]
+        return link_rows(label, nodes, partners, forest(len(v), i, j), i[told], j[told])
+
+    return dealt.join(graph, ["label", "node"]).groupBy("label", "shard").applyInPandas(run, LINKS)
+
+
+def paired_links(dealt, threshold):
+    """found_links by complete comparison of pairs of shards."""
     def run(pdf):
         import numpy as np
-        import pandas as pd
 
+        name = pdf["label"].iloc[0]
         same = pdf["shard"].iloc[0] == pdf["with"].iloc[0]
         pdf, raw, v = pack_shard(pdf)
         nodes, members, ask = pdf["node"].to_numpy(), pdf["members"].to_numpy().astype(float), pdf["asked"].to_numpy()
@@ -219,27 +415,15 @@ def found_links(dealt, step, threshold):
             i, j = part[i], two[j]
             pairs.append(np.stack([i, j])[:, ask[i] | ask[j]])
             label = forest(len(v), label[i], label[j])[label]
-        partners = partners.astype(np.int64)
         i, j = np.concatenate([np.zeros((2, 0), dtype=np.int64), *pairs], axis=1)
-        inner, some = np.flatnonzero(label != np.arange(len(v))), np.flatnonzero(partners)
-        sizes = (len(some), len(inner), len(i))
-
-        def column(values, null):
-            return pd.arrays.IntegerArray(np.concatenate(values), np.repeat(null, sizes))
+        return link_rows(name, nodes, partners, label, i, j)
 
-        return pd.DataFrame({
-            "node": np.concatenate([nodes[some], nodes[inner], nodes[i]]),
-            "partners": column([partners[some], np.zeros(len(inner), dtype=np.int64), np.full(len(i), -1)], [False, True, False]),
-            "other": column([np.zeros(len(some), dtype=np.int64), nodes[label[inner]], nodes[j]], [True, False, False]),
-        })
+    return dealt.groupBy("label", "shard", "with").applyInPandas(run, LINKS)
 
-    return dealt.withColumn("asked", asked(step)).groupBy("label", "shard", "with").applyInPandas(
-        run, "node long, partners long, other long")
 
-
-def audit(dealt, links, threshold, step=QUERY_STEP):
-    """Recall of links (node, other): for the classes asked for, their true links among all classes of
-    their label by brute force, block against block, and the share of them that was found."""
+def true_links(dealt, threshold, step=QUERY_STEP):
+    """(label, node, other): all links of the classes that the audit asks for, among all classes of
+    their label by brute force, block against block."""
     home = dealt.where("home")
     one = F.collect_list(F.struct("node", "v"))
     queries = home.where(asked(step)).groupBy("label", F.floor(F.col("shard") / step).alias("block")).agg(one.alias("q"))
@@ -250,7 +434,7 @@ def audit(dealt, links, threshold, step=QUERY_STEP):
         import pyarrow as pa
 
         for batch in batches:
-            for q, c in zip(batch.column("q"), batch.column("c"), strict=True):
+            for label, q, c in zip(batch.column("label").to_pylist(), batch.column("q"), batch.column("c"), strict=True):
                 (qn, qv), (cn, cv) = [
                     (x.values.field("node").to_numpy(), even(np.stack(x.values.field("v").to_numpy(zero_copy_only=False))))
                     for x in (q, c)]
@@ -258,22 +442,30 @@ def audit(dealt, links, threshold, step=QUERY_STEP):
                     hit = cn[(cosine(cv, vector) >= threshold) & (cn != node)]
                     if len(hit):
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.minimum(hit, node)), pa.array(np.maximum(hit, node))], ["node", "other"])
+                            [pa.array([label] * len(hit)), pa.array(np.minimum(hit, node)), pa.array(np.maximum(hit, node))],
+                            ["label", "node", "other"])
+
+    return queries.join(blocks, "label").select("label", "q", "c").mapInArrow(
+        run, "label string, node long, other long").distinct()
+
 
-    true = queries.join(blocks, "label").select("q", "c").mapInArrow(run, "node long, other long").distinct()
-    hit = links.select(F.least("node", "other").alias("node"), F.greatest("node", "other").alias("other"),
-                       F.lit(1).alias("found")).distinct()
-    r = true.join(hit, ["node", "other"], "left").agg(F.count("*").alias("n"), F.count("found").alias("k")).first()
-    return 1.0 if not r["n"] else r["k"] / r["n"]
+def recalls(true, links):
+    """(label, links, found): the true links of each label and how many of them links hold."""
+    hit = links.where("partners = -1").select(
+        F.least("node", "other").alias("node"), F.greatest("node", "other").alias("other"), F.lit(1).alias("hit")).distinct()
+    return true.join(hit, ["node", "other"], "left").groupBy("label").agg(
+        F.count("*").alias("links"), F.count("hit").alias("found"))
 
 
 def near_vectors(rows, threshold=0.93, recall=0.95, id_col="vec_id", vector_col="embedding", label_col="label"):
     """(vec_id, n_links, component_id, kept) of every row: vectors of one label (not null) link at
     a cosine of at least the threshold; component_id is the smallest vec_id reachable by links.
 
-    All pairs of shards that can hold links are compared, so all links are found; an audit of some
-    classes by brute force raises if it sees less than `recall` of theirs, which would be an error.
-    Equal vectors of a label are one class with a number of members, which link with each other and alike with others, so copies are never paired up. Null, empty or zero
+    Links are what searches of the graph find. Labels of which an audit of some classes by brute force
+    sees less than `recall` found are completed by comparing all pairs of shards that can hold links,
+    which finds all; less than that after it is an error and raises. Equal vectors of a label are one
+    class with a number of members, which link with each other and alike with others, so copies are
+    never paired up. Null, empty or zero
     vectors and those with null or non-finite components link with nothing; so do vectors of
     different lengths. Repeated rows are copies. A null id counts as a member but names no
     component. An empty table gives no rows.
@@ -283,11 +475,18 @@ def near_vectors(rows, threshold=0.93, recall=0.95, id_col="vec_id", vector_col=
         F.first("label").alias("label"), F.first("v").alias("v"), F.count("*").alias("members"),
         F.min("vec_id").alias("first")), "vector-classes")
     centers = centroids(classes)
-    dealt = stored(shards(classes, centers, threshold), "shards")
-    links = stored(found_links(dealt, QUERY_STEP, threshold), "links")
-    reached = audit(dealt, links.where("partners = -1"), threshold)
-    if reached < recall:
-        raise ValueError(f"recall of links {reached:.3f} is below {recall}")
+    dealt = stored(overlapping(classes, centers), "shards")
+    links = stored(found_links(dealt, stored(adjacency(dealt), "graph"), threshold), "links")
+    true = stored(true_links(dealt, threshold), "true-links")
+    fails = F.col("found") < recall * F.col("links")
+    short = stored(recalls(true, links), "recalls").where(fails).select("label")
+    if not short.isEmpty():
+        pairs = stored(shards(classes.join(short, "label", "left_semi"), centers, threshold), "shard-pairs")
+        completed = stored(found_links(pairs, None, threshold), "completed-links")
+        missed = recalls(true.join(short, "label", "left_semi"), completed).where(fails).first()
+        if missed:
+            raise ValueError(f"recall of links {missed['found'] / missed['links']:.3f} of {missed['label']} is below {recall}")
+        links = links.join(short, "label", "left_anti").unionByName(completed)
     partners = links.where("partners >= 0").groupBy("node").agg(F.sum("partners").alias("partners"))
     labels = components(links.where("partners is null").select(F.col("node").alias("a"), F.col("other").alias("b")))
     rooted = stored(

@@ -108,3 +108,37 @@ def test_links_agree_with_components(spark, monkeypatch):
     rows = [(n, (np.eye(8)[n % 4] + rng.normal(size=8) * 0.13).tolist(), 0) for n in range(240)]
     got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_vectors(table(spark, rows)).collect()}
     assert got == brute(rows)
+
+
+def test_search_alone_reaches_recall(spark, monkeypatch):
+    """Groups that lie apart are found by the graph search, over several shards, without completion."""
+    def unused(dealt, threshold):
+        raise AssertionError("completed")
+
+    monkeypatch.setattr(vectors, "SHARD", 100)
+    monkeypatch.setattr(vectors, "paired_links", unused)
+    rng = np.random.default_rng(12)
+    rows = []
+    for _ in range(60):
+        base = rng.normal(size=16)
+        rows += [(len(rows) + k, (base + rng.normal(size=16) * 0.04).tolist(), 0) for k in range(int(rng.integers(2, 14)))]
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_vectors(table(spark, rows)).collect()}
+    want = brute(rows)
+    assert 0.95 * sum(w[0] for w in want.values()) <= sum(g[0] for g in got.values()) <= sum(w[0] for w in want.values())
+
+
+def test_graph_is_pruned_and_searched():
+    rng = np.random.default_rng(13)
+    v = rng.normal(size=(400, 8))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    near = vectors.build_graph(v)
+    assert all(a in near[b] for a in range(400) for b in near[a])
+    assert sum(map(len, near)) < 400 * 2 * vectors.DEGREE
+    near = [np.array(sorted(n)) for n in near]
+    hit = true = 0
+    for q in range(400):
+        got = set(vectors.range_search(v[q], v, near, 0, 0.8).tolist())
+        want = set(np.flatnonzero(v @ v[q] >= 0.8).tolist())
+        assert got <= want
+        hit, true = hit + len(got), true + len(want)
+    assert hit >= 0.95 * true
