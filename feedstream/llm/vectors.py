@@ -111,8 +111,8 @@ def nearest(u, c, overlap):
 
 def extents(classes, centers, overlap=1):
     """label -> (first shard, number of shards, radius) of each centroid, where a vector belongs to
-    its `overlap` nearest: vectors of a centroid with more than two shards should hold are dealt to
-    several by hash."""
+    its `overlap` nearest: vectors of a centroid with more than two shards should hold, times the
+    overlap, are dealt to several by hash."""
     import numpy as np
 
     shared = classes.sparkSession.sparkContext.broadcast(centers)
@@ -135,7 +135,7 @@ def extents(classes, centers, overlap=1):
              for label, c in centers.items()}
     for r in rows:
         _, count, radius = found[r["label"]]
-        count[r["centroid"]], radius[r["centroid"]] = -(-r["n"] // (2 * SHARD)), r["far"]
+        count[r["centroid"]], radius[r["centroid"]] = -(-r["n"] // (2 * SHARD * overlap)), r["far"]
     for first, count, _ in found.values():
         first[1:] = count.cumsum()[:-1]
     return found
@@ -224,13 +224,15 @@ def adjacency(dealt):
     return lists.groupBy("label", "node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
 
 
-def range_search(query, v, near, start, threshold):
-    """Places within the threshold of the query: greedy search from start with a beam, then, step by
-    step, over all neighbours of what lies within the threshold less the slack."""
+def range_search(own, v, near, start, threshold):
+    """Places within the threshold of the vector at the place own: greedy search from start with a
+    beam, then, step by step from what it saw and from own, over all neighbours of what lies within
+    the threshold less the slack."""
     import heapq
 
     import numpy as np
 
+    query = v[own]
     first = float(v[start] @ query)
     sims = np.full(len(v), -np.inf)
     sims[start] = first
@@ -245,6 +247,7 @@ def range_search(query, v, near, start, threshold):
             if len(best) < BEAM or sim > best[0][0]:
                 heapq.heappush(heap, (-sim, n))
                 (heapq.heappush if len(best) < BEAM else heapq.heapreplace)(best, (sim, n))
+    sims[own] = 1
     frontier = np.flatnonzero(sims >= threshold - SLACK)
     while len(frontier):
         fresh = np.concatenate([near[n] for n in frontier])
@@ -369,20 +372,21 @@ def searched_links(dealt, graph, threshold):
             at = np.minimum(np.searchsorted(nodes, listed), len(nodes) - 1)
             near.append(at[nodes[at] == listed])
         medoid = int((v @ v.mean(axis=0)).argmax())
-        codes = []
+        hit = np.zeros((len(v), len(v)), dtype=bool)
         for q in range(len(v)):
-            hits = range_search(v[q], v, near, medoid, threshold)
+            hits = range_search(q, v, near, medoid, threshold)
             hits = hits[hits != q]
             hits = hits[cosine(raw[hits], raw[q]) >= threshold]
             shared = (every[hits][:, :, None] == every[q]).any(axis=2)
             hits = hits[np.where(shared, every[hits], np.iinfo(np.int64).max).min(axis=1) == shard]
-            codes.append(np.minimum(hits, q) * len(v) + np.maximum(hits, q))
-        i, j = np.divmod(np.unique(np.concatenate(codes)), len(v))
-        partners = np.zeros(len(v), dtype=np.int64)
-        np.add.at(partners, i, members[j])
-        np.add.at(partners, j, members[i])
-        told = ask[i] | ask[j]
-        return link_rows(label, nodes, partners, forest(len(v), i, j), i[told], j[told])
+            hit[q, hits] = hit[hits, q] = True
+        root, told = np.arange(len(v)), [np.zeros((2, 0), dtype=np.int64)]
+        for at in range(0, len(v), BLOCK):
+            i, j = np.nonzero(hit[at:at + BLOCK])
+            i += at
+            root = forest(len(v), root[i], root[j])[root]
+            told.append(np.stack([i, j])[:, (ask[i] | ask[j]) & (i < j)])
+        return link_rows(label, nodes, hit @ members, root, *np.concatenate(told, axis=1))
 
     return dealt.join(graph, ["label", "node"]).groupBy("label", "shard").applyInPandas(run, LINKS)
 

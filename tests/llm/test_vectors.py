@@ -137,7 +137,7 @@ def test_graph_is_pruned_and_searched():
     near = [np.array(sorted(n)) for n in near]
     hit = true = 0
     for q in range(400):
-        got = set(vectors.range_search(v[q], v, near, 0, 0.8).tolist())
+        got = set(vectors.range_search(q, v, near, 0, 0.8).tolist())
         want = set(np.flatnonzero(v @ v[q] >= 0.8).tolist())
         assert got <= want
         hit, true = hit + len(got), true + len(want)
