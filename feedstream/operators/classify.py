@@ -1,7 +1,8 @@
 """Sentiment and nearest category, by native expressions or a pluggable model."""
 
 from pyspark import cloudpickle
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from feedstream.functions.categories import (
     category_vectors,
@@ -22,6 +23,7 @@ from feedstream.reference_data import (
 from feedstream.sources.declared import declared_table
 
 MAX_CATEGORIES = 4096  # most category vectors that nearest_category sends to the records
+TEXTS = 1_000  # texts that a plugged-in model is given at once, at most
 NO_SCORE = -2.0  # below every cosine: a vector without length
 
 
@@ -222,17 +224,15 @@ def sentiment_udf(scorer_factory, labels=SENTIMENT_LABELS, max_chars=None):
     array of shape (texts, labels). Missing texts are scored as ''. ``max_chars`` cuts what the
     model sees, for models with a limited input.
     """
-    import pandas as pd
-
     model, names = _per_worker(scorer_factory), list(labels)
 
     def predict(texts):
         import numpy as np
 
-        scores = np.asarray(model()(texts.fillna("").str.slice(0, max_chars).tolist()))
-        return pd.Series(np.array(names, dtype=object)[scores.reshape(len(texts), len(names)).argmax(axis=1)])
+        scores = np.asarray(model()(texts))
+        return np.array(names, dtype=object)[scores.reshape(len(texts), len(names)).argmax(axis=1)].tolist()
 
-    return _text_udf(predict, "string")
+    return _text_udf(predict, "string", max_chars)
 
 
 def apart(score, texts):
@@ -255,19 +255,14 @@ def apart(score, texts):
 def isolated_sentiment_udf(scorer_factory, labels=SENTIMENT_LABELS, max_chars=None):
     """As sentiment_udf, with a struct (label, error): a text that the model raises on has no label but
     the error, and the other texts of its batch keep their labels."""
-    import pandas as pd
-
     model, names = _per_worker(scorer_factory), list(labels)
 
     def predict(texts):
         import numpy as np
 
-        found = apart(model(), texts.fillna("").str.slice(0, max_chars).tolist())
-        return pd.DataFrame({
-            "label": [None if e else names[int(np.argmax(x))] for x, e in found], "error": [e for _, e in found]}, dtype=object)
+        return [{"label": None if e else names[int(np.argmax(x))], "error": e} for x, e in apart(model(), texts)]
 
-    predict.__annotations__ = {"texts": pd.Series, "return": pd.DataFrame}
-    return F.pandas_udf(predict, "label string, error string")
+    return _text_udf(predict, "label string, error string", max_chars)
 
 
 def embedding_udf(embedder_factory, max_chars=None):
@@ -276,23 +271,19 @@ def embedding_udf(embedder_factory, max_chars=None):
     ``embedder_factory()`` is called once per worker process and returns ``embed(list of texts)``
     -> array of shape (texts, dimensions). ``max_chars`` as in sentiment_udf.
     """
-    import pandas as pd
-
     model = _per_worker(embedder_factory)
 
     def embed(texts):
         import numpy as np
 
-        return pd.Series(list(np.asarray(model()(texts.fillna("").str.slice(0, max_chars).tolist()), dtype=float)))
+        return list(np.asarray(model()(texts), dtype=float))
 
-    return _text_udf(embed, "array<double>")
+    return _text_udf(embed, "array<double>", max_chars)
 
 
 def embedded_category(embedder_factory, categories=CATEGORIES_MAIN, max_chars=None):
     """Column function: text -> category whose label text a plugged-in embedder puts nearest, the
     first declared of equal ones. Label texts are embedded once per worker process."""
-    import pandas as pd
-
     names, texts_of = list(categories), [" ".join(words) for words in categories.values()]
     nearest = _nearest()
 
@@ -308,12 +299,10 @@ def embedded_category(embedder_factory, categories=CATEGORIES_MAIN, max_chars=No
         import numpy as np
 
         embed, labels = model()
-        if texts.empty:
-            return pd.Series([], dtype=object)
-        rows = np.asarray(embed(texts.fillna("").str.slice(0, max_chars).tolist()), dtype=float)
-        return pd.Series(np.array(names, dtype=object)[nearest(rows, labels)[0]])
+        rows = np.asarray(embed(texts), dtype=float)
+        return np.array(names, dtype=object)[nearest(rows, labels)[0]].tolist()
 
-    return _text_udf(categorize, "string")
+    return _text_udf(categorize, "string", max_chars)
 
 
 def embedded_labels(spark, embedder, categories=CATEGORIES_MAIN):
@@ -324,8 +313,18 @@ def embedded_labels(spark, embedder, categories=CATEGORIES_MAIN):
     return declared_table(spark, rows, "ord int, category string, vector array<double>")
 
 
-def _text_udf(function, returns):
-    import pandas as pd
+def _text_udf(function, returns, max_chars):
+    """Column function from a function of a list of texts. An Arrow batch is taken in parts of TEXTS, so
+    that a worker never holds all its texts and what a model makes of them as Python objects."""
+    import pyarrow as pa
+
+    size, kind = TEXTS, to_arrow_type(T._parse_datatype_string(returns))
+
+    def in_parts(texts):
+        parts = [
+            pa.array(function([(t or "")[:max_chars] for t in texts.slice(at, size).to_pylist()]), kind)
+            for at in range(0, len(texts), size)]
+        return pa.concat_arrays(parts) if parts else pa.array([], kind)
 
-    function.__annotations__ = {"texts": pd.Series, "return": pd.Series}
-    return F.pandas_udf(function, returns)
+    in_parts.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    return F.arrow_udf(in_parts, returns)
