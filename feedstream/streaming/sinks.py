@@ -6,6 +6,8 @@ from feedstream.functions.records import to_json_record
 from feedstream.reference_data import CONSOLE_ROWS
 from feedstream.sources.ledger import batch_folder
 
+MERGE_KEPT = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+
 
 class BatchId(int):
     """Number of a batch, with the run that counts it: numbers start again with a new checkpoint."""
@@ -61,9 +63,16 @@ def batch_sink(df, write, checkpoint, mode="append"):
 
 
 def to_all(*writes):
-    """One batch to several places: it is read and classified once."""
+    """One batch to several places: it is read and classified once. Its partitions are merged before they
+    are kept, so that it is not written in a file per shuffle partition."""
     def write(batch, batch_id):
-        batch.persist()
+        conf = batch.sparkSession.conf
+        before = conf.get(MERGE_KEPT)
+        conf.set(MERGE_KEPT, "true")
+        try:
+            batch.persist()
+        finally:
+            conf.set(MERGE_KEPT, before)
         try:
             for one in writes:
                 one(batch, batch_id)

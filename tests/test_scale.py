@@ -34,6 +34,24 @@ def files(path, pattern="part-*"):
     return [f for f in Path(path).rglob(pattern) if f.stat().st_size]
 
 
+def test_a_kept_batch_has_no_file_per_shuffle_partition(spark, tmp_path):
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        rows = spark.range(500).select(F.col("id").cast("string").alias("id"), F.lit("s").alias("source"),
+                                       F.lit("t").alias("title"), F.lit("l").alias("link"), "id", F.col("id").alias("n")).toDF(
+            "id", "source", "title", "link", "copy", "n").drop("copy")
+        rows.repartition(2).write.parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in")
+        publish = sinks.batch_files(f"{tmp_path}/topic")
+        writer = jobs.ingest(stream, ["n"], f"{tmp_path}/ledger", publish, f"{tmp_path}/c")
+        jobs.start(writer, available_now=True).awaitTermination()
+        assert len(files(tmp_path / "topic", "*.parquet")) < 10
+        assert len(files(tmp_path / "ledger/segments", "*.parquet")) < 10
+        assert spark.read.parquet(f"{tmp_path}/topic").count() == read_ledger(spark, f"{tmp_path}/ledger").count() == 500
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 def test_models_get_texts_in_parts(spark, monkeypatch):
     monkeypatch.setattr(classify, "TEXTS", 3)
 
