@@ -62,10 +62,21 @@ def publish_results(results, writes, checkpoint):
 def running_counters(view, path, checkpoint):
     """Counts by (source, sentiment, category) since the start.
 
-    One stateful query feeds every counter of the view. Each batch writes the whole table,
-    which is as large as the number of different keys.
+    One query feeds every counter of the view. Each batch adds its counts to the table of the batch
+    before and writes the whole table, which is as large as the number of different keys: too small
+    for state in every shuffle partition.
     """
-    return batch_sink(counters(view), _write_slot(path), checkpoint, mode="complete")
+    write_slot = _write_slot(path)
+
+    def write(batch, batch_id):
+        counted = counters(batch)
+        if batch_id > 0:
+            before = batch.sparkSession.read.schema(counted.schema).parquet(_slot(path, batch_id - 1, run_of(batch_id)))
+            keys = [c for c in counted.columns if c != "n"]
+            counted = roll_up(counted.unionByName(before), *keys)
+        write_slot(counted, batch_id)
+
+    return batch_sink(view, write, checkpoint)
 
 
 def running_timeline(view, path, checkpoint, timestamp="timestamp"):

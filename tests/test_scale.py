@@ -52,6 +52,20 @@ def test_a_kept_batch_has_no_file_per_shuffle_partition(spark, tmp_path):
         spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
+def test_counters_hold_no_state(spark, tmp_path):
+    view = spark.createDataFrame(
+        [("a", "x", None), ("a", "x", None), ("b", None, "c")], "source string, sentiment string, category string")
+    out = f"{tmp_path}/table"
+    for turn in range(3):
+        view.write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(view.schema).parquet(f"{tmp_path}/in")
+        query = jobs.start(jobs.running_counters(stream, out, f"{tmp_path}/c"), available_now=True)
+        query.awaitTermination()
+        assert not query.lastProgress.stateOperators
+        found = {tuple(r) for r in jobs.latest_version(spark, out).collect()}
+        assert found == {("a", "x", None, 2 * turn + 2), ("b", None, "c", turn + 1)}
+
+
 def test_models_get_texts_in_parts(spark, monkeypatch):
     monkeypatch.setattr(classify, "TEXTS", 3)
 
