@@ -34,6 +34,50 @@ def files(path, pattern="part-*"):
     return [f for f in Path(path).rglob(pattern) if f.stat().st_size]
 
 
+def test_files_of_a_topic_grow_with_the_tables(spark, tables, tmp_path, monkeypatch):
+    monkeypatch.setattr(inputs, "PIECE_BYTES", 500)
+    lines = inputs.text_topic(spark, tables, inputs.article_json(spark, tables), f"{tmp_path}/topic")
+    written = files(tmp_path / "topic")
+    assert len(written) > 8
+    seen = []
+    jobs.start(sinks.batch_sink(lines, lambda b, i: seen.append(b.count()), f"{tmp_path}/c"), available_now=True).awaitTermination()
+    assert len(seen) == 4 and sum(seen) == 460
+
+
+@pytest.mark.parametrize("name, rows", [("job_analysis", 460), ("job_isolation", 860)])
+def test_jobs_over_many_files(spark, tables, monkeypatch, name, rows):
+    monkeypatch.setattr(inputs, "PIECE_BYTES", 500)
+    written = []
+    plain = inputs.text_topic
+
+    def topic(spark, sf_dir, lines, path, **more):
+        found = plain(spark, sf_dir, lines, path, **more)
+        written.extend(files(path))
+        return found
+
+    monkeypatch.setattr(inputs, "text_topic", topic)
+    assert catalog.QUERIES[name](spark, tables).count() == rows
+    assert len(written) > 8
+
+
+def test_events_in_more_files_and_as_many_batches(spark, tables, tmp_path, monkeypatch):
+    monkeypatch.setattr(inputs, "RESULT_BYTES", 100)
+    lines = inputs.result_topic(spark, tables, f"{tmp_path}/topic")
+    assert len(files(tmp_path / "topic", "*.parquet")) > 6
+    seen = []
+    jobs.start(sinks.batch_sink(lines, lambda b, i: seen.append(b.count()), f"{tmp_path}/c"), available_now=True).awaitTermination()
+    assert len(seen) == 3 and sum(seen) == 300
+
+
+def test_feed_files_do_not_follow_the_partitions(spark, tables, tmp_path, monkeypatch):
+    inputs.landed_feeds(spark, tables, f"{tmp_path}/few")
+    assert [len(files(f"{tmp_path}/few/{form}")) for form in ("rss", "atom")] == [1, 1]
+    monkeypatch.setattr(inputs, "FEED_RECORDS", 30)
+    inputs.landed_feeds(spark, tables, f"{tmp_path}/cut")
+    cut = files(f"{tmp_path}/cut/rss")
+    assert len(cut) == 7 and sum(len(re.findall("<item>", f.read_text())) for f in cut) == 200
+
+
 def test_a_kept_batch_has_no_file_per_shuffle_partition(spark, tmp_path):
     spark.conf.set("spark.sql.shuffle.partitions", "60")
     try:

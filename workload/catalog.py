@@ -563,10 +563,11 @@ def stream_ingest(spark, sf_dir):
 def stream_ingest_many_batches(spark, sf_dir):
     """Ids only, over more batches than the ledger keeps unmerged, with copies in different batches."""
     out = work_dir(spark, "stream_ingest_many_batches")
-    landed = inputs.as_entries(inputs.documents(spark, sf_dir)).repartition(18, F.xxhash64("entry_ord"))
+    files = inputs.pieces(spark, sf_dir, "documents", least=18)
+    landed = inputs.as_entries(inputs.documents(spark, sf_dir)).repartition(files, F.xxhash64("entry_ord"))
     landed.write.parquet(f"{out}/landed")
     entries = read_records(
-        spark, f"{out}/landed", schema=landed.schema, streaming=True, maxFilesPerTrigger=1)
+        spark, f"{out}/landed", schema=landed.schema, streaming=True, maxFilesPerTrigger=files // 18)
     with_feed = enrich.attach_feed(entries, enrich.feed_registry(spark), "feed_ord")
     articles = enrich.enrich_rss(with_feed, keep=["entry_ord"])
     publish = sinks.batch_files(f"{out}/topic")
@@ -697,8 +698,7 @@ def job_list_ingest(spark, sf_dir):
 @query
 def job_analysis(spark, sf_dir):
     out = work_dir(spark, "job_analysis")
-    inputs.article_json(spark, sf_dir).repartition(4).write.text(f"{out}/topic")
-    lines = read_records(spark, f"{out}/topic", "text", "json string", streaming=True, maxFilesPerTrigger=1)
+    lines = inputs.text_topic(spark, sf_dir, inputs.article_json(spark, sf_dir), f"{out}/topic")
     publish = sinks.batch_json_lines(f"{out}/results")
     finish(wired.start_analysis(lines, publish, f"{out}/checkpoint", lexicon(), show=False, **ONCE))
     results = parse.parse_results(read_records(spark, f"{out}/results", "text", "json string"))
@@ -729,8 +729,7 @@ def job_isolation(spark, sf_dir):
     out = work_dir(spark, "job_isolation")
     good = inputs.article_json(spark, sf_dir)
     broken = inputs.documents(spark, sf_dir).select(F.concat(F.lit("no JSON "), "doc_id").alias("json"))
-    good.union(broken).repartition(4).write.text(f"{out}/topic")
-    lines = read_records(spark, f"{out}/topic", "text", "json string", streaming=True, maxFilesPerTrigger=1)
+    lines = inputs.text_topic(spark, sf_dir, good.union(broken), f"{out}/topic")
     variant = replace(lexicon(), sentiment=classify.isolated_sentiment_udf(raising_scorer()))
     finish(wired.start_analysis(
         lines, sinks.batch_json_lines(f"{out}/results"), f"{out}/checkpoint", variant, show=False,

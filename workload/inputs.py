@@ -13,9 +13,14 @@ from feedstream.operators.enrich import (
     union_articles,
 )
 from feedstream.functions.records import to_json_record
+from feedstream.reference_data import FEED_REGISTRY
 from feedstream.schemas import HN_ITEM_SCHEMA, RESULT_COLUMNS
 
+FEEDS = sum(map(len, FEED_REGISTRY.values()))
 BATCH_BYTES = 256 * 2**30
+FEED_RECORDS = 25_000  # entries in one feed file at most: a task reads a whole file
+PIECE_BYTES = 32 * 2**20  # of stored tables that one file of a copy or topic made of them holds, about
+RESULT_BYTES = 4 * 2**20  # the same for events, whose messages are many times as large
 
 # Function words of the tables' four languages, as a lexicon and as categories.
 POSITIVE = ["the", "la", "der", "el", "los"]
@@ -32,6 +37,14 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def pieces(spark, sf_dir, *names, least=1, of=None):
+    """A multiple of ``least``: numbers of files for what is made of the tables, which grow with their stored bytes."""
+    stored = sum(
+        spark.read.format("binaryFile").load(f"{sf_dir}/{name}.parquet").agg(F.sum("length")).first()[0] or 0
+        for name in names)
+    return least * max(1, -(-stored // ((of or PIECE_BYTES) * least)))
+
+
 def documents(spark, sf_dir):
     return table(spark, sf_dir, "documents")
 
@@ -146,20 +159,38 @@ def ledger(spark, sf_dir):
     return documents(spark, sf_dir).join(labelled, "doc_id", "left_semi").select(F.md5("text").alias("id"))
 
 
-def result_topic(spark, sf_dir, path, files=6):
-    """The results of events as a topic of JSON messages with their places, in files that do not
-    follow the order of the messages; as a stream of several batches with `_arrival`."""
+def text_topic(spark, sf_dir, lines, path, batches=4):
+    """Lines (json) made of documents and conversations as a topic of text files, as a stream of so many batches."""
+    files = pieces(spark, sf_dir, "documents", "conversations", least=batches)
+    lines.repartition(files).write.text(path)
+    reader = spark.readStream.schema("json string").option("maxFilesPerTrigger", files // batches)
+    return reader.text(path)
+
+
+def result_topic(spark, sf_dir, path, files=6, batches=3):
+    """The results of events as a topic of JSON messages with their places, in `files` or a multiple of
+    it that do not follow the order of the messages; as a stream of so many batches with `_arrival`."""
+    files = pieces(spark, sf_dir, "events", least=files, of=RESULT_BYTES)
     place = F.struct(
         F.col("processing_time").alias("timestamp"), F.lit(0).alias("partition"), F.col("seq").alias("offset"))
     messages = results(spark, sf_dir).select(
         to_json_record(*RESULT_COLUMNS).alias("json"), place.alias("_arrival"))
     messages.repartition(files, F.xxhash64("json")).write.parquet(path)
-    reader = spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 2)
+    reader = spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", files // batches)
     return reader.parquet(path)
 
 
 def landed_feeds(spark, sf_dir, path):
-    """Documents as landed feeds, every second one in Atom form, and conversations as items."""
+    """Documents as landed feeds, every second one in Atom form, and conversations as items. A feed lies
+    in few files whatever the number of partitions of the table, as the files make the batches."""
+    parts = pieces(spark, sf_dir, "documents")
+    cut = -(-parts // FEEDS)
+
+    def land(rows, row_tag, root_tag, to):
+        dealt = rows.repartition(max(parts, FEEDS), "feed_ord", F.pmod(F.xxhash64("title"), F.lit(cut)))
+        writer = dealt.write.format("xml").option("rowTag", row_tag).option("rootTag", root_tag)
+        writer.option("maxRecordsPerFile", FEED_RECORDS).partitionBy("feed_ord").save(to)
+
     feeds = as_entries(documents(spark, sf_dir)).withColumn("atom", F.col("feed_ord") % 2 == 1)
     rss = feeds.where("not atom").select(
         "feed_ord", F.col("id").alias("guid"), "title", "link", F.col("summary").alias("description"),
@@ -168,8 +199,6 @@ def landed_feeds(spark, sf_dir, path):
     atom = feeds.where("atom").select(
         "feed_ord", "id", "title", F.col("summary").alias("content"), F.col("published").alias("updated"),
         link.alias("link"))
-    rss.write.format("xml").option("rowTag", "item").option("rootTag", "channel").partitionBy(
-        "feed_ord").save(f"{path}/rss")
-    atom.write.format("xml").option("rowTag", "entry").option("rootTag", "feed").partitionBy(
-        "feed_ord").save(f"{path}/atom")
-    item_json(spark, sf_dir).repartition(4).write.text(f"{path}/items")
+    land(rss, "item", "channel", f"{path}/rss")
+    land(atom, "entry", "feed", f"{path}/atom")
+    item_json(spark, sf_dir).repartition(pieces(spark, sf_dir, "conversations", least=4)).write.text(f"{path}/items")
