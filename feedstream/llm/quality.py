@@ -11,6 +11,7 @@ FEATURES = 512
 ROUNDS = 3
 SHARE = 0.05  # of the unlabelled rows that a view may name per round
 FOLDS = 3
+BITS = 1 << 25  # of the bitmap of labelled ids: 4 MB
 SOURCES, LANGS = 64, 16  # hash buckets of the metadata view
 
 
@@ -142,6 +143,25 @@ def with_views(docs, number, id_col="doc_id", text_col="text"):
     return with_features(metadata(rows), number)
 
 
+def labelled_texts(texts, named):
+    """texts (doc_id, text) joined with named (doc_id, good). Only texts that `likely` lets pass are shuffled
+    to the exact join, which is of one kind at any size of the labels."""
+    return likely(texts, named).join(named.hint("merge"), "doc_id")
+
+
+def likely(texts, named):
+    """The texts whose id is in named, and few others: a bitmap of hashed ids, of BITS bits at most, drops
+    the rest where they are read."""
+    at, chunk = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(BITS)), 8 * 4096
+    maps = stored(
+        named.select(F.floor(at / chunk).alias("_chunk"), (at % chunk).alias("_at"))
+        .groupBy("_chunk").agg(F.bitmap_construct_agg("_at").alias("_bits")), "quality-bitmap")
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(F.col("_at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    placed = texts.withColumns({"_chunk": F.floor(at / chunk), "_at": at % chunk})
+    passed = F.getbit(byte, (F.col("_at") % 8).cast("int")) == 1
+    return placed.join(F.broadcast(maps), "_chunk").where(passed).select("doc_id", "text")
+
+
 def co_trained(docs, labels, sample=SAMPLE, features=FEATURES):
     """(model, rows): what labels (doc_id, quality 0/1) teach, and the stored features of all docs.
 
@@ -151,7 +171,7 @@ def co_trained(docs, labels, sample=SAMPLE, features=FEATURES):
     """
     named = stored(labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.max(F.col("quality").cast("int")).alias("good")), "quality-labels")
-    known = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(named, "doc_id")
+    known = labelled_texts(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), named)
     number = select_features(known, ["good"], features)
     rows = stored(with_views(docs, number), "quality-features")
     draw = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 40)) / float(1 << 40)
