@@ -162,10 +162,10 @@ def merge_alone(word, vocabulary, rank_of):
 class Encoder:
     """Turns texts into ids; remembers the words it has met, up to kept_words."""
 
-    def __init__(self, vocabulary, kept_words=KEPT_WORDS):
+    def __init__(self, vocabulary, kept_words=None):
         import regex
 
-        self.kept_words = kept_words
+        self.kept_words = KEPT_WORDS if kept_words is None else kept_words
         self.vocabulary = vocabulary
         self.words = regex.compile(WORD_PATTERN).findall
         special = sorted(vocabulary["special"], key=len, reverse=True)
