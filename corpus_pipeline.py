@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from feedstream.llm.bpe import decode, encode, tokenizer_path
+from feedstream.llm.bpe import encode, tokenizer_path
 from feedstream.llm.common import marked, sha256, stored
 from feedstream.llm.decontaminate import decontaminate
 from feedstream.llm.lines import remove_boilerplate
@@ -37,9 +37,8 @@ def drop_contaminated(spark, docs, sf_dir):
 
 def tokenize(spark, docs, sf_dir):
     """(doc_id, source, lang, n_tokens, ids, decoded_sha256): token ids of the whole texts."""
-    path = tokenizer_path()
-    ids = encode(docs.select("doc_id", "source", "lang", "text"), path, kept_words=KEPT_WORDS)
-    return decode(ids, path).select(
+    rows = docs.select("doc_id", "source", "lang", "text")
+    return encode(rows, tokenizer_path(), kept_words=KEPT_WORDS, decoded_col="decoded").select(
         "doc_id", "source", "lang", F.size("ids").cast("long").alias("n_tokens"), "ids",
         sha256(F.col("decoded")).alias("decoded_sha256"))
 

@@ -227,17 +227,20 @@ def pieces_of(lengths):
         yield start, len(lengths)
 
 
-def encode(df, path, text_col="text", ids_col="ids", kept_words=KEPT_WORDS):
+def encode(df, path, text_col="text", ids_col="ids", kept_words=None, decoded_col=None):
     """df without its text column and with ids_col, the token ids of the whole text.
 
     path: a byte-level BPE tokenizer file, read once by the driver and broadcast (the file bounds
     its size). Special tokens inside a text become their own ids. Null or empty text: no ids. An
     existing column named ids_col is replaced. Rows are independent, so repeated rows, ties and
     empty tables need no rule. Arrow batches are cut into pieces of bounded size; a task remembers
-    up to kept_words words.
+    up to kept_words words (KEPT_WORDS if not given). With decoded_col, the ids are decoded again
+    piece by piece, as decode does, by the same Python worker: two operators in a row would keep
+    two of them for each task.
     """
     shared = df.sparkSession.sparkContext.broadcast(load_vocabulary(path))
-    rest = [c for c in df.columns if c not in (text_col, ids_col)]
+    added = [ids_col] if decoded_col is None else [ids_col, decoded_col]
+    rest = [c for c in df.columns if c not in (text_col, *added)]
 
     def run(batches):
         import numpy as np
@@ -245,6 +248,7 @@ def encode(df, path, text_col="text", ids_col="ids", kept_words=KEPT_WORDS):
         import pyarrow.compute as pc
 
         encoder = Encoder(shared.value, kept_words)
+        tokens = token_table(shared.value["bytes"])
         for batch in batches:
             column = batch.column(len(rest))
             lengths = pc.fill_null(pc.binary_length(column), 0).to_pylist()
@@ -252,15 +256,46 @@ def encode(df, path, text_col="text", ids_col="ids", kept_words=KEPT_WORDS):
                 found = encoder.encode([t or "" for t in column.slice(a, b - a).to_pylist()])
                 ends = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
                 values = pa.array(np.frombuffer(b"".join(found), dtype=np.int32))
-                columns = [batch.column(k).slice(a, b - a) for k in range(len(rest))]
-                yield pa.RecordBatch.from_arrays(
-                    [*columns, pa.ListArray.from_arrays(pa.array(ends), values)], [*rest, ids_col])
+                ids = pa.ListArray.from_arrays(pa.array(ends), values)
+                columns = [batch.column(k).slice(a, b - a) for k in range(len(rest))] + [ids]
+                if decoded_col is not None:
+                    columns.append(pa.array(texts_of(ids, tokens), pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, [*rest, *added])
 
     source = df.select(*rest, F.col(text_col).cast("string"))
     schema = df.select(*rest).schema.add(ids_col, T.ArrayType(T.IntegerType()))
+    if decoded_col is not None:
+        schema = schema.add(decoded_col, T.StringType())
     return source.mapInArrow(run, schema)
 
 
+def token_table(tokens):
+    """Arrow array of the bytes of each id, and of no bytes behind them."""
+    import pyarrow as pa
+
+    return pa.array([*tokens, b""], pa.binary())
+
+
+def texts_of(ids, tokens):
+    """The text of each list of ids; tokens is a token_table."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    number = ids.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+    number = np.where((number >= 0) & (number < len(tokens) - 1), number, len(tokens) - 1)
+    lengths = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+    joined = []
+    ends = np.cumsum([0, *lengths])
+    step = 256
+    for a in range(0, len(lengths), step):
+        cut = ends[a:a + step + 1]
+        part = tokens.take(pa.array(number[cut[0]:cut[-1]]))
+        lists = pa.ListArray.from_arrays(pa.array((cut - cut[0]).astype(np.int32)), part)
+        joined += [x.as_py().decode("utf-8", "replace") for x in pc.binary_join(lists, b"")]
+    return joined
+
+
 def decode(df, path, ids_col="ids", text_col="decoded"):
     """df with text_col, the text of its ids (kept). Bytes that are not UTF-8 become U+FFFD, ids
     outside the vocabulary are passed over, null ids give an empty text."""
@@ -269,26 +304,11 @@ def decode(df, path, ids_col="ids", text_col="decoded"):
     place = rest.index(ids_col)
 
     def run(batches):
-        import numpy as np
         import pyarrow as pa
-        import pyarrow.compute as pc
 
-        table = pa.array(shared.value, pa.binary())
+        tokens = token_table(shared.value)
         for batch in batches:
-            ids = batch.column(place)
-            flat = ids.flatten()
-            number = flat.fill_null(-1).to_numpy(zero_copy_only=False)
-            number = np.where((number >= 0) & (number < len(table)), number, len(table))
-            lengths = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
-            joined = []
-            tokens = pa.chunked_array([pa.concat_arrays([table, pa.array([b""], pa.binary())])]).combine_chunks()
-            ends = np.cumsum([0, *lengths])
-            step = 256
-            for a in range(0, len(lengths), step):
-                cut = ends[a:a + step + 1]
-                part = tokens.take(pa.array(number[cut[0]:cut[-1]]))
-                lists = pa.ListArray.from_arrays(pa.array((cut - cut[0]).astype(np.int32)), part)
-                joined += [x.as_py().decode("utf-8", "replace") for x in pc.binary_join(lists, b"")]
+            joined = texts_of(batch.column(place), tokens)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(joined, pa.string())], [*rest, text_col])
 
     return df.select(*rest).mapInArrow(run, df.select(*rest).schema.add(text_col, T.StringType()))
@@ -302,8 +322,7 @@ def tokenizer_path():
 
 def round_trip(docs, path):
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of the whole texts."""
-    ids = encode(docs.select("doc_id", "text"), path)
-    return decode(ids, path).select(
+    return encode(docs.select("doc_id", "text"), path, decoded_col="decoded").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         sha256(F.concat_ws(",", F.col("ids").cast("array<string>"))).alias("ids_sha256"),

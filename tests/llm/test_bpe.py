@@ -71,3 +71,13 @@ def test_ids_that_are_no_text(spark, library):
     df = spark.createDataFrame([(1, [128, 200, 5]), (2, None), (3, []), (4, [10**8, -1, 64])], "doc_id int, ids array<int>")
     got = {r.doc_id: r.decoded for r in bpe.decode(df, PATH).collect()}
     assert got == {1: library.decode([128, 200, 5], skip_special_tokens=False), 2: "", 3: "", 4: library.decode([64])}
+
+
+def test_decoded_beside_ids_takes_one_python_operator(spark):
+    docs = documents(spark, ["a <|endoftext|> b", "x" * 100, "ǅ²́"])
+    both = bpe.encode(docs, PATH, ids_col="row", decoded_col="fp")
+    apart = bpe.decode(bpe.encode(docs, PATH, ids_col="row"), PATH, "row", "fp")
+    assert both.columns == [c for c in docs.columns if c not in ("text", "row", "fp")] + ["row", "fp"]
+    assert sorted(map(repr, both.select(*apart.columns).collect())) == sorted(map(repr, apart.collect()))
+    for df in (both, bpe.round_trip(docs, PATH)):
+        assert df._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1

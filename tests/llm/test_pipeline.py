@@ -55,3 +55,9 @@ def test_empty_documents(spark, small, tmp_path):
     none = spark.read.parquet(f"{small}/documents.parquet").limit(0)
     for _, stage in pipeline.STAGES:
         assert stage(spark, none, small).count() == 0
+
+
+def test_one_python_worker_tokenizes(spark, small):
+    """Each Python operator in a row holds a worker of its own per task, beside the executor's heap."""
+    done = pipeline.STAGES[-1][1](spark, documents(spark), small)
+    assert done._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
